@@ -1,7 +1,7 @@
 """Chat formatting with a grammar round trip.
 
-A turn is rendered by its role, parsed again by one regular grammar and compared to its source; while they differ,
-one more backslash goes into every control string of the text.  Since the rule adds one backslash to any control
+A turn is rendered by its role, parsed again by one regular grammar and compared to its source.  Content conflicts if
+it holds a control string; then one more backslash goes into every control string of the text, until both are identical.  Since the rule adds one backslash to any control
 string that has k of them after its first character, and parsing takes one away, it is reversible, and texts
 without control strings stay as they are.
 
@@ -69,16 +69,14 @@ def parse(formatted: str) -> list[tuple[str, str, int, int]]:
 
 
 def render(role: str, text: str) -> str:
-    """The turn in the first form that parses to its source: as it is, else with control strings escaped."""
-    for own, own_role in ((text, role), (escape(text), escape(role))):
-        out = layout(role, own, own_role)
-        try:
-            turns = parse(out)
-        except ValueError:
-            continue
-        if [(r, t) for r, t, _, _ in turns] == [(role, text)] and unescape(own) == text:
-            return out
-    raise ValueError("a turn can't be formatted reversibly")
+    """The turn, with conflicting content escaped, once it parses to its source."""
+    own, own_role = text, role
+    if CLASH.search(text) or CLASH.search(role):
+        own, own_role = escape(text), escape(role)
+    out = layout(role, own, own_role)
+    if [(r, t) for r, t, _, _ in parse(out)] != [(role, text)]:
+        raise ValueError("a turn can't be formatted reversibly")
+    return out
 
 
 def format_turns(df: DataFrame, role: str = "role", text: str = "text", out: str = "formatted") -> DataFrame:

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from urbanflow.llm.common import extended, pieces
 
@@ -217,26 +218,15 @@ def store(df: DataFrame, text: str = "text", out: str = "blob", declared: str =
 
 
 def sniff(df: DataFrame, blob: str = "blob", declared: str = "declared_type") -> DataFrame:
-    """Adds media (all confirmed), media_type (corrected), and carved, the bytes of the first confirmed media."""
-    from pyspark.sql import functions as F
+    """Adds media (all confirmed), media_type (corrected), carved (bytes of the first) and, if that is WAV, payload and feature."""
 
     def one(b):
         found = sniff_bytes(b or b"")
         first = b[found[0][1] : found[0][1] + found[0][2]] if found else None
-        return [{"type": k, "start": s, "length": n} for k, s, n in found], first
+        samples = read_wav(first) if found and found[0][0] == "audio/wav" else None
+        return [{"type": k, "start": s, "length": n} for k, s, n in found], first, samples, feature(samples) if samples else None
 
-    out = by_row(df, blob, [("media", FOUND, FOUND_ARROW), ("carved", "binary", pa.binary())], one)
+    new = [("media", FOUND, FOUND_ARROW), ("carved", "binary", pa.binary()), ("payload", "binary", pa.binary()), ("feature", "string", pa.string())]
+    out = by_row(df, blob, new, one)
     known = F.col(declared).isin(*ENDS)
     return out.withColumn("media_type", F.when(F.size("media") > 0, F.col("media")[0]["type"]).when(known | F.col(declared).isNull(), OTHER).otherwise(F.col(declared)))
-
-
-def read_back(df: DataFrame, carved: str = "carved") -> DataFrame:
-    """Adds payload and its feature from carved WAV media; null where there is none."""
-
-    def one(b):
-        if b is None:
-            return None, None
-        samples = read_wav(b)
-        return samples, feature(samples)
-
-    return by_row(df, carved, [("payload", "binary", pa.binary()), ("feature", "string", pa.string())], one)

@@ -19,7 +19,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = media.store(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
-    back = media.read_back(media.sniff(stored))
+    back = media.sniff(stored).drop("blob")
     size = F.length("payload").cast("bigint")
     return back.select(
         "doc_id", "n_bytes", size.alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
