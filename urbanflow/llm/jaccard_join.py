@@ -5,9 +5,9 @@ n - ceil(0.8 n) + 1 of each.  Documents with the same prefix and size form a gro
 shingle and have sizes within 0.8 are compared, and their members are verified on whole sets.
 
 1. `sets`: size and digest of each document's set; equal sets are one class from here on (exact copies, linked).
-2. `shared_counts`: how many of a document's shingles any other document has.  Those of fewer than
-   ceil(0.8 n) can't link and leave.  Tasks sort their shingles first and send each once, packed in blobs by
-   bucket of the hash, with the number of buckets in proportion to all shingles.
+2. `able`: documents of whose shingles others have at least 0.8 n; the rest can't link and leave.  Tasks sort about
+   a million shingles at a time (a flush), send each once, packed in a blob for each bucket of the hash, and get
+   one answer from each bucket.  The number of buckets is in proportion to all shingles.
 3. `prefixes`: counts again, among documents that are left, order each document's shared shingles; shingles that
    are frequent within a task count as equally frequent everywhere and aren't sent by document, so a shingle
    that a third of all documents have costs a row per task.
@@ -31,6 +31,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,62 +147,79 @@ def unpack(raw: bytes) -> np.ndarray:
     return wide.reshape(-1).view("<u8")
 
 
-BLOBS = pa.schema([("bucket", pa.int32()), ("known", pa.bool_()), ("ids", pa.binary()), ("keys", pa.binary()), ("owner", pa.binary())])
+#: A flush sends itself (ids and sizes, and the shingles that it knows to be shared) and asks each bucket about the
+#: others; a bucket answers each flush.  keys: six bytes a shingle; owner: its document's place in the flush.
+BLOBS = {"bucket": pa.int32(), "flush": pa.int64(), "ids": pa.binary(), "sizes": pa.binary(), "keys": pa.binary(), "owner": pa.binary(), "df": pa.binary()}
+BLOBS_DDL = "bucket int, flush bigint, ids binary, sizes binary, keys binary, owner binary, df binary"
 NO_ONE = np.uint16(0xFFFF)
 
 
-def sent(batches, as_set, buckets: int, locally: int, with_keys: bool):
-    """Blobs by bucket: each shingle key with its document, or once for nobody if `locally` documents of a flush have it.
+def sent(batches, as_set, buckets: int, locally: int):
+    """Rows of BLOBS: each shingle key with its document, or once for nobody if `locally` documents of a flush have it.
 
-    Those documents are told right away by blobs marked `known`, which hold keys only if with_keys.
+    A flush is named by its task's partition and its number there, which a repeated task finds again.
     """
-    for ids, own in flushes(batches, as_set):
+    base = TaskContext.get().partitionId() << 32
+    for number, (ids, own) in enumerate(flushes(batches, as_set)):
+        sizes = np.array([len(s) for s in own], np.uint32)
         keys = np.concatenate(own) >> np.uint64(16)
-        owner = np.repeat(np.arange(len(own), dtype=np.uint16), [len(s) for s in own])
+        owner = np.repeat(np.arange(len(own), dtype=np.uint16), sizes)
         order = np.argsort(keys, kind="stable")
         keys, owner = keys[order], owner[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         times = np.diff([*first, len(keys)])
         many = np.repeat(times >= locally, times)
-        alone = np.concatenate([np.flatnonzero(~many), first[times >= locally]])
-        who = owner[alone].copy()
-        who[len(alone) - (times >= locally).sum() :] = NO_ONE
-        rows = []
-        for known, at, to in ((True, np.flatnonzero(many), owner[many]), (False, alone, who)):
-            place = (keys[at] % np.uint64(buckets)).astype(np.int32)
-            sort = np.argsort(place, kind="stable")
-            at, to, place = at[sort], to[sort], place[sort]
-            edges = np.searchsorted(place, np.arange(buckets + 1))
-            for b in range(buckets):
-                k, o = keys[at[edges[b] : edges[b + 1]]], to[edges[b] : edges[b + 1]]
-                if len(k):
-                    mine, short = np.unique(o, return_inverse=True)
-                    table = np.where(mine == NO_ONE, -1, ids[np.minimum(mine, len(ids) - 1)])
-                    rows.append((b, known, table.tobytes() + (mine == NO_ONE).tobytes(), pack(k) if with_keys or not known else b"", short.astype(np.uint16).tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), BLOBS.types, strict=True)], schema=BLOBS)
-
-
-def gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a bucket: keys, documents, is-for-nobody and is-known."""
-    keys, docs, nobody, known = [], [], [], []
-    for flag, ids, k, o in zip(*(table.column(c).to_pylist() for c in ("known", "ids", "keys", "owner")), strict=True):
-        n = len(ids) // 9
-        short = np.frombuffer(o, np.uint16)
-        keys.append(unpack(k) if k else np.zeros(len(short), np.uint64))
-        docs.append(np.frombuffer(ids[: 8 * n], np.int64)[short])
-        nobody.append(np.frombuffer(ids[8 * n :], bool)[short])
-        known.append(np.full(len(short), flag))
-    return tuple(np.concatenate(x) for x in (keys, docs, nobody, known))
-
-
-def counted(keys, nobody):
-    """Sorting order of keys, and for each sorted place the count of its key and whether nobody's mark is there."""
-    order = np.argsort(keys, kind="stable")
-    k = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-    times = np.diff([*first, len(k)])
-    mark = np.maximum.reduceat(nobody[order], first) if len(first) else np.empty(0, bool)
-    return order, np.repeat(times, times), np.repeat(mark, times)
+        marks = first[times >= locally]
+        at = np.concatenate([np.flatnonzero(~many), marks])
+        who = owner[at].copy()
+        who[len(at) - len(marks) :] = NO_ONE
+        place = (keys[at] % np.uint64(buckets)).astype(np.int32)
+        sort = np.argsort(place, kind="stable")
+        at, who, place = at[sort], who[sort], place[sort]
+        edges = np.searchsorted(place, np.arange(buckets + 1))
+        flush = base + number
+        rows = [(flush % buckets, flush, ids.tobytes(), sizes.tobytes(), pack(keys[many]), owner[many].tobytes(), None)]
+        rows += [(b, flush, None, None, pack(keys[at[a:z]]), who[a:z].tobytes(), None) for b, (a, z) in enumerate(zip(edges, edges[1:], strict=False)) if a < z]
+        yield blobs(rows)
+
+
+def blobs(rows) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), BLOBS.values(), strict=True)], names=list(BLOBS))
+
+
+def answered(table: pa.Table) -> pa.Table:
+    """A bucket's answers: of each flush's shingles those that other documents have, with their count; HOT at a mark."""
+    rows = [r for r in table.to_pylist() if r["ids"] is None]
+    out = [tuple(r.values()) for r in table.to_pylist() if r["ids"] is not None]
+    if rows:
+        keys, owner = np.concatenate([unpack(r["keys"]) for r in rows]), np.concatenate([np.frombuffer(r["owner"], np.uint16) for r in rows])
+        flush = np.repeat(np.arange(len(rows)), [len(r["owner"]) // 2 for r in rows])
+        order = np.argsort(keys, kind="stable")
+        keys, owner, flush = keys[order], owner[order], flush[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        times = np.diff([*first, len(keys)])
+        df = np.where(np.maximum.reduceat(owner == NO_ONE, first), HOT, times.astype(np.uint32))
+        df = np.repeat(df, times)
+        some = np.flatnonzero((df > 1) & (owner != NO_ONE))
+        some = some[np.argsort(flush[some], kind="stable")]
+        edges = np.searchsorted(flush[some], np.arange(len(rows) + 1))
+        out += [(rows[0]["bucket"], r["flush"], None, None, pack(keys[p]), owner[p].tobytes(), df[p].tobytes()) for r, p in zip(rows, (some[a:z] for a, z in zip(edges, edges[1:], strict=False)), strict=True) if len(p)]
+    return pa.Table.from_batches([blobs(out)]) if out else pa.schema(list(BLOBS.items())).empty_table()
+
+
+def asked(df: DataFrame, as_set, buckets: int, locally: int) -> DataFrame:
+    rows = df.mapInArrow(lambda batches: sent(batches, as_set, buckets, locally), BLOBS_DDL)
+    return rows.groupBy("bucket").applyInArrow(answered, BLOBS_DDL).groupBy("flush")
+
+
+def of_flush(table: pa.Table):
+    """ids and sizes of a flush's documents, and (owner, keys, df) of its shared shingles by owner."""
+    rows = table.to_pylist()
+    own = next(r for r in rows if r["ids"] is not None)
+    owner = np.concatenate([np.frombuffer(r["owner"], np.uint16) for r in rows])
+    keys = np.concatenate([unpack(r["keys"]) for r in rows])
+    df = np.concatenate([np.frombuffer(r["df"], np.uint32) if r["df"] is not None else np.full(len(r["owner"]) // 2, HOT) for r in rows])
+    return np.frombuffer(own["ids"], np.int64), np.frombuffer(own["sizes"], np.uint32).astype(np.int64), owner, keys, df
 
 
 def text_sets(batch):
@@ -212,53 +230,30 @@ def stored_sets(batch):
     return [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
 
 
-def shared_counts(docs: DataFrame, buckets: int) -> DataFrame:
-    """id and how many of its shingles others have (at least; copies within a task may count once)."""
-    blobs = docs.mapInArrow(lambda batches: sent(batches, text_sets, buckets, 2, False), "bucket int, known boolean, ids binary, keys binary, owner binary")
+def able(docs: DataFrame, buckets: int) -> DataFrame:
+    """id of documents that share enough of their shingles with others to link (of equal texts in a task, one)."""
 
-    def count(table: pa.Table) -> pa.Table:
-        keys, ids, nobody, known = gathered(table)
-        order, times, mark = counted(keys[~known], nobody[~known])
-        other = ids[~known][order][((times > 1) | mark) & ~nobody[~known][order]]
-        who, n = np.unique(np.concatenate([other, ids[known]]), return_counts=True)
-        return pa.table({"id": who, "shared": n.astype(np.int64)})
+    def enough(table: pa.Table) -> pa.Table:
+        ids, sizes, owner, _, _ = of_flush(table)
+        return pa.table({"id": ids[DEN * np.bincount(owner, minlength=len(ids)) >= NUM * sizes]})
 
-    return blobs.groupBy("bucket").applyInArrow(count, "id bigint, shared bigint").groupBy("id").agg(F.sum("shared").alias("shared"))
+    return asked(docs, text_sets, buckets, 2).applyInArrow(enough, "id bigint")
 
 
 def prefixes(stored: DataFrame, buckets: int) -> DataFrame:
-    """id, n and prefix (its shared shingles only, rarest first) of documents that may link.  stored: id, shingles, n."""
-    blobs = stored.select("id", "shingles").mapInArrow(lambda batches: sent(batches, stored_sets, buckets, FREQUENT, True), "bucket int, known boolean, ids binary, keys binary, owner binary")
-
-    def rank(table: pa.Table) -> pa.Table:
-        keys, ids, nobody, known = gathered(table)
-        order, times, mark = counted(keys[~known], nobody[~known])
-        some = ((times > 1) | mark) & ~nobody[~known][order]
-        k = np.concatenate([keys[~known][order][some], keys[known]])
-        df = np.concatenate([np.where(mark, HOT, times)[some].astype(np.uint32), np.full(known.sum(), HOT)])
-        who = np.concatenate([ids[~known][order][some], ids[known]])
-        sort = np.argsort(who, kind="stable")
-        who, k, df = who[sort], k[sort], df[sort]
-        first = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]])) if len(who) else np.empty(0, np.int64)
-        stop = [*first[1:], len(who)]
-        return pa.table({"id": pa.array(who[first], pa.int64()), "keys": pa.array([pack(k[a:b]) for a, b in zip(first, stop, strict=True)], pa.binary()), "df": pa.array([df[a:b].tobytes() for a, b in zip(first, stop, strict=True)], pa.binary())})
-
-    parts = blobs.groupBy("bucket").applyInArrow(rank, "id bigint, keys binary, df binary").groupBy("id").agg(F.collect_list(F.struct("keys", "df")).alias("parts"))
-    rows = parts.join(stored.select("id", "n"), "id").select("id", "n", "parts")
-
-    def choose(batches):
-        for batch in batches:
-            out = []
-            for i, n, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                keys, df = np.concatenate([unpack(p["keys"]) for p in own]), np.concatenate([np.frombuffer(p["df"], np.uint32) for p in own])
-                keep = n - least(n) + 1 - (n - len(keys))
-                if keep > 0:
-                    out.append((i, n, keys[np.lexsort((keys, df))[:keep]].astype(np.int64)))
-            if out:
-                i, n, p = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(n, pa.int64()), pa.array(list(p), pa.list_(pa.int64()))], names=["id", "n", "prefix"])
+    """id, n and prefix (its shared shingles only, rarest first) of documents that may link.  stored: id, shingles."""
+
+    def choose(table: pa.Table) -> pa.Table:
+        ids, sizes, owner, keys, df = of_flush(table)
+        order = np.lexsort((keys, df, owner))
+        owner, keys = owner[order], keys[order]
+        edges = np.searchsorted(owner, np.arange(len(ids) + 1))
+        shared = np.diff(edges)
+        keep = np.maximum(0, sizes - least(sizes) + 1 - (sizes - shared))
+        some = np.flatnonzero(keep)
+        return pa.table({"id": ids[some], "n": sizes[some], "prefix": pa.array([keys[edges[i] : edges[i] + keep[i]].astype(np.int64) for i in some], pa.list_(pa.int64()))})
 
-    return rows.mapInArrow(choose, "id bigint, n bigint, prefix array<bigint>")
+    return asked(stored, stored_sets, buckets, FREQUENT).applyInArrow(choose, "id bigint, n bigint, prefix array<bigint>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -361,9 +356,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     docs = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
     sized = written(sets(docs), "sets")
     total = sized.agg(F.sum("n")).first()[0] or 0
-    shared = shared_counts(docs, int(total // BUCKET) + 8)
-    able = sized.join(shared, "id").where(f"n > 0 and {DEN} * shared >= {NUM} * n").select("digest").distinct()
-    reps = written(sized.join(able, "digest", "left_semi").groupBy("digest").agg(F.min("id").alias("id"), F.max("n").alias("n")).select("id", "n"), "reps")
+    may = sized.join(able(docs, int(total // BUCKET) + 8), "id").select("digest").distinct()
+    reps = written(sized.where("n > 0").join(may, "digest", "left_semi").groupBy("digest").agg(F.min("id").alias("id"), F.max("n").alias("n")).select("id", "n"), "reps")
     few = F.broadcast if reps.count() <= BROADCAST_ROWS else lambda df: df
 
     def store(batches):
@@ -373,7 +367,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     stored = docs.join(few(reps), "id").select("id", "text", "n").mapInArrow(store, "id bigint, shingles binary, n bigint")
     stored = written(stored.where("length(shingles) = 8 * n").dropDuplicates(["id"]), "stored")
     left = reps.agg(F.sum("n")).first()[0] or 0
-    prefix = written(prefixes(stored, int(left // BUCKET) + 8), "prefixes")
+    prefix = written(prefixes(stored.select("id", "shingles"), int(left // BUCKET) + 8), "prefixes")
     grouped = prefix.groupBy("n", "prefix").agg(F.min("id").alias("gid"))
     groups = written(grouped, "groups")
     inside = clusters(groups)
