@@ -10,6 +10,7 @@ def regions(spark: SparkSession, rings: dict[int, list[tuple[float, float]]]) ->
     """code, bounding box and edges of closed rings."""
     rows = []
     for code, ring in rings.items():
+        ring = [(float(x), float(y)) for x, y in ring]
         closed = [*ring, ring[0]]
         xs, ys = [p[0] for p in ring], [p[1] for p in ring]
         rows.append((code, min(xs), min(ys), max(xs), max(ys), [(*a, *b) for a, b in zip(closed, closed[1:], strict=False)]))
