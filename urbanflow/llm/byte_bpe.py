@@ -6,7 +6,7 @@ library applies the merges to each match of the split pattern separately.  Decod
 
 Defined cases: null text is empty; an empty text has no tokens; tokens may begin or end inside a character, and
 then their offsets cover that character, so neighbours overlap; columns named like the new ones are replaced.
-Nothing is shuffled: a lost executor costs its tasks only.  A worker keeps at most CACHE pieces.
+Nothing is shuffled: a lost executor costs its tasks only.  A worker remembers the ids of about CACHE pieces.
 """
 
 from __future__ import annotations
@@ -16,14 +16,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from urbanflow.llm.common import extended, pieces
 
-#: Most pieces of text that a worker remembers, and the longest of them in characters.
-CACHE, CACHED_CHARS = 200_000, 64
-#: Characters in one batch of results.
-BATCH_CHARS = 1_000_000
+#: About so many pieces of text a worker remembers, the first that it meets, and the longest of them in characters.
+CACHE, CACHED_CHARS = 250_000, 64
+#: Bytes of text that are worked on at a time.
+BATCH_BYTES = 1_000_000
 
 
 def byte_table() -> list[str]:
@@ -47,7 +48,7 @@ def tokenizer(path: str):
     shown = {tok: "".join(chars[b] for b in tok) for tok in ranks}
     by_rank = sorted(ranks, key=ranks.get)
     merges = [(shown[t[:i]], shown[t[i:]]) for t in by_rank for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-    out = Tokenizer(models.BPE(vocab={shown[t]: r for t, r in ranks.items()}, merges=merges))
+    out = Tokenizer(models.BPE(vocab={shown[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True))
     out.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     return out
 
@@ -64,21 +65,15 @@ class Encoder:
         for tok, rank in vocabulary(path).items():
             self.length[rank] = len(tok)
 
-    def __call__(self, texts: list[str]) -> list[list[int]]:
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
         parts = [self.split(t) for t in texts]
-        if len(self.known) > CACHE:
-            self.known = {}
         known = self.known
         new = [p for p in set().union(*parts) if p not in known]
-        found = dict(zip(new, (e.ids for e in self.bpe.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-        known.update((p, ids) for p, ids in found.items() if len(p) <= CACHED_CHARS)
-        out = []
-        for ps in parts:
-            ids: list[int] = []
-            for p in ps:
-                ids += known[p] if p in known else found[p]
-            out.append(ids)
-        return out
+        found = {p: np.array(e.ids, np.int32).tobytes() for p, e in zip(new, self.bpe.encode_batch_fast(new, add_special_tokens=False), strict=True)}
+        if len(known) < CACHE:
+            known.update((p, ids) for p, ids in found.items() if len(p) <= CACHED_CHARS)
+        rest = found.__getitem__
+        return [np.frombuffer(b"".join([known[p] if p in known else rest(p) for p in ps]), np.int32) for ps in parts]
 
 
 def char_offsets(texts: list[str], ids: list[np.ndarray], length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,13 +100,12 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", offsets:
     def run(batches):
         enc = Encoder(path, pattern)
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            for a, b in pieces([len(t) + 200 for t in texts], BATCH_CHARS):
-                own = texts[a:b]
-                ids = [np.array(x, np.int32) for x in enc(own)]
+            for a, b in pieces([(n or 0) + 200 for n in pc.binary_length(batch.column(at)).to_pylist()], BATCH_BYTES):
+                part = batch.slice(a, b - a)
+                own = [t or "" for t in part.column(at).to_pylist()]
+                ids = enc(own)
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 flat = [np.concatenate(ids), *(char_offsets(own, ids, enc.length) if offsets else ())]
-                part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, *(pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in flat)], names=[*kept, *new])
 
     return df.mapInArrow(run, schema)
@@ -128,8 +122,7 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded
         for tok, rank in vocabulary(path).items():
             table[rank] = tok
         for batch in batches:
-            lists = batch.column(at)
-            for a, b in pieces([len(x) if x.is_valid else 0 for x in lists], BATCH_CHARS):
+            for a, b in pieces([(n or 0) + 50 for n in pc.list_value_length(batch.column(at)).to_pylist()], BATCH_BYTES // 4):
                 part = batch.slice(a, b - a)
                 texts = [b"".join([table[i] for i in x or ()]) for x in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*kept, out])
