@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -53,6 +56,43 @@ def pieces(sizes, limit: int) -> Iterator[tuple[int, int]]:
         yield a, len(sizes)
 
 
+def text_parts(column: pa.Array, limit: int) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, UTF-8 of each text) for runs of rows of about `limit` bytes; null texts are empty."""
+    for a, b in pieces([(n or 0) + 50 for n in pc.binary_length(column).to_pylist()], limit):
+        yield a, [raw or b"" for raw in column.slice(a, b - a).cast(pa.binary()).to_pylist()]
+
+
+def release() -> None:
+    """Python workers outlive their tasks: give the free memory of this one back to the system."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """run (batches -> batches), and release() after it."""
+
+    def runs(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return runs
+
+
+def tidy_group(run: Callable) -> Callable:
+    """run (table -> table), and release() after it; for large groups."""
+
+    def runs(table):
+        try:
+            return run(table)
+        finally:
+            release()
+
+    return runs
+
+
 def extended(df: DataFrame, ddl: str) -> StructType:
     """The schema of df with more fields at its end."""
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])

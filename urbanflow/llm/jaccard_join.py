@@ -35,11 +35,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanflow.llm.common import pieces, written
+from urbanflow.llm.common import text_parts, tidy, tidy_group, written
 
 WORDS = 5
 NUM, DEN = 80, 100
-BATCH_BYTES, FLUSH, BUCKET, BLOCK = 2_000_000, 1_000_000, 1_500_000, 256
+BATCH_BYTES, FLUSH, BUCKET, BLOCK = 500_000, 1_000_000, 1_500_000, 256
 #: A shingle that so many documents of one flush have is "frequent": last in the order.
 FREQUENT = 64
 HOT = np.uint32(0xFFFFFFFF)
@@ -83,12 +83,10 @@ def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mixed(np.add.reduceat(code * power(place), starts) + (ends - starts).astype(np.uint64)), starts
 
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     out: list[np.ndarray] = []
-    raws = [(t or "").encode() for t in texts]
-    for a, b in pieces([len(r) + 1 for r in raws], BATCH_BYTES):
-        own = raws[a:b]
+    for _, own in text_parts(texts, BATCH_BYTES):
         joined = np.frombuffer(b"\n".join(own), np.uint8)
         words, starts = word_hashes(joined)
         bounds = np.searchsorted(starts, np.cumsum([0, *(len(r) + 1 for r in own)]))
@@ -113,10 +111,10 @@ def sets(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            found = shingle_sets(batch.column(1).to_pylist())
+            found = shingle_sets(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in found], pa.binary())], names=["id", "n", "digest"])
 
-    return docs.mapInArrow(run, "id bigint, n bigint, digest binary")
+    return docs.mapInArrow(tidy(run), "id bigint, n bigint, digest binary")
 
 
 def flushes(batches, as_set):
@@ -208,8 +206,8 @@ def answered(table: pa.Table) -> pa.Table:
 
 
 def asked(df: DataFrame, as_set, buckets: int, locally: int) -> DataFrame:
-    rows = df.mapInArrow(lambda batches: sent(batches, as_set, buckets, locally), BLOBS_DDL)
-    return rows.groupBy("bucket").applyInArrow(answered, BLOBS_DDL).groupBy("flush")
+    rows = df.mapInArrow(tidy(lambda batches: sent(batches, as_set, buckets, locally)), BLOBS_DDL)
+    return rows.groupBy("bucket").applyInArrow(tidy_group(answered), BLOBS_DDL).groupBy("flush")
 
 
 def of_flush(table: pa.Table):
@@ -223,7 +221,7 @@ def of_flush(table: pa.Table):
 
 
 def text_sets(batch):
-    return shingle_sets(batch.column(1).to_pylist())
+    return shingle_sets(batch.column(1))
 
 
 def stored_sets(batch):
@@ -237,7 +235,7 @@ def able(docs: DataFrame, buckets: int) -> DataFrame:
         ids, sizes, owner, _, _ = of_flush(table)
         return pa.table({"id": ids[DEN * np.bincount(owner, minlength=len(ids)) >= NUM * sizes]})
 
-    return asked(docs, text_sets, buckets, 2).applyInArrow(enough, "id bigint")
+    return asked(docs, text_sets, buckets, 2).applyInArrow(tidy_group(enough), "id bigint")
 
 
 def prefixes(stored: DataFrame, buckets: int) -> DataFrame:
@@ -253,7 +251,7 @@ def prefixes(stored: DataFrame, buckets: int) -> DataFrame:
         some = np.flatnonzero(keep)
         return pa.table({"id": ids[some], "n": sizes[some], "prefix": pa.array([keys[edges[i] : edges[i] + keep[i]].astype(np.int64) for i in some], pa.list_(pa.int64()))})
 
-    return asked(stored, stored_sets, buckets, FREQUENT).applyInArrow(choose, "id bigint, n bigint, prefix array<bigint>")
+    return asked(stored, stored_sets, buckets, FREQUENT).applyInArrow(tidy_group(choose), "id bigint, n bigint, prefix array<bigint>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -362,9 +360,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     def store(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1).to_pylist())], pa.binary()), batch.column(2)], names=["id", "shingles", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in shingle_sets(batch.column(1))], pa.binary()), batch.column(2)], names=["id", "shingles", "n"])
 
-    stored = docs.join(few(reps), "id").select("id", "text", "n").mapInArrow(store, "id bigint, shingles binary, n bigint")
+    stored = docs.join(few(reps), "id").select("id", "text", "n").mapInArrow(tidy(store), "id bigint, shingles binary, n bigint")
     stored = written(stored.where("length(shingles) = 8 * n").dropDuplicates(["id"]), "stored")
     left = reps.agg(F.sum("n")).first()[0] or 0
     prefix = written(prefixes(stored.select("id", "shingles"), int(left // BUCKET) + 8), "prefixes")

@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanflow.llm.common import extended, pieces
+from urbanflow.llm.common import extended, text_parts, tidy
 
 BITS, DIM, EPOCHS, RATE = 16, 8, 8, 0.5
 #: Character n-grams of these lengths (bytes of UTF-8), besides whole words.
 NGRAMS = (3, 4)
 PER_CLASS, MAX_FEATURES = 1200, 1 << BITS
-BATCH_BYTES = 1_000_000
+BATCH_BYTES = 250_000
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SPACE = np.zeros(256, bool)
@@ -72,12 +72,11 @@ def features(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
 POWERS = np.array([pow(0xD6E8FEB86659FD93, k, 2**64) for k in range(64)], np.uint64)
 
 
-def chunks(texts: list[str | None]):
+def chunks(column: pa.Array):
     """(first row, features, owners, rows) for runs of rows of about BATCH_BYTES."""
-    raws = [(t or "").encode() for t in texts]
-    for a, b in pieces([len(r) + 50 for r in raws], BATCH_BYTES):
-        bounds = np.concatenate([[0], np.cumsum([len(r) for r in raws[a:b]])])
-        yield a, *features(np.frombuffer(b"".join(raws[a:b]), np.uint8), bounds), b - a
+    for a, raws in text_parts(column, BATCH_BYTES):
+        bounds = np.concatenate([[0], np.cumsum([len(r) for r in raws])])
+        yield a, *features(np.frombuffer(b"".join(raws), np.uint8), bounds), len(raws)
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tuple[np.ndarray, float]:
@@ -119,9 +118,9 @@ def learning_rows(docs: DataFrame, labels: DataFrame, allowed: Column, per_class
 
     def count(batches):
         for batch in batches:
-            ys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ys = batch.column(0).to_pylist()
             out = []
-            for a, found, owner, n in chunks(texts):
+            for a, found, owner, n in chunks(batch.column(1)):
                 for i in range(n):
                     ids, counts = np.unique(found[owner == i], return_counts=True)
                     if len(ids):
@@ -129,7 +128,7 @@ def learning_rows(docs: DataFrame, labels: DataFrame, allowed: Column, per_class
             if out:
                 yield pa.RecordBatch.from_pylist(out, pa.schema([("y", pa.int32()), ("ids", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))]))
 
-    got = texts.mapInArrow(count, "y int, ids array<int>, counts array<int>").toArrow()
+    got = texts.mapInArrow(tidy(count), "y int, ids array<int>, counts array<int>").toArrow()
     y, ids, counts = (got.column(k).combine_chunks() for k in ("y", "ids", "counts"))
     rows = [(ids[i].values.to_numpy(), counts[i].values.to_numpy(), y[i].as_py()) for i in range(len(y))]
     return sorted(rows, key=lambda r: (r[2], len(r[0]), r[0].tobytes()))
@@ -145,14 +144,14 @@ def score(df: DataFrame, weights: np.ndarray, prior: float, text: str = "text",
     def run(batches):
         table = shared.value
         for batch in batches:
-            for a, found, owner, n in chunks(batch.column(at).to_pylist()):
+            for a, found, owner, n in chunks(batch.column(at)):
                 total = np.bincount(owner, weights=table[found], minlength=n)
                 count = np.bincount(owner, minlength=n)
                 z = np.where(count > 0, total / np.maximum(count, 1), prior)
                 part = batch.slice(a, n)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], names=[*kept, out])
 
-    return df.mapInArrow(run, extended(df, f"{out} double"))
+    return df.mapInArrow(tidy(run), extended(df, f"{out} double"))
 
 
 def held_out(key: str = "doc_id") -> Column:
