@@ -39,8 +39,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = byte_bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
-    back = byte_bpe.decode(coded, path)
+    back = byte_bpe.round_trip(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
     return back.select("doc_id", "token_ids", "token_starts", "token_ends", F.size("token_ids").cast("bigint").alias("n_tokens"), F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
 
 

@@ -19,12 +19,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from urbanflow.llm.common import extended, pieces
+from urbanflow.llm.common import extended, pieces, tidy
 
 #: About so many pieces of text a worker remembers, the first that it meets, and the longest of them in characters.
 CACHE, CACHED_CHARS = 250_000, 64
 #: Bytes of text that are worked on at a time.
-BATCH_BYTES = 1_000_000
+BATCH_BYTES = 500_000
+NEW = ["token_ids", "token_starts", "token_ends"]
+ARRAYS = ", ".join(f"{name} array<int>" for name in NEW)
 
 
 def byte_table() -> list[str]:
@@ -89,13 +91,9 @@ def char_offsets(texts: list[str], ids: list[np.ndarray], length: np.ndarray) ->
     return cat(starts), cat(ends)
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = True) -> DataFrame:
-    """Adds token_ids array<int> and, with offsets, token_starts and token_ends (characters)."""
-    new = ["token_ids", *(["token_starts", "token_ends"] if offsets else [])]
-    kept = [c for c in df.columns if c not in new]
-    df = df.select(*(f"`{c}`" for c in kept))
-    schema = extended(df, ", ".join(f"{name} array<int>" for name in new))
-    at = kept.index(text)
+def encoding(kept: list[str], text: str, path: str, pattern: str, offsets: bool):
+    """batches with columns `kept` -> batches with token_ids (and offsets) added"""
+    at, new = kept.index(text), NEW if offsets else NEW[:1]
 
     def run(batches):
         enc = Encoder(path, pattern)
@@ -108,13 +106,11 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", offsets:
                 flat = [np.concatenate(ids), *(char_offsets(own, ids, enc.length) if offsets else ())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *(pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in flat)], names=[*kept, *new])
 
-    return df.mapInArrow(run, schema)
+    return run
 
 
-def decode(df: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
-    """Adds `out`, the bytes that the ids stand for.  Bytes, since a slice of ids may cut a character in two."""
-    kept = [c for c in df.columns if c != out]
-    df = df.select(*(f"`{c}`" for c in kept))
+def decoding(kept: list[str], ids: str, path: str, out: str):
+    """batches with columns `kept` -> batches with `out` added"""
     at = kept.index(ids)
 
     def run(batches):
@@ -122,12 +118,36 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded
         for tok, rank in vocabulary(path).items():
             table[rank] = tok
         for batch in batches:
-            for a, b in pieces([(n or 0) + 50 for n in pc.list_value_length(batch.column(at)).to_pylist()], BATCH_BYTES // 4):
+            for a, b in pieces([(n or 0) + 50 for n in pc.list_value_length(batch.column(at)).to_pylist()], BATCH_BYTES // 2):
                 part = batch.slice(a, b - a)
                 texts = [b"".join([table[i] for i in x or ()]) for x in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*kept, out])
 
-    return df.mapInArrow(run, extended(df, f"{out} binary"))
+    return run
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    return df.select(*(f"`{c}`" for c in df.columns if c not in names))
+
+
+def encode(df: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = True) -> DataFrame:
+    """Adds token_ids array<int> and, with offsets, token_starts and token_ends (characters)."""
+    new = NEW if offsets else NEW[:1]
+    df = without(df, *new)
+    return df.mapInArrow(tidy(encoding(df.columns, text, path, pattern, offsets)), extended(df, ARRAYS if offsets else f"{NEW[0]} array<int>"))
+
+
+def decode(df: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
+    """Adds `out`, the bytes that the ids stand for.  Bytes, since a slice of ids may cut a character in two."""
+    df = without(df, out)
+    return df.mapInArrow(tidy(decoding(df.columns, ids, path, out)), extended(df, f"{out} binary"))
+
+
+def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "decoded") -> DataFrame:
+    """encode, with offsets, then decode, by one worker: the ids aren't sent to a second one."""
+    df = without(df, *NEW, out)
+    there, back = encoding(df.columns, text, path, pattern, True), decoding([*df.columns, *NEW], NEW[0], path, out)
+    return df.mapInArrow(tidy(lambda batches: back(there(batches))), extended(df, f"{ARRAYS}, {out} binary"))
 
 
 def decoded_text(raw: bytes) -> str:

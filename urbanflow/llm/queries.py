@@ -57,11 +57,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
-    back = byte_bpe.decode(coded.select("doc_id", "token_ids", F.coalesce(F.array_max("token_ends"), F.lit(0)).alias("n_chars")), path)
+    back = byte_bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
     return back.select(
         "doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), "n_chars")
+        F.sha2("decoded", 256).alias("decoded_sha256"), F.coalesce(F.array_max("token_ends"), F.lit(0)).alias("n_chars"))
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
