@@ -2,16 +2,18 @@
 
 A rank file (base64 token and rank on each line) gives the vocabulary.  Bytes become printable characters by the
 usual byte table, every way of joining two tokens to a third becomes a merge of that third token's rank, and the
-library applies the merges to each match of the split pattern separately.  Decoding maps ids to bytes again.
+library's model applies the merges to each match of the split pattern separately.  Decoding maps ids to bytes again.
 
 Defined cases: null text is empty; an empty text has no tokens; tokens may begin or end inside a character, and
 then their offsets cover that character, so neighbours overlap; columns named like the new ones are replaced.
-Nothing is shuffled: a lost executor costs its tasks only.  A worker remembers the ids of about CACHE pieces.
+Nothing is shuffled: a lost executor costs its tasks only.  A worker remembers the ids of about CACHE pieces, from
+task to task.
 """
 
 from __future__ import annotations
 
 import base64
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -42,17 +44,15 @@ def vocabulary(path: str) -> dict[bytes, int]:
         return {base64.b64decode(tok): int(rank) for tok, rank in (line.split() for line in f if line.strip())}
 
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str):
-    from tokenizers import Tokenizer, models, pre_tokenizers
+def model(path: str):
+    """The library's BPE model over printable characters."""
+    from tokenizers import models
 
     ranks, chars = vocabulary(path), byte_table()
     shown = {tok: "".join(chars[b] for b in tok) for tok in ranks}
     by_rank = sorted(ranks, key=ranks.get)
     merges = [(shown[t[:i]], shown[t[i:]]) for t in by_rank for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-    out = Tokenizer(models.BPE(vocab={shown[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True))
-    out.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    return out
+    return models.BPE(vocab={shown[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True)
 
 
 class Encoder:
@@ -61,23 +61,35 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         import regex
 
-        self.split, self.bpe, self.known = regex.compile(pattern).findall, tokenizer(path), {}
+        self.split, self.apply, self.known = regex.compile(pattern).findall, model(path).tokenize, {}
         size = max(vocabulary(path).values()) + 1
         self.length = np.zeros(size, np.int64)
         for tok, rank in vocabulary(path).items():
             self.length[rank] = len(tok)
+        self.chars = np.array([ord(c) for c in byte_table()], np.uint32)
+        self.chars[0xFF] = ord("\n")  # no UTF-8 has this byte, and no printable character is the line feed
+
+    def shown(self, parts: list[str]) -> list[str]:
+        """Each part's bytes as printable characters."""
+        raw = np.frombuffer(b"\xff".join([p.encode() for p in parts]), np.uint8)
+        return self.chars[raw].tobytes().decode("utf-32-le").split("\n") if parts else []
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         parts = [self.split(t) for t in texts]
         known = self.known
         new = [p for p in set().union(*parts) if p not in known]
-        found = {p: np.array(e.ids, np.int32).tobytes() for p, e in zip(new, self.bpe.encode_batch_fast(new, add_special_tokens=False), strict=True)}
+        found = {p: array("i", [t.id for t in self.apply(s)]).tobytes() for p, s in zip(new, self.shown(new), strict=True)}
         if len(known) < CACHE:
             known.update((p, ids) for p, ids in found.items() if len(p) <= CACHED_CHARS)
         rest = found.__getitem__
         return [np.frombuffer(b"".join([known[p] if p in known else rest(p) for p in ps]), np.int32) for ps in parts]
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str, pattern: str) -> Encoder:
+    return Encoder(path, pattern)
+
+
 def char_offsets(texts: list[str], ids: list[np.ndarray], length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First character and the one after the last of each token, by the bytes that the tokens cover."""
     starts, ends = [], []
@@ -96,7 +108,7 @@ def encoding(kept: list[str], text: str, path: str, pattern: str, offsets: bool)
     at, new = kept.index(text), NEW if offsets else NEW[:1]
 
     def run(batches):
-        enc = Encoder(path, pattern)
+        enc = encoder(path, pattern)
         for batch in batches:
             for a, b in pieces([(n or 0) + 200 for n in pc.binary_length(batch.column(at)).to_pylist()], BATCH_BYTES):
                 part = batch.slice(a, b - a)
