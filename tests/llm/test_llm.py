@@ -123,6 +123,16 @@ def test_surrogates_stay_distinct(spark):
     assert len({r.text for r in found}) == len(people)
 
 
+def test_surrogates_never_run_out(spark):
+    """Thousands of one-word names of both scripts, many times the listed family names."""
+    names = ["".join(x).capitalize() for x in itertools.product(pii.SYLLABLES["latin"][:15], repeat=3)][:3000]
+    names += ["".join(x).capitalize() for x in itertools.product(pii.SYLLABLES["cyrillic"][:10], repeat=3)]
+    found = pii.pseudonymize(docs_of(spark, [f"Mr {x}" for x in names]), b"k").collect()
+    given = {r.doc_id: r.text[3:] for r in found}
+    assert len(set(given.values())) == len(names) and not set(given.values()) & set(names)
+    assert all(pii.script(x) == pii.script(given[i].replace("-", "")) for i, x in enumerate(names))
+
+
 def test_bpe_equals_tiktoken(spark):
     import public_tokenizers as P
     import tiktoken

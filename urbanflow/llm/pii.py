@@ -7,8 +7,9 @@ separator, the length, the case, the script of letters, and for a name the gende
 name tells.
 
 Distinctness: the distinct entities of the corpus are aggregated, surrogates that two entities share or that equal
-any real entity are drawn again (the smaller entity keeps the first draw), until none is left.  Redrawn entities
-are few (chance collisions only), and only they are joined to the documents by the ids that hold them.
+any real entity are drawn again (the smaller entity keeps the first draw), until none is left.  A name that is drawn
+again gets a further name of draw + 1 syllables, so names never run out.  Redrawn entities are few (chance collisions
+only, and names beyond the lists), and only they are joined to the documents by the texts that hold them.
 
 Defined cases: null texts stay null; text outside entities is unchanged byte for byte; equal texts get equal
 results; entities that overlap are taken from the left, the longer first; a draw number above MAX_DRAWS raises.
@@ -37,6 +38,11 @@ FAMILY = {
     "latin": ["Arnold", "Bauer", "Castro", "Dubois", "Ellis", "Fischer", "Garcia", "Hughes", "Ibarra", "Jensen", "Keller", "Lambert", "Moreau", "Navarro", "Olsen", "Perez", "Richter", "Santos", "Turner", "Weber"],
     "cyrillic": ["Белов", "Волков", "Громов", "Данилов", "Ершов", "Зайцев", "Котов", "Лебедев", "Орлов", "Соколов"],
 }
+#: Syllables of the further name that a drawn-again name gets; one more of them a draw, so the space has no end.
+SYLLABLES = {
+    "latin": [c + v for c in "bdfgklmnprstvz" for v in "aeiou"],
+    "cyrillic": [c + v for c in "бвгдзклмнпрст" for v in "аеиоу"],
+}
 TITLES = {"f": "Mrs Ms Miss Mme Frau Señora Sra", "m": "Mr Herr Señor Sr Monsieur"}
 NAME = r"[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-я]+"
 ENTITY = re.compile(
@@ -116,7 +122,8 @@ def plain_surrogate(kind: str, entity: str, secret: bytes, draw: int, sex: str =
         parts = entity.split(" ")
         kindred = [FAMILY[script(p)] if i == len(parts) - 1 else GIVEN[sex, script(p)] for i, p in enumerate(parts)]
         drawn = [names[below(len(names))] for names in kindred]
-        return " ".join(drawn) + ("" if draw == 0 else "-" + FAMILY[script(parts[-1])][below(len(FAMILY[script(parts[-1])]))])
+        more = SYLLABLES[script(parts[-1])]
+        return " ".join(drawn) + ("" if draw == 0 else "-" + "".join(more[below(len(more))] for _ in range(draw + 1)).capitalize())
     keep = 2 if kind == "phone" and entity.startswith("+") else 0
     return entity[:keep] + "".join(like(c, below) for c in entity[keep:])
 
