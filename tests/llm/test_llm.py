@@ -133,6 +133,16 @@ def test_surrogates_never_run_out(spark):
     assert all(pii.script(x) == pii.script(given[i].replace("-", "")) for i, x in enumerate(names))
 
 
+def test_texts_of_entities_pass_the_filter(spark):
+    """Whatever ENTITY finds in a text by itself, Spark's filter lets through."""
+    alone = ["+33 12 34 56 78", "+49-12-34-56", "(123) 555-0199", "+1 (12) 345 6789", "1.2.3.4", "a@b.c", "abcdef" * 6, "A1B2C3D4" * 4, "1111 2222 3333 4444"]
+    alone += [f"{x} {n}" for v in pii.TITLES.values() for w in v.split() for x in (w, w + ".") for n in ("Smith", "Иванов", "Éric")] + ["(Mr Smith", "-Frau Ölz", "xМr\nMs Ab"]
+    alone = [t for t in alone if pii.ENTITY.search(t)]
+    assert len(alone) > 70
+    found = pii.found_entities(docs_of(spark, alone), b"k", "doc_id", "text").select("kind", "entity", "sex").collect()
+    assert {tuple(r) for r in found} == {(k, e, g) for t in alone for k, _, e, g, _, _ in pii.entities(t)}
+
+
 def test_bpe_equals_tiktoken(spark):
     import public_tokenizers as P
     import tiktoken
