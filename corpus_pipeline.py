@@ -23,10 +23,16 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def join_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates, the document with the least id (of rows that share it, one)."""
-    named = jaccard_join.near_duplicates(docs).where("n_shingles = 0 or doc_id = component_id or doc_id is null").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(named, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*docs.columns)
-    return kept.dropDuplicates(["doc_id"])
+    """Of each class of near duplicates, the document with the least id (nulls last).
+
+    A document is an id (null or not) and a text: rows of equal id and equal text are one, others stay apart.
+    """
+    keyed = docs.withColumn("doc_key", F.xxhash64("doc_id", "text"))
+    classes = jaccard_join.near_duplicates(keyed, "doc_key").select("doc_key", "component_id").distinct()
+    ids = keyed.select("doc_key", F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "doc_key").alias("least"))
+    least = classes.join(ids, "doc_key").groupBy("component_id").agg(F.min("least").alias("least"))
+    named = least.select(F.col("least.doc_key").alias("doc_key"))
+    return keyed.join(named, "doc_key", "left_semi").dropDuplicates(["doc_key"]).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

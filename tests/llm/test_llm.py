@@ -208,3 +208,26 @@ def test_line_dedup_edges(spark):
     got = {r.doc_id: r for r in line_dedup.dedup_lines(df).collect()}
     assert got[0].text == f"own 0\n{line}\n\n" and all(got[i].text == f"own {i}\n\n" for i in range(1, 12))
     assert got[20].text is None and got[21].text == "" and not got[21].emptied and got[23].emptied and list(got[23].removed_lines) == [0, 1] and got[22].emptied
+
+
+def test_line_dedup_keeps_texts_of_shared_ids_apart(spark):
+    """Rows without an id, or of one id, lose their own boilerplate only."""
+    line = "shared boilerplate"
+    data = [(i, f"own {i}\n{line}", f"s{i}") for i in range(12)]
+    data += [(i, t, "s1") for i in (None, 50) for t in (f"a\n{line}", f"{i} b\nclean", f"{line}\n{i} c", f"{line}\n{i} c")]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    got = [(r.doc_id, r.text) for r in line_dedup.dedup_lines(df).collect() if r.doc_id in (None, 50)]
+    # the first occurrence of all stays, in the null id with the lowest position: both rows of equal id and text
+    want = [(None, "a"), (None, "None b\nclean"), *[(None, f"{line}\nNone c")] * 2, (50, "a"), (50, "50 b\nclean"), *[(50, "50 c")] * 2]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_pipeline_keeps_texts_of_shared_ids(spark):
+    import corpus_pipeline
+
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    data = [(None, a), (None, b), (None, b), (None, c), (7, a), (7, c), (7, c), (8, a), (9, d), (9, d + " more"), (None, None), (None, None), (10, None), (10, ""), (11, "")]
+    df = spark.createDataFrame(data, "doc_id bigint, text string")
+    got = [tuple(r) for r in corpus_pipeline.join_near(spark, df, SF).collect()]
+    assert got.pop(next(i for i, r in enumerate(got) if r[0] == 9)) in data
+    assert sorted(got, key=str) == sorted([(7, a), (7, c), (None, b), (None, None), (10, None), (10, ""), (11, "")], key=str)

@@ -10,7 +10,8 @@ documents that lose lines are rewritten.
 
 Defined cases: lines are compared without surrounding white space and blank lines always stay; a null site counts
 as no site; null or empty texts stay as they are; a document that loses every line keeps an empty text and is marked
-`emptied`; rows that share an id are treated as one document whose texts are all cut at the same positions.
+`emptied`; a document is an id (null or not) and a text, so rows that share an id are cut each by its own lines, and
+only rows of equal id and equal text are one document.
 """
 
 from __future__ import annotations
@@ -24,15 +25,15 @@ BAND, LOG_REGISTERS = 0.25, 10
 
 
 def occurrences(docs: DataFrame, key: str, text: str, site: str) -> DataFrame:
-    """A row per non-blank line: 128 bits of hash, id, position and site."""
-    lines = docs.select(F.col(key).alias("id"), F.col(site).alias("site"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+    """A row per non-blank line: 128 bits of hash, id and version (hash of the whole text), position and site."""
+    lines = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("version"), F.col(site).alias("site"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
     line = F.trim(F.regexp_replace("line", r"^\s+|\s+$", ""))
-    return lines.withColumn("line", line).where("line <> ''").select("id", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+    return lines.withColumn("line", line).where("line <> ''").select("id", "version", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """h1, h2 and the kept occurrence of each line on at least min_sites sites."""
-    spread = lines.groupBy("h1", "h2", "site").agg(F.min(F.struct("id", "pos")).alias("first"), F.count("*").alias("n"))
+    spread = lines.groupBy("h1", "h2", "site").agg(F.min(F.struct("id", "pos", "version")).alias("first"), F.count("*").alias("n"))
     spread = spread.groupBy("h1", "h2").agg(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS)).alias("sketch"), F.min("first").alias("first"), F.sum("n").alias("n"))
     rated = spread.where(F.col("n") >= min_sites).select("h1", "h2", "first", F.hll_sketch_estimate("sketch").alias("sites"))
     sure = rated.where(F.col("sites") > min_sites * (1 + BAND)).select("h1", "h2", "first")
@@ -45,10 +46,10 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id"
     """docs with the text cut, and removed_lines (positions from 0) and emptied."""
     lines = occurrences(docs, key, text, site)
     bad = boilerplate(lines, min_sites)
-    gone = lines.join(bad, ["h1", "h2"]).where(~(F.struct("id", "pos").eqNullSafe(F.col("first"))))
-    gone = gone.groupBy("id").agg(F.sort_array(F.collect_set("pos")).alias("removed_lines"))
+    gone = lines.join(bad, ["h1", "h2"]).where(~(F.struct("id", "pos", "version").eqNullSafe(F.col("first"))))
+    gone = gone.groupBy(F.col("id").alias("gone_id"), F.col("version").alias("gone_version")).agg(F.sort_array(F.collect_set("pos")).alias("removed_lines"))
     kept = [c for c in docs.columns if c not in ("removed_lines", "emptied")]
-    rows = docs.select(*(F.col(f"`{c}`") for c in kept)).join(gone, F.col(key).eqNullSafe(F.col("id")), "left").drop("id")
+    rows = docs.select(*(F.col(f"`{c}`") for c in kept)).join(gone, F.col(key).eqNullSafe(F.col("gone_id")) & (F.xxhash64(text) == F.col("gone_version")), "left")
     parts = F.split(text, "\n")
     cut = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("removed_lines", i)), "\n")
     left = F.when(F.col("removed_lines").isNull(), F.col(text)).otherwise(cut)
