@@ -177,7 +177,7 @@ def brute_components(texts):
 def test_jaccard_join_brute_force(spark, monkeypatch):
     import random
 
-    monkeypatch.setattr(jaccard_join, "BLOCK", 8)  # several blocks even for small clusters
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)  # several blocks even for small clusters
     rng = random.Random(3)
     base = [f"w{i}" for i in range(60)]
     texts = [None, "", "a b", "A  b", "a b c d e", " ".join(f"u{i}" for i in range(3000))]

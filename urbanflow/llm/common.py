@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,23 +21,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ascii_lower(col: Column) -> Column:
-    """A-Z only; every other character stays as it is."""
-    return F.translate(col, UPPER, UPPER.lower())
+    """A-Z only; every other character stays as it is.  Texts of ASCII alone take the faster way."""
+    return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(F.translate(col, UPPER, UPPER.lower()))
+
+
+#: The folders that `scratch` has opened, the innermost last.
+_OPEN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share.
 
-    Only where the setting is absent (local tests) is a folder of this machine taken.
+    Without that setting a local session (tests) takes a folder of this machine; any other raises.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = _OPEN[-1] if _OPEN else spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A shared folder for the intermediate tables made inside the block; it goes at the end, so write results before."""
+    _OPEN.append(shared_dir(spark))
+    try:
+        yield _OPEN[-1]
+    finally:
+        delete(spark, _OPEN.pop())
+
+
 def written(df: DataFrame, name: str = "t") -> DataFrame:
     """Cut the lineage: write to the shared folder and read again, so lost executors lose nothing."""
     path = f"{shared_dir(df.sparkSession)}/{name}"
@@ -44,6 +66,27 @@ def written(df: DataFrame, name: str = "t") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores at its end as it takes to differ from all columns of df."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def others(df: DataFrame, *names: str) -> list[str]:
+    """The columns of df without those called like the names."""
+    gone = {n.lower() for n in names}
+    return [c for c in df.columns if c.lower() not in gone]
+
+
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def pieces(sizes, limit: int) -> Iterator[tuple[int, int]]:
     """Ranges [a, b) of consecutive rows whose sizes sum to about `limit`; a larger row stands alone."""
     a = total = 0

@@ -1,15 +1,18 @@
 """Benchmark decontamination by winnowing.
 
 Both sides hash every k-gram of words and keep the least hash of each window of W consecutive k-grams, so any shared
-span of K + W - 1 = 10 words shares a fingerprint.  Fingerprints of the documents join those of the test items; each
-hit is then extended to the 10-word windows around it and compared word by word, so hash collisions don't count.
-Items of fewer than 10 words are one window of their own length, found by the hash of the whole of them.
+span of K + W - 1 = 10 words shares a fingerprint.  Fingerprints of the documents join those of the test items.  A hit
+is then extended: each test window with the fingerprint states where in it the fingerprint lies, which gives the
+document's words to compare with the window, one by one, so hash collisions don't count.  Items of fewer than 10 words
+are one window of their own length, found by the hash of the whole of them.
 
-Everything is built-in SQL.  The test side is broadcast only if it has at most BROADCAST_ROWS rows, else both
-sides are shuffled by fingerprint.  Documents shuffle only their hits.
+Everything is built-in SQL.  Three passes read the documents: the first keeps (key, version) of documents with a
+fingerprint hit, the second compares the words of those only, the third adds the results to all rows.  Each small side
+is broadcast only below a counted size; beyond it both sides are shuffled.
 
 Defined cases: null and empty texts have no words and aren't contaminated; items without words hit nothing; repeated
-items count each by its id; rows that share an id and a text give repeated rows.
+items count each by its id; a document is a key (null or not) and a text, and every row of it gets its result; columns
+called like the new ones are replaced, all others keep their values, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,12 +20,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanflow.llm.common import ascii_lower
+from urbanflow.llm.common import ascii_lower, fresh, others, quoted, written
 
 K, W = 5, 6
 SPAN = K + W - 1
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Rows that may be broadcast: fingerprints, documents with hits.
 BROADCAST_ROWS = 500_000
+#: Bytes of results that may be broadcast.
+BROADCAST_BYTES = 64_000_000
+NEW = ("n_words", "hit_words", "items", "contaminated")
 
 
 def words(text: Column) -> Column:
@@ -32,61 +39,70 @@ def words(text: Column) -> Column:
 
 def grams(n: int) -> Column:
     """Hashes of the n-grams of `words`, by position."""
-    return F.expr(f"transform(if(size(words) >= {n}, sequence(1, size(words) - {n - 1}), array()), i -> xxhash64(slice(words, i, {n})))")
+    own = ", ".join(f"get(words, i + {k})" for k in range(n))
+    return F.expr(f"transform(if(size(words) >= {n}, sequence(0, size(words) - {n}), array()), i -> xxhash64({own}))")
 
 
-def selected() -> Column:
-    """The fingerprint of each 10-word window: the least of the W hashes in it.  `grams` has those of K words."""
-    return F.expr(f"transform(if(size(grams) >= {W}, sequence(1, size(grams) - {W - 1}), array()), i -> array_min(slice(grams, i, {W})))")
+def each_window(body: str) -> Column:
+    """body (of i, the window's place) for each window of W hashes in `grams`."""
+    return F.expr(f"transform(if(size(grams) >= {W}, sequence(0, size(grams) - {W}), array()), i -> {body})")
 
 
-def size_checked(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+IN_WINDOW = ", ".join(f"get(grams, i + {k})" for k in range(W))
+LEAST = f"least({IN_WINDOW})"
+#: Where the window's fingerprint lies, from 0.
+PLACE = f"CAST(i - 1 + array_position(array({IN_WINDOW}), {LEAST}) AS INT)"
 
 
 def item_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
-    """span, print (fingerprint), window (words) and the items with it, one row per different window."""
-    rows = benchmark.select(F.col(item).alias("item"), words(F.col(text)).alias("words")).where("size(words) > 0")
-    long = rows.where(f"size(words) >= {SPAN}").withColumn("grams", grams(K)).select("item", "words", F.posexplode(selected()).alias("at", "print"))
-    long = long.select("item", F.lit(SPAN).alias("span"), "print", F.slice("words", F.col("at") + 1, SPAN).alias("window"))
-    short = rows.where(f"size(words) < {SPAN}").select("item", F.size("words").alias("span"), F.xxhash64("words").alias("print"), F.col("words").alias("window"))
-    return long.unionByName(short).groupBy("span", "print", "window").agg(F.collect_set("item").alias("items"))
-
-
-def windows(rows: DataFrame, short: list[int], *keep: str) -> DataFrame:
-    """A row per window of `words`: span, at (from 0) and print.  short: the lengths of items below 10 words."""
-    each = [F.struct(F.lit(SPAN).alias("span"), selected().alias("prints"))]
-    each += [F.struct(F.lit(m).alias("span"), grams(m).alias("prints")) for m in short]
-    return rows.withColumn("grams", grams(K)).select(*keep, F.explode(F.array(*each)).alias("e")).select(*keep, "e.span", F.posexplode("e.prints").alias("at", "print"))
+    """span, print (fingerprint), off (its place in the window), window (words) and the items with it, a row per window."""
+    rows = benchmark.select(quoted(item).alias("item"), words(quoted(text)).alias("words")).where("size(words) > 0")
+    long = rows.where(f"size(words) >= {SPAN}").withColumn("grams", grams(K))
+    long = long.select("item", "words", "grams", F.posexplode(each_window(PLACE)).alias("at", "place"))
+    long = long.select("item", F.lit(SPAN).alias("span"), F.get("grams", "place").alias("print"), (F.col("place") - F.col("at")).alias("off"), F.slice("words", F.col("at") + 1, SPAN).alias("window"))
+    out = long
+    for n in range(1, SPAN):
+        out = out.unionByName(rows.where(F.size("words") == n).select("item", F.lit(n).alias("span"), F.get(grams(n), F.lit(0)).alias("print"), F.lit(0).alias("off"), F.col("words").alias("window")))
+    return out.groupBy("span", "print", "off", "window").agg(F.collect_set("item").alias("items"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """All rows of docs with n_words, hit_words (positions from 0), items (ids) and contaminated."""
-    kept = [c for c in docs.columns if c not in ("n_words", "hit_words", "items", "contaminated")]
-    docs = docs.select(*(F.col(f"`{c}`") for c in kept))
-    tests = item_windows(benchmark, item, item_text)
+    tests = written(item_windows(benchmark, item, item_text), "tests")
     sizes = tests.groupBy("span").agg(F.count("*").alias("n")).collect()  # ten rows at most
     short, total = sorted(r["span"] for r in sizes if r["span"] < SPAN), sum(r["n"] for r in sizes)
     sized = F.broadcast if total <= BROADCAST_ROWS else lambda df: df
 
-    rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("version"), words(F.col(text)).alias("words"))
-    prints = [F.struct(F.lit(SPAN).alias("span"), F.array_distinct(selected()).alias("prints"))]
+    # Which documents share a fingerprint with an item.
+    rows = docs.select(quoted(key).alias("id"), F.xxhash64(quoted(text)).alias("version"), words(quoted(text)).alias("words"))
+    prints = [F.struct(F.lit(SPAN).alias("span"), F.array_distinct(each_window(LEAST)).alias("prints"))]
     prints += [F.struct(F.lit(m).alias("span"), F.array_distinct(grams(m)).alias("prints")) for m in short]
     seen = rows.withColumn("grams", grams(K)).select("id", "version", F.explode(F.array(*prints)).alias("e")).select("id", "version", "e.span", F.explode("e.prints").alias("print"))
     hits = seen.join(sized(tests.select("span", "print").distinct()), ["span", "print"], "left_semi").select(F.col("id").alias("hit_id"), F.col("version").alias("hit_version")).distinct()
-
-    # Extending: the windows of documents with hits, by fingerprint again and then word by word.
-    again = F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("version") == F.col("hit_version"))
-    texts = rows.join(hits, again, "left_semi").dropDuplicates(["id", "version"])
-    near = windows(texts, short, "id", "version", "words").join(sized(tests), ["span", "print"])
-    exact = near.where(F.slice("words", F.col("at") + 1, F.col("span")) == F.col("window"))
+    hits = written(hits, "hits")
+    hits = F.broadcast(hits) if hits.count() <= BROADCAST_ROWS else hits
+
+    # Extending: from the places of fingerprints to the windows that they may belong to, word by word.
+    texts = rows.join(hits, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("version") == F.col("hit_version")), "left_semi").withColumn("grams", grams(K))
+    places = [F.struct(F.lit(SPAN).alias("span"), F.transform(F.array_distinct(each_window(PLACE)), lambda p: F.struct(p.alias("place"), F.get("grams", p).alias("print"))).alias("prints"))]
+    places += [F.struct(F.lit(m).alias("span"), F.transform(grams(m), lambda g, i: F.struct(i.alias("place"), g.alias("print"))).alias("prints")) for m in short]
+    near = texts.select("id", "version", "words", F.explode(F.array(*places)).alias("e")).select("id", "version", "words", "e.span", F.inline("e.prints")).join(sized(tests), ["span", "print"])
+    at = F.col("place") - F.col("off")
+    exact = near.withColumn("at", at).where("at >= 0").where(F.slice("words", F.col("at") + 1, F.col("span")) == F.col("window"))
     spans = exact.select("id", "version", "items", F.sequence("at", F.col("at") + F.col("span") - 1).alias("covered"))
-    found = spans.groupBy(F.col("id").alias("hit_id"), F.col("version").alias("hit_version")).agg(
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set("covered")))).alias("hit_words"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-
-    item_type = benchmark.schema[item].dataType
-    out = docs.withColumn("version", F.xxhash64(text)).withColumn("id", F.col(key)).withColumn("n_words", F.size(words(F.col(text))).cast("bigint"))
-    return out.join(found, again, "left").select(
-        *kept, "n_words", F.coalesce("hit_words", F.array().cast("array<int>")).alias("hit_words"),
-        F.coalesce("items", F.array().cast("array<" + item_type.simpleString() + ">")).alias("items"), F.col("hit_words").isNotNull().alias("contaminated"))
+    found = spans.groupBy(F.col("id"), F.col("version")).agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("covered")))).alias("covered"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("tests"))
+    found = written(found, "found")
+    taken = found.agg(F.sum(64 + 4 * F.size("covered") + 16 * F.size("tests"))).first()[0] or 0
+
+    # `id` and the others must not clash with columns of docs.
+    mine = fresh(docs, "hit_id", "hit_version", "covered", "tests")
+    found = found.toDF(*mine)
+    found = F.broadcast(found) if taken <= BROADCAST_BYTES else found
+    hit_id, hit_version, covered, names = (F.col(c) for c in mine)
+    item_type = "array<" + benchmark.schema[item].dataType.simpleString() + ">"
+    out = docs.join(found, quoted(key).eqNullSafe(hit_id) & (F.xxhash64(quoted(text)) == hit_version), "left")
+    return out.select(
+        *(quoted(c) for c in others(docs, *NEW)), F.size(words(quoted(text))).cast("bigint").alias("n_words"), F.coalesce(covered, F.array().cast("array<int>")).alias("hit_words"),
+        F.coalesce(names, F.array().cast(item_type)).alias("items"), hit_version.isNotNull().alias("contaminated"))

@@ -1,17 +1,20 @@
 """Line dedup by the spread of a line over sites.
 
-Each line hash gathers a HyperLogLog sketch of the sites that carry it; sketches merge by aggregation, within tasks
-first.  A line whose estimate lies near the threshold gets an exact distinct count.  Lines on at least MIN_SITES
-sites are boilerplate: every occurrence goes but the first (lowest document id, then position), so nothing that
-the corpus says disappears altogether.
+Lines that occur at least MIN_SITES times gather a HyperLogLog sketch of the sites that carry them; sketches merge by
+aggregation, within tasks first.  A line whose estimate lies near the threshold gets an exact distinct count.  Lines on
+at least MIN_SITES sites are boilerplate: every occurrence goes but the first (lowest document id, then position), so
+nothing that the corpus says disappears altogether.
 
-Everything is built-in SQL.  Only occurrences of repeated lines take part after the first aggregation, and only
-documents that lose lines are rewritten.
+Everything is built-in SQL.  Texts are cut into hashed lines once, and those are written; all later steps read the
+hashes.  Lines are never shuffled by their hash, but for counts, which are summed within tasks first: frequent lines and
+boilerplate are broadcast if they are no more than BROADCAST_ROWS, else joined (where adaptive execution splits a
+line that a third of all documents carry).  Only documents that lose lines are rewritten.
 
 Defined cases: lines are compared without surrounding white space and blank lines always stay; a null site counts
 as no site; null or empty texts stay as they are; a document that loses every line keeps an empty text and is marked
 `emptied`; a document is an id (null or not) and a text, so rows that share an id are cut each by its own lines, and
-only rows of equal id and equal text are one document.
+only rows of equal id and equal text are one document; columns called removed_lines or emptied are replaced, all others
+keep their values, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,40 +22,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from urbanflow.llm.common import fresh, others, quoted, written
+
 MIN_SITES = 10
 #: Estimates within this share of the threshold are counted exactly; the sketch's error is about 3 % (2^10 registers).
 BAND, LOG_REGISTERS = 0.25, 10
+#: What may be broadcast: rows of line hashes, bytes of line positions.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64_000_000
+NEW = ("removed_lines", "emptied")
 
 
 def occurrences(docs: DataFrame, key: str, text: str, site: str) -> DataFrame:
     """A row per non-blank line: 128 bits of hash, id and version (hash of the whole text), position and site."""
-    lines = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("version"), F.col(site).alias("site"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+    lines = docs.select(quoted(key).alias("id"), F.xxhash64(quoted(text)).alias("version"), quoted(site).alias("site"), F.posexplode(F.split(quoted(text), "\n")).alias("pos", "line"))
     line = F.trim(F.regexp_replace("line", r"^\s+|\s+$", ""))
     return lines.withColumn("line", line).where("line <> ''").select("id", "version", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
+def few(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """h1, h2 and the kept occurrence of each line on at least min_sites sites."""
-    spread = lines.groupBy("h1", "h2", "site").agg(F.min(F.struct("id", "pos", "version")).alias("first"), F.count("*").alias("n"))
-    spread = spread.groupBy("h1", "h2").agg(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS)).alias("sketch"), F.min("first").alias("first"), F.sum("n").alias("n"))
-    rated = spread.where(F.col("n") >= min_sites).select("h1", "h2", "first", F.hll_sketch_estimate("sketch").alias("sites"))
-    sure = rated.where(F.col("sites") > min_sites * (1 + BAND)).select("h1", "h2", "first")
-    near = rated.where(F.col("sites").between(min_sites * (1 - BAND), min_sites * (1 + BAND))).select("h1", "h2", "first")
-    exact = lines.join(near.select("h1", "h2"), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.countDistinct("site").alias("sites")).where(F.col("sites") >= min_sites)
-    return sure.unionByName(near.join(exact.select("h1", "h2"), ["h1", "h2"]))
+    """h1, h2 and the kept occurrence of each line on at least min_sites sites.  lines: `occurrences`, written."""
+    line = ["h1", "h2"]
+    frequent = written(lines.groupBy(*line).agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select(*line), "frequent")
+    repeated = lines.join(few(frequent), line, "left_semi")
+    spread = repeated.groupBy(*line, "site").agg(F.min(F.struct("id", "pos", "version")).alias("first"))
+    spread = spread.groupBy(*line).agg(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS)).alias("sketch"), F.min("first").alias("first"))
+    rated = written(spread.select(*line, "first", F.hll_sketch_estimate("sketch").alias("sites")), "rated")
+    sure = rated.where(F.col("sites") > min_sites * (1 + BAND)).select(*line, "first")
+    near = rated.where(F.col("sites").between(min_sites * (1 - BAND), min_sites * (1 + BAND))).select(*line, "first")
+    exact = lines.join(few(near.select(*line)), line, "left_semi").select(*line, "site").distinct().groupBy(*line).agg(F.count("site").alias("sites")).where(F.col("sites") >= min_sites)
+    return sure.unionByName(near.join(exact.select(*line), line))
 
 
 def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
     """docs with the text cut, and removed_lines (positions from 0) and emptied."""
-    lines = occurrences(docs, key, text, site)
-    bad = boilerplate(lines, min_sites)
-    gone = lines.join(bad, ["h1", "h2"]).where(~(F.struct("id", "pos", "version").eqNullSafe(F.col("first"))))
-    gone = gone.groupBy(F.col("id").alias("gone_id"), F.col("version").alias("gone_version")).agg(F.sort_array(F.collect_set("pos")).alias("removed_lines"))
-    kept = [c for c in docs.columns if c not in ("removed_lines", "emptied")]
-    rows = docs.select(*(F.col(f"`{c}`") for c in kept)).join(gone, F.col(key).eqNullSafe(F.col("gone_id")) & (F.xxhash64(text) == F.col("gone_version")), "left")
-    parts = F.split(text, "\n")
-    cut = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("removed_lines", i)), "\n")
-    left = F.when(F.col("removed_lines").isNull(), F.col(text)).otherwise(cut)
-    rows = rows.withColumn("cut_text", left).withColumn("emptied", F.col("removed_lines").isNotNull() & (F.trim(F.regexp_replace("cut_text", r"\s+", "")) == ""))
-    rows = rows.withColumns({text: F.col("cut_text"), "removed_lines": F.coalesce("removed_lines", F.array().cast("array<int>"))})
-    return rows.select(*kept, "removed_lines", "emptied")
+    lines = written(occurrences(docs, key, text, site), "lines")
+    bad = written(boilerplate(lines, min_sites), "bad")
+    gone = lines.join(few(bad), ["h1", "h2"]).where(~(F.struct("id", "pos", "version").eqNullSafe(F.col("first"))))
+    gone = written(gone.groupBy("id", "version").agg(F.sort_array(F.collect_set("pos")).alias("gone")), "gone")
+    taken = gone.agg(F.sum(64 + 4 * F.size("gone"))).first()[0] or 0
+
+    mine = fresh(docs, "gone_id", "gone_version", "gone")
+    gone = gone.toDF(*mine)
+    gone = F.broadcast(gone) if taken <= BROADCAST_BYTES else gone
+    gone_id, gone_version, at = (F.col(c) for c in mine)
+    rows = docs.join(gone, quoted(key).eqNullSafe(gone_id) & (F.xxhash64(quoted(text)) == gone_version), "left")
+    cut = F.array_join(F.filter(F.split(quoted(text), "\n"), lambda x, i: ~F.array_contains(at, i)), "\n")
+    left = F.when(at.isNull(), quoted(text)).otherwise(cut)
+    return rows.select(
+        *((left.alias(text) if c == text else quoted(c)) for c in others(docs, *NEW)), F.coalesce(at, F.array().cast("array<int>")).alias("removed_lines"),
+        (at.isNotNull() & (F.trim(F.regexp_replace(left, r"\s+", "")) == "")).alias("emptied"))
