@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanflow.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, quality
-from urbanflow.llm.common import shared_dir, table
+from urbanflow.llm.common import delete, fresh, scratch, shared_dir, table, written
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,12 +27,26 @@ def join_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document is an id (null or not) and a text: rows of equal id and equal text are one, others stay apart.
     """
-    keyed = docs.withColumn("doc_key", F.xxhash64("doc_id", "text"))
-    classes = jaccard_join.near_duplicates(keyed, "doc_key").select("doc_key", "component_id").distinct()
-    ids = keyed.select("doc_key", F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "doc_key").alias("least"))
-    least = classes.join(ids, "doc_key").groupBy("component_id").agg(F.min("least").alias("least"))
-    named = least.select(F.col("least.doc_key").alias("doc_key"))
-    return keyed.join(named, "doc_key", "left_semi").dropDuplicates(["doc_key"]).select(*docs.columns)
+    rows = jaccard_join.classified(docs).groupBy("key", "version").agg(F.count("*").alias("k"), F.max("component").alias("component"))
+    rows = written(rows, "classes")
+    rank = F.struct(F.isnull("key").alias("no_id"), "key", "version")
+    best = written(rows.where("component is not null").groupBy("component").agg(F.min(rank).alias("best")), "best")
+    copies = rows.where("component is not null").join(best, "component").where(rank != F.col("best"))
+    left = matched(docs, copies, "left_anti")
+    # Rows of one id and one text are rare: only those are shuffled.
+    twice = rows.where("k > 1")
+    if twice.isEmpty():
+        return left
+    version, = fresh(docs, "version")
+    same = matched(left, twice, "left_semi").withColumn(version, F.xxhash64("text"))
+    return matched(left, twice, "left_anti").unionByName(same.dropDuplicates(["doc_id", version]).drop(version))
+
+
+def matched(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """docs joined (how: left_semi or left_anti) to rows of key and version."""
+    key, version = fresh(docs, "row_key", "row_version")
+    keys = written(keys.select(F.col("key").alias(key), F.col("version").alias(version)), "keys")
+    return docs.join(jaccard_join.few(keys, keys.count()), F.col("doc_id").cast("bigint").eqNullSafe(F.col(key)) & (F.xxhash64("text") == F.col(version)), how)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,10 +76,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     base = shared_dir(spark)
     for i, (name, stage) in enumerate(STAGES):
         path = f"{base}/{i}_{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
