@@ -1,31 +1,41 @@
 """PII: surrogate generation.
 
-Detected entities (email addresses, IPv4 addresses, phone numbers, payment card numbers, hexadecimal secrets and
-titled personal names) get keyed replacements of the same type.  A surrogate is drawn from a keyed hash of the
-normalised entity, so an entity has one surrogate wherever it occurs (coreference).  It keeps the format: every
-separator, the length, the case, the script of letters, and for a name the gender that its title or its given
-name tells.
-
-Distinctness: the distinct entities of the corpus are aggregated, surrogates that two entities share or that equal
-any real entity are drawn again (the smaller entity keeps the first draw), until none is left.  A name that is drawn
-again gets a further name of draw + 1 syllables, so names never run out.  Redrawn entities are few (chance collisions
-only, and names beyond the lists), and only they are joined to the documents by the texts that hold them.
-
-Defined cases: null texts stay null; text outside entities is unchanged byte for byte; equal texts get equal
-results; entities that overlap are taken from the left, the longer first; a draw number above MAX_DRAWS raises.
+Detected entities get keyed replacements of the same type: email addresses, IPv4 and IPv6 addresses, phone numbers, payment
+cards, US social security numbers, IBANs, secrets (hexadecimal runs and common key prefixes) and titled personal names.
+A surrogate depends on the key and the normalised entity only, so an entity has one surrogate wherever it occurs
+(coreference).  It keeps the format: separators, length, case, country, check digits, the script of letters, and for a
+name the gender that its title or its given name tells.
+
+Distinctness: the entities of one format are numbers below the count of that format's values, and a keyed permutation
+(a Feistel network on those numbers) that moves every one maps them to surrogates, so different entities never share
+one and none keeps its own.  Names have no such space: they are drawn from lists, and one that is drawn again gets a
+further name of draw + 1 syllables, so names never run out.
+
+Collision checks: the distinct entities of the corpus are aggregated; a surrogate that equals a real entity, or that two
+entities share, is drawn again (by another permutation, or with more syllables) until none is left.  A format of which
+the corpus holds more than a quarter of all values ("crowded", say all addresses of two letters at hosts of three) has
+no room for that: there the first permutation stands, and a surrogate may equal the real value of another entity.
+Redrawn entities are few, and only they are joined to the documents by the texts that hold them.
+
+Defined cases: null texts stay null; text outside entities is unchanged byte for byte; equal texts get equal results;
+entities that overlap are taken from the left, the longer first; a name of several words that a text has with a title is
+replaced in the same text without one too; an entity of no letter or digit that may change stays; columns called
+n_entities or kinds are replaced, all others keep their values, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanflow.llm.common import extended, pieces, written
+from urbanflow.llm.common import extended, fresh, others, pieces, quoted, tidy, written
 
 #: Given names by gender and script, each list in alphabetical order.
 GIVEN = {
@@ -45,46 +55,77 @@ SYLLABLES = {
 }
 TITLES = {"f": "Mrs Ms Miss Mme Frau Señora Sra", "m": "Mr Herr Señor Sr Monsieur"}
 NAME = r"[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-я]+"
-ENTITY = re.compile(
-    r"(?P<email>[A-Za-z0-9_.+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+)"
-    r"|(?P<ip>(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9]))"
-    r"|(?P<phone>(?<![0-9])\+[0-9]{1,3}[ -]?\([0-9]{2,4}\)[ -]?[0-9]{3}[ -]?[0-9]{4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9])\+[0-9]{1,3}(?:[ -]?[0-9]{2,4}){3,4}(?![0-9]))"
-    r"|(?P<card>(?<![0-9])(?:[0-9]{16}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9]))"
-    r"|(?P<secret>(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z]))"
-    rf"|(?P<name>\b(?:{'|'.join(w for v in TITLES.values() for w in v.split())})\.? {NAME}(?: {NAME})?)"
-)
-#: What a text must have one of for ENTITY to match it; a cheap test by the JVM.  Each kind of ENTITY implies a part of it,
-#: without \b, which Java and Python take differently.
-MAYBE = rf"@|[0-9]{{3}}|[0-9]\.[0-9]|\+[0-9]|[0-9A-Fa-f]{{32}}|(?:{'|'.join(w for v in TITLES.values() for w in v.split())})\.? [A-ZÀ-ÖØ-ÞА-Я]"
-MAX_DRAWS = 64
+#: A name of one text, by its title.  Each pattern begins with a character class, by which the engine skips quickly.
+TITLED = re.compile(rf"[FHMS](?<!\w[FHMS])(?:{'|'.join(sorted(w[1:] for v in TITLES.values() for w in v.split()))})\.? {NAME}(?: {NAME})?(?!\w)")
+EMAIL = re.compile(r"[A-Za-z0-9_.+-](?<![A-Za-z0-9_.+-]{2})[A-Za-z0-9_.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+#: Of texts with a digit only.
+NUMBERED = {
+    "ip": re.compile(r"[0-9](?<![0-9.][0-9])[0-9]{0,2}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"),
+    "phone": re.compile(
+        r"\+(?<![0-9]\+)[0-9]{1,3}[ -]?\([0-9]{2,4}\)[ -]?[0-9]{3}[ -]?[0-9]{4}(?![0-9])|\+(?<![0-9]\+)[0-9]{1,3}(?:[ .-]?[0-9]{1,4}){3,6}(?![0-9])"
+        r"|\((?<![0-9]\()[0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|[0-9](?<![0-9.+-][0-9])[0-9]{2}([-.])[0-9]{3}\1[0-9]{4}(?![0-9]|[.-][0-9])|0(?<![0-9.+-]0)[1-9]([ .-])[0-9]{2}(?:\2[0-9]{2}){3}(?![0-9]|[.-][0-9])"),
+    "card": re.compile(r"[0-9](?<![0-9][0-9])(?:[0-9]{12,18}|[0-9]{3}(?:[ -][0-9]{4}){3}|[0-9]{3}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"),
+    "ssn": re.compile(r"[0-9](?<![0-9-][0-9])[0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"),
+    "iban": re.compile(r"[A-Z](?<![0-9A-Za-z][A-Z])[A-Z][0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"),
+    "secret": re.compile(r"[0-9A-Fa-f](?<![0-9A-Za-z][0-9A-Fa-f])[0-9A-Fa-f]{31,}(?![0-9A-Za-z])|AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|sk-[A-Za-z0-9_-]{20,}|gh[pousr]_[A-Za-z0-9]{36,}"),
+    "ipv6": re.compile(r"[0-9A-Fa-f:](?<![0-9A-Za-z:.][0-9A-Fa-f:])[0-9A-Fa-f:]{2,38}(?![0-9A-Za-z:.]*[0-9A-Za-z:])"),
+}
+DIGIT = re.compile("[0-9]")
+PREFIXES = ("AKIA", "sk-", "ghp_", "gho_", "ghu_", "ghs_", "ghr_")
+#: Rounds of the permutation, and the share of a format's values from which it counts as crowded.
+ROUNDS, CROWDED = 6, 0.25
 BATCH_CHARS = 1_000_000
 BROADCAST_ROWS = 100_000
+ENTITY_DDL = "kind string, entity string, sex string"
 
 
-def stream(secret: bytes, kind: str, entity: str, draw: int):
-    """Endless keyed numbers below a bound: stream(...)(n)."""
-    block, n = b"", 0
+# Detection
 
-    def below(bound: int) -> int:
-        nonlocal block, n
-        if len(block) < 4:
-            block += hmac.new(secret, f"{kind}\0{entity}\0{draw}\0{n}".encode(), hashlib.sha256).digest()
-            n += 1
-        value, block = int.from_bytes(block[:4], "big"), block[4:]
-        return value % bound
 
-    return below
+def luhn(digits: str) -> int:
+    """The check digit that follows the digits."""
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        n = int(c) * (2 - i % 2)
+        total += n - 9 if n > 9 else n
+    return -total % 10
+
 
+def iban_check(country: str, body: str) -> str:
+    return f"{98 - int(''.join(str(int(c, 36)) for c in f'{body}{country}00')) % 97:02d}"
 
-def normal(kind: str, found: str) -> str:
-    """What makes two mentions one entity: case of addresses and secrets, and separators of numbers, don't."""
-    if kind in ("email", "secret"):
+
+def normal(kind: str, found: str) -> str | None:
+    """What makes two mentions one entity: case of addresses and hexadecimal secrets, and separators of numbers, don't.
+
+    None: it looks like the kind but isn't one.
+    """
+    if kind == "email":
         return found.lower()
-    if kind in ("phone", "card"):
-        return re.sub(r"[^0-9+]", "", found)
-    if kind == "name":
-        return found.partition(" ")[2]
-    return found
+    if kind == "ip":
+        parts = [int(x) for x in found.split(".")]
+        return ".".join(map(str, parts)) if max(parts) < 256 else None
+    if kind == "ipv6":
+        try:
+            return ipaddress.IPv6Address(found).exploded if found.count(":") > 1 else None
+        except ValueError:
+            return None
+    if kind == "phone":
+        bare = re.sub(r"[^0-9+]", "", found)
+        return bare if 8 <= len(bare.lstrip("+")) <= 15 else None
+    if kind == "card":
+        bare = re.sub(r"[^0-9]", "", found)
+        return bare if len(bare) == 16 or luhn(bare[:-1]) == int(bare[-1]) else None
+    if kind == "ssn":
+        return found.replace("-", "")
+    if kind == "iban":
+        bare = found.replace(" ", "")
+        return bare if 15 <= len(bare) <= 34 and iban_check(bare[:2], bare[4:]) == bare[2:4] else None
+    if kind == "secret":
+        if found.startswith(PREFIXES):
+            return found
+        return found.lower() if DIGIT.search(found) else None
+    return found.partition(" ")[2]
 
 
 def script(word: str) -> str:
@@ -100,78 +141,198 @@ def gender(entity: str, title: str = "") -> str:
     return next((g for (g, _), names in GIVEN.items() if first in names), "m")
 
 
-def like(ch: str, below) -> str:
-    if ch.isascii() and ch.isdigit():
-        return str(below(10))
-    if ch.isascii() and ch.isalpha():
-        return chr((65 if ch.isupper() else 97) + below(26))
-    return ch
+def entities(text: str | None):
+    """(kind, mention, entity, gender, start, end) of each entity from left to right."""
+    if not text:
+        return []
+    hits = [("email", m) for m in EMAIL.finditer(text)] if "@" in text else []
+    if DIGIT.search(text):
+        hits += [(kind, m) for kind, pattern in NUMBERED.items() for m in pattern.finditer(text)]
+    elif "::" in text:
+        hits += [("ipv6", m) for m in NUMBERED["ipv6"].finditer(text)]
+    found = [(m.start(), -m.end(), kind, m[0], entity, "") for kind, m in hits if (entity := normal(kind, m[0])) is not None]
+    names = {}
+    for m in TITLED.finditer(text):
+        entity = normal("name", m[0])
+        names[entity] = sex = gender(entity, m[0].partition(" ")[0])
+        found.append((m.start(), -m.end(), "name", m[0], entity, sex))
+    for entity, sex in names.items():
+        if " " in entity:
+            found += [(m.start(), -m.end(), "name", entity, entity, sex) for m in re.finditer(rf"(?<!\w){re.escape(entity)}(?!\w)", text)]
+    out, free = [], 0
+    for start, end, kind, mention, entity, sex in sorted(found):
+        if start >= free:
+            out.append((kind, mention, entity, sex, start, -end))
+            free = -end
+    return out
+
+
+# Surrogates
+
+
+def radices(kind: str, entity: str) -> tuple[str, list[int]]:
+    """The entity's format, and the number of values at each of its places: 1 where the character stays."""
+    each = lambda s: [10 if c.isascii() and c.isdigit() else 26 if c.isascii() and c.isalpha() else 1 for c in s]
+    if kind == "email":
+        head, _, last = entity.rpartition(".")
+        out = [*each(head), *[1] * (1 + len(last))]
+    elif kind == "ip":
+        out = [256] * 4
+    elif kind == "ipv6":
+        out = [16 if c != ":" else 1 for c in entity]
+    elif kind == "phone":
+        keep = 2 if entity.startswith("+") else 1 if entity.startswith("0") else 0
+        out = [*[1] * keep, *each(entity[keep:])]
+        out[0] = out[0] if keep else 9  # so it doesn't begin with 0
+    elif kind == "card":
+        out = [*each(entity[:-1]), 1]
+    elif kind == "iban":
+        out = [*[1] * 4, *each(entity[4:])]
+    elif kind == "secret" and entity.startswith(PREFIXES):
+        prefix = next(p for p in PREFIXES if entity.startswith(p))
+        out = [*[1] * len(prefix), *each(entity[len(prefix) :])]
+    elif kind == "secret":
+        out = [16] * len(entity)
+    else:
+        out = each(entity)
+    fixed = "".join(c if r == 1 else "9" if r in (9, 10) else ("A" if c.isupper() else "a") if r == 26 else "x" for c, r in zip(entity if kind != "ip" else "xxxx", out, strict=True))
+    if kind == "card":
+        fixed = f"{fixed[:-1]}+{(int(entity[-1]) - luhn(entity[:-1])) % 10}"  # how far the last digit is from the check digit
+    elif kind == "iban":
+        fixed = f"{fixed[:2]}{fixed[4:]}"
+    return fixed, out
+
+
+def number(kind: str, entity: str, places: list[int]) -> int:
+    parts = [int(x) for x in entity.split(".")] if kind == "ip" else entity
+    n = 0
+    for c, r in zip(parts, places, strict=True):
+        if r > 1:
+            n = n * r + (c if r == 256 else int(c, 16) if r == 16 else int(c) - 10 + r if r < 16 else ord(c.lower()) - 97)
+    return n
+
+
+def spelled(kind: str, entity: str, places: list[int], n: int) -> str:
+    """The value number n of the entity's format."""
+    out: list = list(entity.split(".") if kind == "ip" else entity)
+    for i in range(len(places) - 1, -1, -1):
+        if (r := places[i]) > 1:
+            n, v = divmod(n, r)
+            out[i] = str(v) if r == 256 else f"{v:x}" if r == 16 else str(v + 10 - r) if r < 16 else chr(v + (65 if out[i].isupper() else 97))
+    if kind == "card":
+        body = "".join(out[:-1])
+        return body + str((luhn(body) + int(entity[-1]) - luhn(entity[:-1])) % 10)
+    if kind == "iban":
+        return entity[:2] + iban_check(entity[:2], "".join(out[4:])) + "".join(out[4:])
+    return (".".join if kind == "ip" else "".join)(out)
+
+
+def feistel(n: int, size: int, tweak: bytes, back: bool) -> int:
+    """A keyed permutation of the numbers below size, or its inverse."""
+    half = max(1, ((size - 1).bit_length() + 1) // 2)
+    mask, width = (1 << half) - 1, half // 8 + 1
+
+    def turn(right: int, k: int) -> int:
+        return int.from_bytes(hashlib.shake_256(tweak + bytes([k]) + right.to_bytes(width, "big")).digest(width), "big") & mask
+
+    while True:  # walks on until it is below size again: four steps at the most on average
+        left, right = n >> half, n & mask
+        for k in range(ROUNDS - 1, -1, -1) if back else range(ROUNDS):
+            left, right = (right ^ turn(left, k), left) if back else (right, left ^ turn(right, k))
+        n = left << half | right
+        if n < size:
+            return n
+
+
+def stream(secret: bytes, kind: str, entity: str, draw: int):
+    """Endless keyed numbers below a bound: stream(...)(n)."""
+    block, n = b"", 0
+
+    def below(bound: int) -> int:
+        nonlocal block, n
+        if len(block) < 4:
+            block += hmac.new(secret, f"{kind}\0{entity}\0{draw}\0{n}".encode(), hashlib.sha256).digest()
+            n += 1
+        value, block = int.from_bytes(block[:4], "big"), block[4:]
+        return value % bound
 
+    return below
 
+
+@lru_cache(maxsize=100_000)
 def plain_surrogate(kind: str, entity: str, secret: bytes, draw: int, sex: str = "m") -> str:
     """The surrogate of a normalised entity."""
-    below = stream(secret, kind + sex * (kind == "name"), entity, draw)
-    if kind == "email":
-        user, _, host = entity.partition("@")
-        labels = host.split(".")
-        return "".join(like(c, below) for c in user) + "@" + ".".join(["".join(like(c, below) for c in x) for x in labels[:-1]] + labels[-1:])
-    if kind == "ip":
-        return ".".join(str((1 + below(223)) if i == 0 else below(256)) for i in range(4))
-    if kind == "secret":
-        return "".join("0123456789abcdef"[below(16)] for _ in entity)
     if kind == "name":
+        below = stream(secret, kind + sex, entity, draw)
         parts = entity.split(" ")
         kindred = [FAMILY[script(p)] if i == len(parts) - 1 else GIVEN[sex, script(p)] for i, p in enumerate(parts)]
         drawn = [names[below(len(names))] for names in kindred]
         more = SYLLABLES[script(parts[-1])]
         return " ".join(drawn) + ("" if draw == 0 else "-" + "".join(more[below(len(more))] for _ in range(draw + 1)).capitalize())
-    keep = 2 if kind == "phone" and entity.startswith("+") else 0
-    return entity[:keep] + "".join(like(c, below) for c in entity[keep:])
+    fixed, places = radices(kind, entity)
+    size = 1
+    for r in places:
+        size *= r
+    if size == 1:
+        return entity
+    tweak = hmac.new(secret, f"{kind}\0{fixed}\0{draw}".encode(), hashlib.sha256).digest()
+    # One step on a cycle through all values: distinct for distinct entities, and never the entity itself.
+    on = (feistel(number(kind, entity, places), size, tweak, False) + 1) % size
+    return spelled(kind, entity, places, feistel(on, size, tweak, True))
 
 
 def dressed(kind: str, found: str, surrogate: str) -> str:
     """The surrogate in the format of the mention: separators, case and title."""
-    if kind in ("phone", "card"):
+    if kind in ("phone", "card", "ssn", "iban"):
         rest = iter(surrogate)
-        return "".join(next(rest) if c.isdigit() or c == "+" else c for c in found)
-    if kind == "email" and any(c.isupper() for c in found):
-        if found.upper() == found:
-            return surrogate.upper()
-        return "".join(s.upper() if f.isupper() else s for f, s in zip(found, surrogate, strict=True))
-    if kind == "secret" and found.upper() == found:
+        return "".join(next(rest) if c.isalnum() or c == "+" else c for c in found)
+    if kind == "ipv6":
+        own = surrogate if ":" in found and "::" not in found and len(found) == 39 else ipaddress.IPv6Address(surrogate).compressed
+        return own.upper() if found.upper() == found and found.lower() != found else own
+    if found.upper() == found and kind in ("email", "secret") and not found.startswith(PREFIXES):
         return surrogate.upper()
-    if kind == "name":
+    if kind == "email" or kind == "secret" and not found.startswith(PREFIXES):
+        return "".join(s.upper() if f.isupper() else s for f, s in zip(found, surrogate, strict=True))
+    if kind == "name" and found.partition(" ")[0].rstrip(".") in " ".join(TITLES.values()).split():
         return f"{found.partition(' ')[0]} {surrogate}"
     return surrogate
 
 
-def entities(text: str | None):
-    """(kind, mention, entity, gender, start, end) of each entity from left to right."""
-    for m in ENTITY.finditer(text or ""):
-        kind, found = m.lastgroup, m[0]
-        entity = normal(kind, found)
-        yield kind, found, entity, gender(entity, found.partition(" ")[0]) if kind == "name" else "", *m.span()
+# Over the corpus
 
 
-def found_entities(docs: DataFrame, secret: bytes, key: str, text: str) -> DataFrame:
-    """Distinct kind, entity, sex and first-draw surrogate of the corpus."""
-    rows = docs.where(F.col(text).rlike(MAYBE)).select(text)
+def found_entities(docs: DataFrame, secret: bytes, text: str) -> DataFrame:
+    """Distinct kind, entity, sex, first surrogate, format and `room` (the number of the format's values) of the corpus."""
 
     def run(batches):
         for batch in batches:
             seen = {(k, e, g) for t in batch.column(0).to_pylist() for k, _, e, g, _, _ in entities(t)}
-            if seen:
-                out = sorted(seen)
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in zip(*out, strict=True)), pa.array([plain_surrogate(*x[:2], secret, 0, x[2]) for x in out])], names=["kind", "entity", "sex", "surrogate"])
-
-    return rows.mapInArrow(run, "kind string, entity string, sex string, surrogate string").distinct()
+            rows = []
+            for k, e, g in sorted(seen):
+                fixed, room = None, float("inf")
+                if k != "name":
+                    fixed, places = radices(k, e)
+                    room = 1.0
+                    for r in places:
+                        room = min(room * r, 1e300)
+                rows.append((k, e, g, plain_surrogate(k, e, secret, 0, g), fixed, room))
+            if rows:
+                cols = zip(zip(*rows, strict=True), (*[pa.string()] * 5, pa.float64()), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in cols], names=["kind", "entity", "sex", "surrogate", "format", "room"])
+
+    return docs.select(quoted(text)).mapInArrow(tidy(run), f"{ENTITY_DDL}, surrogate string, format string, room double").distinct()
 
 
 def redrawn(found: DataFrame, secret: bytes) -> DataFrame | None:
-    """kind, entity, sex, draw of the entities whose first surrogate clashes, or None.  Each round is one job."""
+    """kind, entity, sex, draw of the entities whose first surrogate clashes, or None.  Each round is one job.
+
+    Rounds end: in a format that isn't crowded each leaves at most half of its clashes on average, and names get longer.
+    """
     found = written(found, "entities")
+    crowded = found.groupBy("kind", "format").agg(F.count("*").alias("k"), F.max("room").alias("room")).where(F.col("k") > CROWDED * F.col("room")).select("kind", "format")
     real = found.select("kind", F.col("entity").alias("surrogate")).distinct()
-    settled, draw = found.withColumn("draw", F.lit(0)), 0
+    free = found.join(crowded, ["kind", "format"], "left_anti").select("kind", "entity", "sex", "surrogate")
+    settled, draw = written(free.withColumn("draw", F.lit(0)), "settled"), 0
     while True:
         shared = settled.groupBy("kind", "surrogate").agg(F.count("*").alias("n"), F.min(F.struct("draw", "entity", "sex")).alias("keeps")).where("n > 1")
         unreal = settled.join(real, ["kind", "surrogate"], "left_semi").select("kind", "entity", "sex")
@@ -180,35 +341,32 @@ def redrawn(found: DataFrame, secret: bytes) -> DataFrame | None:
         if clash.isEmpty():
             return settled.where("draw > 0").select("kind", "entity", "sex", "draw") if draw else None
         draw += 1
-        if draw > MAX_DRAWS:
-            raise ValueError("surrogates still clash; the formats of these entities leave too few")
 
         def again(batches, draw=draw):
             for b in batches:
                 ks, es, gs = (c.to_pylist() for c in b.columns)
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array([plain_surrogate(k, e, secret, draw, g) for k, e, g in zip(ks, es, gs, strict=True)], pa.string()), pa.array([draw] * len(ks), pa.int32())], names=["kind", "entity", "sex", "surrogate", "draw"])
 
-        fresh = clash.mapInArrow(again, "kind string, entity string, sex string, surrogate string, draw int")
-        settled = written(settled.join(clash, ["kind", "entity", "sex"], "left_anti").unionByName(fresh), "settled")
+        fresh_ones = clash.mapInArrow(again, f"{ENTITY_DDL}, surrogate string, draw int")
+        settled = written(settled.join(clash, ["kind", "entity", "sex"], "left_anti").unionByName(fresh_ones), "settled")
 
 
-def pseudonymize(docs: DataFrame, secret: bytes, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pseudonymize(docs: DataFrame, secret: bytes, text: str = "text") -> DataFrame:
     """docs with surrogates in `text`, and n_entities and kinds (sorted, of the entities found)."""
-    late = redrawn(found_entities(docs, secret, key, text), secret)
-    draws: dict[tuple[str, str, str], int] = {}
-    kept = [c for c in docs.columns if c not in ("n_entities", "kinds")]
-    docs = docs.select(*(F.col(f"`{c}`") for c in kept))
+    late = redrawn(found_entities(docs, secret, text), secret)
+    docs = docs.select(*(quoted(c) for c in others(docs, "n_entities", "kinds")))
     if late is not None:
         few = late.limit(BROADCAST_ROWS + 1).collect()
         if len(few) > BROADCAST_ROWS:
-            return replaced(joined_draws(docs, late, text), kept, secret, text, {})
-        draws = {(r["kind"], r["entity"], r["sex"]): r["draw"] for r in few}
-    return replaced(docs.withColumn("draws", F.lit(None).cast("map<string,int>")), kept, secret, text, draws)
+            return replaced(*joined_draws(docs, late, text), secret, text, {})
+        return replaced(docs, None, secret, text, {(r["kind"], r["entity"], r["sex"]): r["draw"] for r in few})
+    return replaced(docs, None, secret, text, {})
 
 
-def joined_draws(docs: DataFrame, late: DataFrame, text: str) -> DataFrame:
-    """docs with a map entity -> draw of their own redrawn entities; for more of them than may be broadcast."""
-    rows = docs.withColumn("version", F.sha2(F.coalesce(text, F.lit("")), 256))
+def joined_draws(docs: DataFrame, late: DataFrame, text: str) -> tuple[DataFrame, str]:
+    """docs with a map entity -> draw of their own redrawn entities, and its name; for more of them than may be broadcast."""
+    version, draws, own = fresh(docs, "version", "draws", "own")
+    rows = docs.withColumn(version, F.sha2(F.coalesce(quoted(text), F.lit("")), 256))
 
     def run(batches):
         for b in batches:
@@ -216,35 +374,38 @@ def joined_draws(docs: DataFrame, late: DataFrame, text: str) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out, strict=True)], names=["version", "kind", "entity", "sex"])
 
-    held = rows.where(F.col(text).rlike(MAYBE)).select("version", text).mapInArrow(run, "version string, kind string, entity string, sex string").distinct()
-    held = held.join(late, ["kind", "entity", "sex"]).groupBy("version").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\0", "kind", "entity", "sex"), "draw"))).alias("draws"))
-    return rows.join(held, "version", "left").drop("version")
+    held = rows.select(version, quoted(text)).mapInArrow(tidy(run), f"version string, {ENTITY_DDL}").distinct()
+    held = held.join(late, ["kind", "entity", "sex"]).groupBy(F.col("version").alias(own)).agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\0", "kind", "entity", "sex"), "draw"))).alias(draws))
+    return rows.join(held, F.col(version) == F.col(own), "left").drop(version, own), draws
 
 
-def replaced(docs: DataFrame, kept: list[str], secret: bytes, text: str, draws: dict) -> DataFrame:
+def replaced(docs: DataFrame, draws_in: str | None, secret: bytes, text: str, draws: dict) -> DataFrame:
+    """docs with surrogates.  draws_in: the column with each row's own draws, which goes; draws: those of all rows."""
+    kept = [c for c in docs.columns if c != draws_in]
     at, n = kept.index(text), len(kept)
-    rows = docs.select(*(F.col(f"`{c}`") for c in kept), "draws")
-    schema = extended(docs.select(*(F.col(f"`{c}`") for c in kept)), "n_entities int, kinds array<string>")
+    rows = docs.select(*(quoted(c) for c in kept), *([quoted(draws_in)] if draws_in else []))
+    schema = extended(docs.select(*(quoted(c) for c in kept)), "n_entities int, kinds array<string>")
 
     def one(t, own):
         if t is None:
             return None, 0, []
         out, pos, kinds = [], 0, []
         for kind, found, entity, sex, a, b in entities(t):
-            draw = (own or {}).get(f"{kind}\0{entity}\0{sex}", draws.get((kind, entity, sex), 0))
+            draw = own.get(f"{kind}\0{entity}\0{sex}", 0) if own else draws.get((kind, entity, sex), 0)
             out += [t[pos:a], dressed(kind, found, plain_surrogate(kind, entity, secret, draw, sex))]
             pos = b
             kinds.append(kind)
-        return "".join(out) + t[pos:], len(kinds), sorted(set(kinds))
+        return ("".join(out) + t[pos:] if out else t), len(kinds), sorted(set(kinds))
 
     def run(batches):
         for batch in batches:
             texts = batch.column(at).to_pylist()
             for a, b in pieces([len(t or "") + 200 for t in texts], BATCH_CHARS):
                 part = batch.slice(a, b - a)
-                done = [one(t, dict(own) if own else None) for t, own in zip(texts[a:b], part.column(n).to_pylist(), strict=True)]
+                owns = part.column(n).to_pylist() if draws_in else [None] * (b - a)
+                done = [one(t, dict(own) if own else None) for t, own in zip(texts[a:b], owns, strict=True)]
                 cols = [*part.columns[:n], pa.array([x[1] for x in done], pa.int32()), pa.array([x[2] for x in done], pa.list_(pa.string()))]
                 cols[at] = pa.array([x[0] for x in done], pa.string())
                 yield pa.RecordBatch.from_arrays(cols, names=[*kept, "n_entities", "kinds"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
