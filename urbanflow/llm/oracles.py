@@ -30,13 +30,13 @@ FROM (SELECT sum(n) AS total, count(*) AS k, sum(n * (s / n - m) ** 2) AS spread
 
 OP1 = f"""WITH u AS (SELECT page_id, coalesce({lower("regexp_extract(url, '://([^/?#]*)', 1)")}, '') AS host, coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 h0 AS (SELECT host, count(quality) AS n, coalesce(sum(quality), 0)::DOUBLE AS s, string_split(host, '.') AS parts FROM u LEFT JOIN (SELECT doc_id, quality FROM labels WHERE quality IN (0, 1)) ON doc_id = page_id GROUP BY host),
-h1 AS (SELECT host, n, s, array_to_string(parts[-2:], '.') AS domain, parts[-1] AS suffix FROM h0),
+h1 AS (SELECT host, n, s, array_to_string(parts[-2 - two:], '.') AS domain, array_to_string(parts[-1 - two:], '.') AS suffix FROM (SELECT *, CAST(array_to_string(parts[-2:], '.') IN {url_filter.SUFFIXES} AS INT) AS two FROM h0)),
 d1 AS (SELECT domain, suffix, sum(n) AS n, sum(s) AS s FROM h1 GROUP BY ALL), s1 AS (SELECT suffix, sum(n) AS n, sum(s) AS s FROM d1 GROUP BY ALL), whole AS (SELECT coalesce(sum(s) / nullif(sum(n), 0), 0.5) AS m FROM s1),
 {level("sfx", "SELECT suffix, n, s, m FROM s1, whole", "suffix")},
 {level("dom", "SELECT domain, d1.n, d1.s, p AS m FROM d1 JOIN sfx USING (suffix)", "domain")},
 {level("hst", "SELECT host, h1.n, h1.s, p AS m FROM h1 JOIN dom USING (domain)", "host")},
 r AS (SELECT host, p, p - {url_filter.Z} * sqrt(p * (1 - p) / (weight + 1)) AS bound, n FROM hst)
-SELECT page_id, host, path, {rule_cases(0)} AS rule, coalesce({rule_cases(1)}, CASE WHEN bound >= {url_filter.MIN_GOOD} THEN 'allow' ELSE 'block' END) AS verdict, round(p, 6) AS mean, round(bound, 6) AS bound, n AS n_labelled FROM u JOIN r USING (host)"""
+SELECT page_id, host, path, {rule_cases(0)} AS rule, coalesce({rule_cases(1)}, CASE WHEN bound >= {url_filter.MIN_SHARE} * m THEN 'allow' ELSE 'block' END) AS verdict, round(p, 6) AS mean, round(bound, 6) AS bound, n AS n_labelled FROM u JOIN r USING (host), whole"""
 
 
 def quoted(x: str) -> str:
@@ -50,28 +50,31 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, formatted) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(length(formatted))::BIGINT AS formatted_chars
 FROM f GROUP BY conv_id"""
 
-ANCHORS = "|".join(license_scan.ANCHORS)
-TEMPLATES = ", ".join(f"('{k}', '{v}')" for k, v in license_scan.TEMPLATES.items())
-N = len(license_scan.TEMPLATES)
+TEMPLATES = ", ".join(f"({i}, '{k}', '{v.replace(chr(39), chr(39) * 2)}')" for i, (k, v) in enumerate(license_scan.flat(license_scan.TEMPLATES)))
+N = len(license_scan.flat(license_scan.TEMPLATES))
 
 
 def words(x: str) -> str:
-    return f"regexp_extract_all({lower(x)}, '({license_scan.WORD})', 1)"
-
-
-OP4 = f"""WITH tf AS (SELECT template, word, count(*) AS tf FROM (SELECT template, unnest({words('body')}) AS word FROM (VALUES {TEMPLATES}) AS t(template, body)) GROUP BY ALL),
-idf AS (SELECT word, ln((1 + {N}) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY word), tn AS (SELECT template, sqrt(sum((tf * idf) ** 2)) AS norm FROM tf JOIN idf USING (word) GROUP BY template),
-tw AS (SELECT template, word, tf * idf / norm AS tw FROM tf JOIN idf USING (word) JOIN tn USING (template)),
-l AS (SELECT doc_id, unnest(range(len(string_split(text, chr(10)))))::INT AS line, unnest(string_split(text, chr(10))) AS body FROM documents WHERE regexp_matches(text, '(?i){ANCHORS}')),
-w AS (SELECT doc_id, line, word, count(*) AS tf FROM (SELECT doc_id, line, unnest({words('body')}) AS word FROM l WHERE regexp_matches(body, '(?i){ANCHORS}')) GROUP BY ALL),
-ww AS (SELECT doc_id, line, word, tf * coalesce(idf, ln(1 + {N}) + 1) AS w FROM w LEFT JOIN idf USING (word)), nn AS (SELECT doc_id, line, sqrt(sum(w * w)) AS norm FROM ww GROUP BY ALL),
-c AS (SELECT doc_id, line, template, round(sum(w * tw) / any_value(norm), 6) AS cosine FROM ww JOIN tw USING (word) JOIN nn USING (doc_id, line) GROUP BY ALL),
-own AS (SELECT doc_id, template AS license, cosine, line FROM c WHERE cosine >= {license_scan.MIN_COSINE} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, line, template) = 1),
+    return f"list_filter(regexp_extract_all({lower(x)}, '({license_scan.WORD})', 1), lambda w: NOT list_contains({license_scan.STOP}, w))"
+
+
+#: Every unit of every text is scored here, without the bound by which the operator leaves some out.
+OP4 = f"""WITH t AS (SELECT * FROM (VALUES {TEMPLATES}) AS t(i, template, body)), tf AS (SELECT i, word, count(*) AS tf FROM (SELECT i, unnest({words('body')}) AS word FROM t) GROUP BY ALL),
+idf AS (SELECT word, ln((1 + {N}) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY word), tn AS (SELECT i, sqrt(sum((tf * idf) ** 2)) AS norm FROM tf JOIN idf USING (word) GROUP BY i),
+tw AS (SELECT i, word, tf * idf / norm AS tw FROM tf JOIN idf USING (word) JOIN tn USING (i)),
+bl AS (SELECT doc_id, string_split_regex(text, '{license_scan.BLANK}') AS parts FROM documents),
+l AS (SELECT doc_id, 1 AS kind, unnest(range(len(string_split(text, chr(10)))))::INT AS place, unnest(string_split(text, chr(10))) AS body FROM documents
+UNION ALL SELECT doc_id, 2, place, body FROM (SELECT doc_id, unnest(range(len(parts)))::INT AS place, unnest(parts) AS body FROM bl) WHERE contains(body, chr(10)) UNION ALL SELECT doc_id, 3, 0, text FROM documents WHERE contains(text, chr(10))),
+w AS (SELECT doc_id, kind, place, word, count(*) AS tf FROM (SELECT doc_id, kind, place, unnest({words('body')}) AS word FROM l) GROUP BY ALL),
+ww AS (SELECT doc_id, kind, place, word, tf * coalesce(idf, ln(1 + {N}) + 1) AS w FROM w LEFT JOIN idf USING (word)), nn AS (SELECT doc_id, kind, place, sqrt(sum(w * w)) AS norm FROM ww GROUP BY ALL),
+c AS (SELECT doc_id, kind, place, template, round(sum(w * tw) / any_value(norm), 6) AS cosine FROM ww JOIN tw USING (word) JOIN t USING (i) JOIN nn USING (doc_id, kind, place) GROUP BY doc_id, kind, place, i, template
+UNION ALL SELECT doc_id, 0, 0, regexp_extract(text, '{license_scan.SPDX}', 1), 1.0 FROM documents WHERE regexp_extract(text, '{license_scan.SPDX}', 1) <> ''),
+own AS (SELECT doc_id, template AS license, cosine, ['spdx', 'line', 'block', 'text'][kind + 1] AS kind, place FROM c WHERE cosine >= {license_scan.MIN_COSINE} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, kind, place, template) = 1),
 p AS (SELECT doc_id, concat_ws('/', source, CASE WHEN doc_id % 100 <> 0 THEN lang END, CASE WHEN doc_id % 10 <> 0 THEN 'shelf' || (doc_id // 500) END, CAST(doc_id AS VARCHAR)) AS path FROM documents),
-r AS (SELECT p.*, regexp_replace(path, '/[^/]*$', '') AS dir, license, cosine, line FROM p LEFT JOIN own USING (doc_id)),
+r AS (SELECT p.*, regexp_replace(path, '/[^/]*$', '') AS dir, license, cosine, kind, place FROM p LEFT JOIN own USING (doc_id)),
 held AS (SELECT dir AS up, arg_min(license, doc_id) AS up_license FROM r WHERE license IS NOT NULL GROUP BY dir),
 near AS (SELECT d.dir, arg_max(up, length(up)) AS from_dir, arg_max(up_license, length(up)) AS dir_license FROM (SELECT DISTINCT dir FROM r) d JOIN held ON d.dir = up OR starts_with(d.dir, up || '/') GROUP BY d.dir)
-SELECT doc_id, path, coalesce(license, dir_license) AS license, CASE WHEN license IS NOT NULL THEN 'own' WHEN dir_license IS NOT NULL THEN 'directory' END AS origin, CASE WHEN license IS NULL THEN from_dir END AS from_dir, cosine, line FROM r LEFT JOIN near USING (dir)"""
+SELECT doc_id, path, coalesce(license, dir_license) AS license, CASE WHEN license IS NOT NULL THEN 'own' WHEN dir_license IS NOT NULL THEN 'directory' END AS origin, CASE WHEN license IS NULL THEN from_dir END AS from_dir, cosine, kind, place FROM r LEFT JOIN near USING (dir)"""
 
 
 def plain_words(x: str) -> str:
