@@ -117,7 +117,7 @@ def test_bpe_equals_tiktoken(spark):
         t = texts[r.doc_id] or ""
         assert list(r.token_ids) == own.encode_ordinary(t) and bytes(r.decoded) == t.encode()
         covered = [t[a:b] for a, b in zip(r.token_starts, r.token_ends, strict=True)]
-        assert all(byte_bpe.decoded_text(own.decode_single_token_bytes(i)).strip("�") in c for i, c in zip(r.token_ids, covered, strict=True))
+        assert all(own.decode_single_token_bytes(i).decode("utf-8", "replace").strip("\ufffd") in c for i, c in zip(r.token_ids, covered, strict=True))
     coded = byte_bpe.encode(docs_of(spark, texts), path, P.PATTERN)
     assert byte_bpe.round_trip(docs_of(spark, texts), path, P.PATTERN).collect() == byte_bpe.decode(coded, path).collect()
 

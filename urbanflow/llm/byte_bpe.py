@@ -2,7 +2,9 @@
 
 A rank file (base64 token and rank on each line) gives the vocabulary.  Bytes become printable characters by the
 usual byte table, every way of joining two tokens to a third becomes a merge of that third token's rank, and the
-library's model applies the merges to each match of the split pattern separately.  Decoding maps ids to bytes again.
+library's model applies the merges to each match of the split pattern separately.  Decoding maps ids to the printable
+characters of their tokens and reverses the byte table; an incremental decoder makes text of the bytes, so a character
+that two tokens share is whole again, and only what the ids leave unfinished at either end becomes U+FFFD.
 
 Defined cases: null text is empty; an empty text has no tokens; tokens may begin or end inside a character, and
 then their offsets cover that character, so neighbours overlap; columns named like the new ones are replaced.
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import base64
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,12 +24,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from urbanflow.llm.common import extended, pieces, tidy
+from urbanflow.llm.common import extended, others, pieces, quoted, tidy
 
 #: About so many pieces of text a worker remembers, the first that it meets, and the longest of them in characters.
 CACHE, CACHED_CHARS = 250_000, 64
 #: Bytes of text that are worked on at a time.
 BATCH_BYTES = 1_000_000
+#: Ids that become text at a time.
+SLICE = 100_000
 NEW = ["token_ids", "token_starts", "token_ends"]
 ARRAYS = ", ".join(f"{name} array<int>" for name in NEW)
 
@@ -121,25 +126,79 @@ def encoding(kept: list[str], text: str, path: str, pattern: str, offsets: bool)
     return run
 
 
+class Decoder:
+    """Printable characters of all tokens in one array, and the byte that each stands for."""
+
+    def __init__(self, path: str):
+        ranks, chars = vocabulary(path), byte_table()
+        size = max(ranks.values()) + 1
+        self.length, shown = np.zeros(size, np.int64), [""] * size
+        for tok, rank in ranks.items():
+            shown[rank] = "".join(chars[b] for b in tok)
+            self.length[rank] = len(tok)
+        self.start = np.cumsum(self.length) - self.length
+        self.shown = np.frombuffer("".join(shown).encode("utf-32-le"), np.uint32)
+        self.byte = np.zeros(512, np.uint8)
+        for b, c in enumerate(chars):
+            self.byte[ord(c)] = b
+
+    def __call__(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of the ids, one after the other."""
+        n = self.length[ids]
+        begin = np.cumsum(n) - n
+        at = np.repeat(self.start[ids] - begin, n) + np.arange(n.sum())
+        return self.byte[self.shown[at]]
+
+
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
+
+
 def decoding(kept: list[str], ids: str, path: str, out: str):
     """batches with columns `kept` -> batches with `out` added"""
     at = kept.index(ids)
 
     def run(batches):
-        table = [b""] * (max(vocabulary(path).values()) + 1)
-        for tok, rank in vocabulary(path).items():
-            table[rank] = tok
+        dec = decoder(path)
         for batch in batches:
             for a, b in pieces([(n or 0) + 50 for n in pc.list_value_length(batch.column(at)).to_pylist()], BATCH_BYTES // 2):
                 part = batch.slice(a, b - a)
-                texts = [b"".join([table[i] for i in x or ()]) for x in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*kept, out])
+                lists = part.column(at)
+                flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                ends = np.concatenate([[0], np.cumsum([n or 0 for n in pc.list_value_length(lists).to_pylist()])])
+                stops = np.concatenate([[0], np.cumsum(dec.length[flat])])[ends].astype(np.int32)
+                raw = pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(stops.tobytes()), pa.py_buffer(dec(flat).tobytes())])
+                yield pa.RecordBatch.from_arrays([*part.columns, raw], names=[*kept, out])
 
     return run
 
 
+def stream_text(path: str, slices) -> Iterator[str]:
+    """Text of slices of ids, one after the other: each gives the characters that are whole by its end."""
+    import codecs
+
+    dec, partly = decoder(path), codecs.getincrementaldecoder("utf-8")("replace")
+    for ids in slices:
+        yield partly.decode(dec(np.asarray(ids, np.int64)).tobytes())
+    yield partly.decode(b"", final=True)
+
+
+def decode_text(df: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded_text") -> DataFrame:
+    """Adds `out`, the text of the ids; ids that begin or end inside a character leave U+FFFD there."""
+    df = without(df, out)
+    kept, at = df.columns, df.columns.index(ids)
+
+    def run(batches):
+        for batch in batches:
+            texts = ["".join(stream_text(path, (x[i : i + SLICE] for i in range(0, len(x), SLICE)))) for x in (x or [] for x in batch.column(at).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, out])
+
+    return df.mapInArrow(tidy(run), extended(df, f"{out} string"))
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
-    return df.select(*(f"`{c}`" for c in df.columns if c not in names))
+    return df.select(*(quoted(c) for c in others(df, *names)))
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = True) -> DataFrame:
@@ -162,6 +221,3 @@ def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", out:
     return df.mapInArrow(tidy(lambda batches: back(there(batches))), extended(df, f"{ARRAYS}, {out} binary"))
 
 
-def decoded_text(raw: bytes) -> str:
-    """Text of decoded bytes; parts of characters at either end become U+FFFD."""
-    return raw.decode("utf-8", errors="replace")

@@ -1,9 +1,10 @@
 """Chat formatting with a grammar round trip.
 
-A turn is rendered by its role, parsed again by one regular grammar and compared to its source.  Content conflicts if
-it holds a control string; then one more backslash goes into every control string of the text, until both are identical.  Since the rule adds one backslash to any control
-string that has k of them after its first character, and parsing takes one away, it is reversible, and texts
-without control strings stay as they are.
+A turn is rendered by its role, parsed again by one deterministic grammar and compared to its source.  If they differ,
+or the parser finds a control string inside a text, the content conflicts: then one more backslash goes into each of
+its control strings, and it is compared again.  Since escaping adds one backslash to any control string that has k of
+them after its first character, and parsing takes one away, that is identical, and texts without control strings stay
+as they are.
 
     turn := "<s>" ( "[INST] " text " [/INST]"        user
                   | "<<SYS>> " text " <</SYS>>"      system
@@ -11,7 +12,8 @@ without control strings stay as they are.
                   | text "</s>" )                     assistant
 
 Rows of a conversation are ordered by turn (nulls first), then role and text, so ties have one order.  Null roles
-and texts are empty; rows of a null conversation form one.  Rendering and parsing are by row; only the digests need
+and texts are empty; rows of a null conversation form one; columns called like the new ones are replaced, all others
+keep their values.  Rendering and parsing are by row; only the digests need
 a conversation's rows in order, and they stream over sorted rows, so memory doesn't grow with a conversation.
 """
 
@@ -19,15 +21,17 @@ from __future__ import annotations
 
 import hashlib
 import re
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanflow.llm.common import extended
+from urbanflow.llm.common import extended, quoted
 
 CONTROL = r"/?s>|/?INST\]|<SYS>>|</SYS>>|\|role\|>|\|text\|>"
 CLASH = re.compile(rf"([<\[])(\\*)({CONTROL})")
+BARE = re.compile(rf"[<\[](?:{CONTROL})")
 QUOTED = re.compile(rf"([<\[])\\(\\*)({CONTROL})")
 TURN = re.compile(
     r"<s>(?:\[INST\] (?P<user>.*?) \[/INST\]|<<SYS>> (?P<system>.*?) <</SYS>>"
@@ -55,13 +59,18 @@ def layout(role: str, text: str, own_role: str) -> str:
 
 
 def parse(formatted: str) -> list[tuple[str, str, int, int]]:
-    """(role, text, start, end) of each turn; start and end bound the escaped text.  Raises if anything is left over."""
+    """(role, text, start, end) of each turn; start and end bound the escaped text.
+
+    Raises if anything is left over, or a text or role holds a control string that isn't escaped.
+    """
     out, pos = [], 0
     while pos < len(formatted):
         m = TURN.match(formatted, pos)
         if not m:
             raise ValueError(f"no turn at character {pos}")
         kind = m.lastgroup
+        if BARE.search(m[kind]) or kind == "other" and BARE.search(m["role"]):
+            raise ValueError(f"a control string inside the turn at character {pos}")
         role = unescape(m["role"]) if kind == "other" else kind
         out.append((role, unescape(m[kind]), *m.span(kind)))
         pos = m.end()
@@ -69,21 +78,20 @@ def parse(formatted: str) -> list[tuple[str, str, int, int]]:
 
 
 def render(role: str, text: str) -> str:
-    """The turn, with conflicting content escaped, once it parses to its source."""
-    own, own_role = text, role
-    if CLASH.search(text) or CLASH.search(role):
-        own, own_role = escape(text), escape(role)
-    out = layout(role, own, own_role)
-    if [(r, t) for r, t, _, _ in parse(out)] != [(role, text)]:
-        raise ValueError("a turn can't be formatted reversibly")
-    return out
+    """The turn, with content that conflicts escaped, once it parses to its source."""
+    for own, own_role in ((text, role), (escape(text), escape(role))):
+        out = layout(role, own, own_role)
+        with suppress(ValueError):
+            if [(r, t) for r, t, _, _ in parse(out)] == [(role, text)]:
+                return out
+    raise ValueError("a turn can't be formatted reversibly")
 
 
 def format_turns(df: DataFrame, role: str = "role", text: str = "text", out: str = "formatted") -> DataFrame:
     """Adds the rendered turn, and loss_start and loss_end: the characters of it that count for the loss."""
     new = [out, "loss_start", "loss_end"]
     kept = [c for c in df.columns if c not in new]
-    df = df.select(*(f"`{c}`" for c in kept))
+    df = df.select(*(quoted(c) for c in kept))
     schema = extended(df, f"{out} string, loss_start int, loss_end int")
     r, t = kept.index(role), kept.index(text)
 
@@ -97,11 +105,11 @@ def format_turns(df: DataFrame, role: str = "role", text: str = "text", out: str
     return df.mapInArrow(run, schema)
 
 
-def digests(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", formatted: str = "formatted") -> DataFrame:
+def digests(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", formatted: str = "formatted", role: str = "role") -> DataFrame:
     """One row per conversation, read back from the rendered turns by the parser."""
-    order = [F.col(conv).asc_nulls_first(), F.col(turn).asc_nulls_first(), F.col("role"), F.col(formatted)]
-    rows = turns.select(F.col(conv).cast("bigint").alias(conv), F.col(turn).alias(turn), F.coalesce("role", F.lit("")).alias("role"), formatted, "loss_start", "loss_end")
-    rows = rows.repartition(F.col(conv)).sortWithinPartitions(*order).select(conv, formatted, "loss_start", "loss_end")
+    rows = turns.select(quoted(conv).cast("bigint").alias("conv"), quoted(turn).alias("turn"), F.coalesce(quoted(role), F.lit("")).alias("role"), quoted(formatted).alias("formatted"), "loss_start", "loss_end")
+    order = [F.col("conv").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "formatted"]
+    rows = rows.repartition(F.col("conv")).sortWithinPartitions(*order).select("conv", "formatted", "loss_start", "loss_end")
     schema = f"{conv} bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
 
     def run(batches):

@@ -1,12 +1,16 @@
 """Media columns: signature sniffing.
 
 An Aho-Corasick automaton finds the magic bytes of known formats anywhere in a blob; a validator for each format
-then confirms its structure and finds where the media ends.  The first confirmed media gives the corrected type,
-and every confirmed media that doesn't lie inside another one can be carved out.
+then confirms its structure and finds where the media ends.  Every confirmed media that doesn't lie inside another
+one is carved out, and the longest of them (ties: the first) gives the corrected type.
+
+`store` keeps a text as WAV samples, as uploads look: a quarter of them bare, the others behind a part header, before a
+PNG thumbnail, or between both, all with a wrong declared type; what is read back has to be carved first.
 
 Defined cases: null blobs count as empty; a blob without confirmed media keeps its declared type only if that
 isn't a type that could have been confirmed, else it is application/octet-stream; magic bytes inside confirmed
-media are part of it.  All work is by row, without a shuffle.
+media are part of it; columns called like the new ones are replaced, all others keep their values.  All work is by row,
+without a shuffle.
 """
 
 from __future__ import annotations
@@ -92,20 +96,29 @@ def gif_end(b: bytes, at: int) -> int | None:
 
 def jpeg_end(b: bytes, at: int) -> int | None:
     """Marker segments of stated length; entropy-coded data up to the end marker."""
-    pos = at + 2
-    while pos + 4 <= len(b) and b[pos] == 0xFF:
+    pos, scanned = at + 2, False
+    while pos + 2 <= len(b) and b[pos] == 0xFF:
         kind = b[pos + 1]
+        if kind == 0xD9:
+            return pos + 2 if scanned else None
+        if pos + 4 > len(b):
+            return None
         pos += 2 + int.from_bytes(b[pos + 2 : pos + 4], "big")
-        if kind == 0xDA:
-            end = b.find(b"\xff\xd9", pos)
-            return end + 2 if end >= 0 else None
+        if kind == 0xDA:  # a scan goes on to the next marker that is neither a stuffed byte nor a restart
+            scanned = True
+            while (pos := b.find(b"\xff", pos)) >= 0 and pos + 1 < len(b) and (b[pos + 1] == 0 or 0xD0 <= b[pos + 1] <= 0xD7):
+                pos += 2
+            if pos < 0:
+                return None
     return None
 
 
 def pdf_end(b: bytes, at: int) -> int | None:
-    ref = b.find(b"startxref", at)
-    end = b.find(b"%%EOF", ref) if ref >= 0 else -1
-    return end + 5 if end >= 0 and b[at + 5 : at + 6].isdigit() else None
+    """Up to the last end mark (updates append further ones) before another header; each follows a startxref."""
+    stop = b.find(b"%PDF-", at + 5)
+    stop = stop if stop >= 0 else len(b)
+    end = b.rfind(b"%%EOF", at, stop)
+    return end + 5 if end >= 0 and b[at + 5 : at + 6].isdigit() and b.rfind(b"startxref", at, end) >= 0 else None
 
 
 def zip_end(b: bytes, at: int) -> int | None:
@@ -127,8 +140,8 @@ def flac_end(b: bytes, at: int) -> int | None:
         if first and (head & 0x7F or n != 34):
             return None
         first, pos = False, pos + 4 + n
-        if head & 0x80:
-            return len(b) if pos <= len(b) else None
+        if head & 0x80:  # a frame follows: 14 bits of sync
+            return len(b) if pos + 2 <= len(b) and b[pos] == 0xFF and b[pos + 1] & 0xFC == 0xF8 else None
     return None
 
 
@@ -207,26 +220,39 @@ def by_row(df: DataFrame, source: str, new: list[tuple[str, str, pa.DataType]],
 FOUND_ARROW = pa.list_(pa.struct([("type", pa.string()), ("start", pa.int64()), ("length", pa.int64())]))
 
 
+def chunk(kind: bytes, body: bytes) -> bytes:
+    return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+
+#: A PNG of one grey pixel.
+THUMBNAIL = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 1, 1, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(b"\0\x80")) + chunk(b"IEND", b"")
+#: What stands before and after the WAV, by checksum of the payload.
+LAYOUTS = [(b"", b""), (b"--part\r\nname=RIFF\r\n\r\n", b""), (b"", THUMBNAIL), (b"--part\r\n\r\n" + THUMBNAIL, b"\r\n--part--")]
+
+
 def store(df: DataFrame, text: str = "text", out: str = "blob", declared: str = "declared_type", says: str = "image/png") -> DataFrame:
-    """Whole text -> padded payload -> WAV in `out`; `declared` is what an uploader might have claimed."""
+    """Whole text -> padded payload -> WAV, somewhere in `out`; `declared` is what an uploader might have claimed."""
 
     def one(t):
         raw = (t or "").encode()
-        return len(raw), store_wav(padded(raw)), says
+        payload = padded(raw)
+        before, after = LAYOUTS[zlib.crc32(payload) % len(LAYOUTS)]
+        return len(raw), before + store_wav(payload) + after, says
 
     return by_row(df, text, [("n_bytes", "bigint", pa.int64()), (out, "binary", pa.binary()), (declared, "string", pa.string())], one)
 
 
 def sniff(df: DataFrame, blob: str = "blob", declared: str = "declared_type") -> DataFrame:
-    """Adds media (all confirmed), media_type (corrected), carved (bytes of the first) and, if that is WAV, payload and feature."""
+    """Adds media (all confirmed), media_type (corrected), carved (bytes of each) and, of the first WAV, payload and feature."""
 
     def one(b):
         found = sniff_bytes(b or b"")
-        first = b[found[0][1] : found[0][1] + found[0][2]] if found else None
-        samples = read_wav(first) if found and found[0][0] == "audio/wav" else None
-        return [{"type": k, "start": s, "length": n} for k, s, n in found], first, samples, feature(samples) if samples else None
+        carved = [b[s : s + n] for _, s, n in found]
+        samples = next((read_wav(x) for (k, _, _), x in zip(found, carved, strict=True) if k == "audio/wav"), None)
+        return [{"type": k, "start": s, "length": n} for k, s, n in found], carved, samples, feature(samples) if samples else None
 
-    new = [("media", FOUND, FOUND_ARROW), ("carved", "binary", pa.binary()), ("payload", "binary", pa.binary()), ("feature", "string", pa.string())]
+    new = [("media", FOUND, FOUND_ARROW), ("carved", "array<binary>", pa.list_(pa.binary())), ("payload", "binary", pa.binary()), ("feature", "string", pa.string())]
     out = by_row(df, blob, new, one)
     known = F.col(declared).isin(*ENDS)
-    return out.withColumn("media_type", F.when(F.size("media") > 0, F.col("media")[0]["type"]).when(known | F.col(declared).isNull(), OTHER).otherwise(F.col(declared)))
+    longest = F.array_max(F.transform("media", lambda m: F.struct(m["length"], -m["start"], m["type"].alias("type"))))
+    return out.withColumn("media_type", F.when(F.size("media") > 0, longest["type"]).when(known | F.col(declared).isNull(), OTHER).otherwise(F.col(declared)))

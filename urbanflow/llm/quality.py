@@ -6,11 +6,13 @@ the average comes before the softmax, a text's score needs one number for each h
 times the difference of the two output vectors.
 
 Learning takes at most PER_CLASS rows of each label (the smallest salted hashes of their ids), each as counts of
-hashed features made on the executors, so what reaches the driver is bounded by 2 * PER_CLASS * MAX_FEATURES pairs.
+hashed features made on the executors, and no more of them than MAX_PAIRS features in all (again by the smallest hashes),
+so what reaches the driver is bounded by 8 * MAX_PAIRS bytes, however long the labelled texts are.
 Scoring covers whole texts of all rows, by row, without a shuffle.
 
 Defined cases: an empty or null text has no features and gets the share of label 1 among the learning rows; null
-labels aren't learned from; ids with both labels count as each of them once; without learning rows every score is 0.5.
+labels aren't learned from; ids with both labels count as each of them once; without learning rows every score is 0.5;
+columns called score, held_out or predicted are replaced, all others keep their values.
 """
 
 from __future__ import annotations
@@ -20,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanflow.llm.common import extended, text_parts, tidy
+from urbanflow.llm.common import extended, quoted, text_parts, tidy, written
 
 BITS, DIM, EPOCHS, RATE = 16, 8, 8, 0.5
 #: Character n-grams of these lengths (bytes of UTF-8), besides whole words.
 NGRAMS = (3, 4)
-PER_CLASS, MAX_FEATURES = 1200, 1 << BITS
+PER_CLASS, MAX_PAIRS = 1200, 8_000_000
 BATCH_BYTES = 250_000
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -102,6 +104,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tuple[
             err *= weight[y] * rate
             back = err @ top
             top -= np.outer(err, mean).astype(np.float32)
+            # A feature's share of a text falls with the text's length; the root of the number of features makes up for it, so
+            # long texts teach their embeddings as fast as short ones.
             table[ids] -= np.outer(share * len(ids) ** 0.5, back).astype(np.float32)
     return (table @ (top[1] - top[0])).astype(np.float32), float(np.log(labels.mean() / (1 - labels.mean())))
 
@@ -114,21 +118,30 @@ def learning_rows(docs: DataFrame, labels: DataFrame, allowed: Column, per_class
     for y in (0, 1):
         own = ids.where(F.col("y") == y).orderBy(rank, key).limit(per_class)
         picked = own if picked is None else picked.union(own)
-    texts = docs.select(key, text).join(F.broadcast(picked), key).select("y", text)
+    texts = docs.select(key, text).join(F.broadcast(picked), key).select("y", text, rank.alias("rank"))
 
     def count(batches):
         for batch in batches:
-            ys = batch.column(0).to_pylist()
+            ys, ranks = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             out = []
             for a, found, owner, n in chunks(batch.column(1)):
                 for i in range(n):
                     ids, counts = np.unique(found[owner == i], return_counts=True)
                     if len(ids):
-                        out.append({"y": ys[a + i], "ids": ids.astype(np.int32), "counts": counts.astype(np.int32)})
+                        out.append({"y": ys[a + i], "rank": ranks[a + i], "n": len(ids), "ids": ids.astype(np.int32), "counts": counts.astype(np.int32)})
             if out:
-                yield pa.RecordBatch.from_pylist(out, pa.schema([("y", pa.int32()), ("ids", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))]))
+                yield pa.RecordBatch.from_pylist(out, pa.schema([("y", pa.int32()), ("rank", pa.int64()), ("n", pa.int64()), ("ids", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))]))
 
-    got = texts.mapInArrow(tidy(count), "y int, ids array<int>, counts array<int>").toArrow()
+    counted = written(texts.mapInArrow(tidy(count), "y int, rank bigint, n bigint, ids array<int>, counts array<int>"))
+    last, left = None, MAX_PAIRS
+    for r in counted.select("rank", "n").orderBy("rank").collect():  # 2 * PER_CLASS rows at the most
+        left -= r["n"]
+        if left < 0:
+            break
+        last = r["rank"]
+    if last is None:
+        return []
+    got = counted.where(F.col("rank") <= last).select("y", "ids", "counts").toArrow()
     y, ids, counts = (got.column(k).combine_chunks() for k in ("y", "ids", "counts"))
     rows = [(ids[i].values.to_numpy(), counts[i].values.to_numpy(), y[i].as_py()) for i in range(len(y))]
     return sorted(rows, key=lambda r: (r[2], len(r[0]), r[0].tobytes()))
@@ -137,7 +150,7 @@ def learning_rows(docs: DataFrame, labels: DataFrame, allowed: Column, per_class
 def score(df: DataFrame, weights: np.ndarray, prior: float, text: str = "text", out: str = "score") -> DataFrame:
     """Adds the probability of label 1."""
     kept = [c for c in df.columns if c != out]
-    df = df.select(*(f"`{c}`" for c in kept))
+    df = df.select(*(quoted(c) for c in kept))
     at = kept.index(text)
     shared = df.sparkSession.sparkContext.broadcast(weights)
 

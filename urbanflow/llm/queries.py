@@ -21,10 +21,12 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = media.store(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     back = media.sniff(stored).drop("blob")
     size = F.length("payload").cast("bigint")
+    kinds = F.transform("media", lambda m: m["type"])
+    wav = F.get("carved", F.array_position(kinds, F.lit("audio/wav")).cast("int") - 1)
     return back.select(
         "doc_id", "n_bytes", size.alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
-        F.crc32(F.substring("payload", -16, 16)).alias("tail_crc32"), F.length("carved").cast("bigint").alias("media_bytes"),
-        F.sha2("carved", 256).alias("media_sha256"), F.concat_ws(";", "media_type", "feature").alias("feature"))
+        F.crc32(F.substring("payload", -16, 16)).alias("tail_crc32"), F.length(wav).cast("bigint").alias("media_bytes"),
+        F.sha2(wav, 256).alias("media_sha256"), F.concat_ws(";", "media_type", "feature", F.array_join(kinds, ",")).alias("feature"))
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
