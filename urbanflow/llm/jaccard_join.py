@@ -479,13 +479,15 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(quoted(key).cast("bigint").alias("key"), F.xxhash64(quoted(text)).alias("version"), quoted(text).alias("text"))
 
 
-def prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(sized: key, version, n, digest; reps: cls, digest, key, version, n; stored: cls, n, shingles; members: cls, gid, n, lone, prefix)."""
+def prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """sized: key, version, n, digest; classes: digest, row (the least), k (rows), n, least (key); reps: cls, digest, key, version, n of those that
+    may link; stored: cls, n, shingles; members: cls, gid, n, lone, prefix."""
     sized = written(sets(docs), "sets")
     total = sized.agg(F.sum("n")).first()[0] or 0
     may = able(docs.select("text"), int(total // BUCKET) + 8)
     least_row = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "version")).alias("row")
-    reps = sized.where("n > 0").join(may, "digest", "left_semi").groupBy("digest").agg(least_row, F.max("n").alias("n"))
+    classes = written(sized.where("n > 0").groupBy("digest").agg(least_row, F.count("*").alias("k"), F.max("n").alias("n"), F.min("key").alias("least")), "classes")
+    reps = classes.join(may, "digest", "left_semi")
     # The ids are drawn once and written with their rows, so they never change.
     reps = written(reps.select(F.monotonically_increasing_id().alias("cls"), "digest", "row.key", "row.version", "n"), "reps")
 
@@ -502,12 +504,12 @@ def prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFram
     prefix = written(prefixes(stored.select("cls", "shingles"), int(left // BUCKET) + 8), "prefixes")
     groups = written(prefix.groupBy("n", "prefix").agg(F.min("cls").alias("gid")), "groups")
     members = written(prefix.join(groups, ["n", "prefix"]).select("cls", "gid", "n", "lone", "prefix"), "members")
-    return sized, reps, stored, members
+    return sized, classes, reps, stored, members
 
 
 def classified(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, version (xxhash64 of the text), n, component (a name; null: links with nothing) and component_id of each row."""
-    sized, reps, stored, members = prepared(keyed(docs, key, text))
+    sized, classes, reps, stored, members = prepared(keyed(docs, key, text))
     posts = written(postings(members.where("cls = gid")), "posts")
     near = written(stars(members.select("cls", "gid"), posts, stored), "near")
     label = rooted(near)
@@ -516,9 +518,8 @@ def classified(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     label = components(near.unionByName(more)).select(F.col("id").alias("cls"), "label")
 
     # Only classes with several rows or with links need a join; every other row is its own component.
-    classes = sized.where("n > 0").groupBy("digest").agg(F.count("*").alias("k"), F.min("key").alias("least"))
     ids = reps.select("digest", "cls").join(label, "cls", "left").select("digest", F.coalesce("label", "cls").alias("label"), F.col("label").isNotNull().alias("tied"))
-    tied = classes.join(ids, "digest", "left").where("k > 1 or tied").select("digest", "label", "least")
+    tied = classes.select("digest", "k", "least").join(ids, "digest", "left").where("k > 1 or tied").select("digest", "label", "least")
     least_of = tied.where("label is not null").groupBy("label").agg(F.min("least").alias("lowest"))
     tied = tied.join(least_of, "label", "left").select("digest", F.coalesce(F.col("label").cast("string"), F.hex("digest")).alias("component"), F.coalesce("lowest", "least").alias("lowest"))
     tied = written(tied, "tied")
@@ -533,7 +534,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def similar_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(every link a, b, common between classes, membership: key, version, n, class).  A class is named by its digest."""
-    sized, reps, stored, members = prepared(keyed(docs, key, text))
+    sized, _, reps, stored, members = prepared(keyed(docs, key, text))
     posts = written(postings(members.where("cls = gid")), "posts")
     inside = members.withColumn("label", F.col("cls")).join(clusters(posts), "gid", "left").withColumn("cluster", F.coalesce("cluster", "gid"))
     found = links(inside, stored, every=True)
