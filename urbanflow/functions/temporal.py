@@ -21,7 +21,8 @@ def parse_timestamp(parts: list[str], fmt: str, on_error: str = "fail") -> Colum
     joined = F.concat_ws(" ", *parts) if len(parts) > 1 else F.col(parts[0])
     if on_error == "fail":
         return F.to_timestamp_ntz(joined, F.lit(fmt))
-    return F.try_to_timestamp(joined, F.lit(fmt)).cast("timestamp_ntz")  # under a UTC session
+    # The value itself is parsed without zone; whether it parses is asked of the date, which no zone skips.
+    return F.when(F.call_function("try_to_date", joined, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(joined, F.lit(fmt)))
 
 
 def parse_date(column: str, fmt: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanflow.functions.temporal import hour_bucket
-from urbanflow.operators.joins import densify
+from urbanflow.operators.joins import bounded, densify
 
 
 def hourly_aggregate(df: DataFrame, keys: list[str], ts: str, value: str, start: Column | None = None, end: Column | None = None) -> DataFrame:
@@ -22,8 +22,8 @@ def hours_between(bounds: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def dense_grid(keys: DataFrame, hours: DataFrame) -> DataFrame:
-    """Every key with every hour.  keys: the entities, a table of bounded size."""
-    return hours.crossJoin(F.broadcast(keys))
+    """Every key with every hour.  keys: the entities, counted before they are broadcast."""
+    return hours.crossJoin(bounded(keys))
 
 
 def dense_counts(facts: DataFrame, keys: list[str], ts: str, entities: DataFrame, hours: DataFrame) -> DataFrame:

@@ -24,8 +24,13 @@ def latest_partition_snapshot(df: DataFrame, partitions: list[str], date: str) -
 
 
 def latest_file_snapshot(df: DataFrame, date: str) -> DataFrame:
-    """Rows of the newest date of all; the maximum is a broadcast row, not a window without partitions."""
+    """Rows of the newest date of all; the maximum is a broadcast row, not a window without partitions.
+
+    Rows without any date are an error: no file would be the newest.
+    """
     newest = df.agg(F.max(date).alias("_newest"))
+    if newest.first()[0] is None and not df.isEmpty():
+        raise ValueError(f"all rows have a null {date}")
     return df.join(F.broadcast(newest), F.col(date) == F.col("_newest")).drop("_newest")
 
 

@@ -9,7 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1000
+BUCKETS = 200
+
+
+def checked(scored: DataFrame, label: str, score: str) -> DataFrame:
+    """scored, whose rows fail as they are read if the label isn't 0 or 1 or the score isn't within 0 and 1 (null and NaN aren't)."""
+    y, s = F.col(label), F.col(score)
+    ok = F.coalesce(y.isin(0, 1) & s.between(0, 1) & ~F.isnan(s.cast("double")), F.lit(False))
+    return scored.withColumn(score, F.when(ok, s).otherwise(F.raise_error(F.lit(f"{label} must be 0 or 1 and {score} within 0 and 1")).cast("double")))
 
 
 def by_score(scored: DataFrame, label: str, score: str, segments: list[str]) -> DataFrame:
@@ -20,7 +27,10 @@ def by_score(scored: DataFrame, label: str, score: str, segments: list[str]) ->
 def running_frames(scored: DataFrame, label: str, score: str, segments: list[str] | None = None) -> DataFrame:
     """Per distinct score: n, pos, and above it (higher scores) n_above, pos_above; with it n_to, pos_to."""
     segments = segments or []
-    rows = by_score(scored, label, score, segments).withColumn("bucket", F.floor(F.col("score") * BUCKETS).cast("int"))
+    rows = by_score(checked(scored, label, score), label, score, segments)
+    # Bounds at quantiles, so rare-event scores close to 0 fall into many buckets; one row of at most BUCKETS numbers.
+    edges = rows.agg(F.array_distinct(F.percentile_approx("score", F.array(*(F.lit(k / BUCKETS) for k in range(1, BUCKETS))), F.lit(10 * BUCKETS))).alias("edges"))
+    rows = rows.join(F.broadcast(edges)).withColumn("bucket", F.when(F.col("edges").isNull(), 0).otherwise(F.expr("size(filter(edges, e -> e < score))"))).drop("edges")
     totals = rows.groupBy(*segments, "bucket").agg(F.sum("n").alias("bn"), F.sum("pos").alias("bp"))
     # The number of buckets is fixed, so this window's input doesn't grow with the data.
     w = Window.partitionBy(*segments).orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
@@ -53,12 +63,12 @@ def curve_points(scored: DataFrame, label: str, score: str, steps: int = 100) ->
     rows = running_frames(scored, label, score)
     whole = rows.agg(F.sum("n").alias("all"), F.sum("pos").alias("all_pos"))
     rows = rows.join(F.broadcast(whole)).withColumn("below_to", F.col("all") - F.col("n_above"))  # rows up to and with this score
-    grid = F.explode(F.sequence(F.lit(0), F.lit(steps)))
-    need = lambda k: F.greatest(F.ceil(k * F.col("all") / steps), F.lit(1))
-    points = rows.select("*", grid.alias("k")).where((need(F.col("k")) <= F.col("below_to")) & (need(F.col("k")) > F.col("below_to") - F.col("n")))
-    return points.groupBy(F.col("score").alias("threshold")).agg(
-        F.first(F.col("pos_to") / F.col("n_to")).alias("precision"), F.first(F.try_divide(F.col("pos_to"), F.col("all_pos"))).alias("recall"),
-        F.first(F.try_divide(F.col("n_to") - F.col("pos_to"), F.col("all") - F.col("all_pos"))).alias("false_positive_rate"))
+    # The percentile k / steps lies in this row if k * all / steps, rounded up and at least 1, is a rank of it: the last such k is enough.
+    need = F.greatest(F.expr(f"((below_to * {steps} div all) * all + {steps - 1}) div {steps}"), F.lit(1))
+    points = rows.where(need > F.col("below_to") - F.col("n"))
+    return points.select(
+        F.col("score").alias("threshold"), (F.col("pos_to") / F.col("n_to")).alias("precision"), F.try_divide(F.col("pos_to"), F.col("all_pos")).alias("recall"),
+        F.try_divide(F.col("n_to") - F.col("pos_to"), F.col("all") - F.col("all_pos")).alias("false_positive_rate"))
 
 
 def calibration_bins(scored: DataFrame, label: str, score: str, bins: int = 10) -> DataFrame:

@@ -36,6 +36,20 @@ def key_diff(expected: DataFrame, found: DataFrame, keys: list[str]) -> DataFram
     return missing.unionByName(b.join(a, keys, "left_anti").withColumn("side", F.lit("extra")))
 
 
+def bounded(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """df to broadcast, after its rows are counted; more than `rows` are an error."""
+    if (n := df.count()) > rows:
+        raise ValueError(f"{n} rows are too many to broadcast; at most {rows}")
+    return F.broadcast(df)
+
+
+def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows that one side has more often than the other, with that side and how much more often."""
+    a, b = (df.groupBy(*left.columns).agg(F.count("*").alias("k")) for df in (left, right.select(*left.columns)))
+    signed = a.unionByName(b.withColumn("k", -F.col("k"))).groupBy(*left.columns).agg(F.sum("k").alias("k")).where("k <> 0")
+    return signed.select(*left.columns, F.when(F.col("k") > 0, "left").otherwise("right").alias("side"), F.abs("k").alias("times"))
+
+
 def densify(grid: DataFrame, facts: DataFrame, keys: list[str], zero: list[str]) -> DataFrame:
     """Every row of grid; counts without facts are 0.  Null keys meet each other."""
     side = facts.select(*(F.col(k).alias(f"_{k}") for k in keys), *zero)

@@ -29,11 +29,20 @@ def stages(numeric: list[str], flags: list[str], categories: list[str]) -> list:
     ]
 
 
+def require_values(train: DataFrame, numeric: list[str]) -> None:
+    """A feature without any finite value has no median: an error."""
+    row = train.agg(*(F.count(F.when(~F.isnan(F.col(c).cast("double")) & (F.abs(c) < float("inf")), 1)).alias(c) for c in numeric)).first()
+    if gone := [c for c in numeric if not row[c]]:
+        raise ValueError(f"no valid value of {gone}")
+
+
 def fit_preprocess(train: DataFrame, numeric: list[str], flags: list[str], categories: list[str]) -> PipelineModel:
+    require_values(train, numeric)
     return Pipeline(stages=stages(numeric, flags, categories)).fit(train)
 
 
 def fit_logistic(train: DataFrame, label: str, numeric: list[str], flags: list[str], categories: list[str]) -> PipelineModel:
+    require_values(train, numeric)
     model = LogisticRegression(featuresCol="features", labelCol=label, regParam=0.1, elasticNetParam=0.0, maxIter=100)
     return Pipeline(stages=[*stages(numeric, flags, categories), model]).fit(train)
 

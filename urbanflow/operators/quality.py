@@ -46,6 +46,41 @@ def feature_quality_profile(df: DataFrame, ranges: dict[str, Range]) -> DataFram
     return df.agg(F.array(*each).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
 
 
+def require(checks: DataFrame, what: str) -> None:
+    """Raises if a counter of the one row of checks isn't 0."""
+    if bad := {k: v for k, v in checks.first().asDict().items() if v}:
+        raise ValueError(f"{what}: {bad}")
+
+
+def grid_problems(grid: DataFrame, entity: str, ts: str) -> DataFrame:
+    """One row: null keys, repeated rows, and how many rows of entities x hours (from the first to the last) are missing."""
+    keys = grid.groupBy(entity, ts).agg(F.count("*").alias("n"))
+    hours = (F.unix_timestamp(F.max(ts).cast("timestamp")) - F.unix_timestamp(F.min(ts).cast("timestamp"))) / 3600 + 1
+    whole = F.col(entity).isNotNull() & F.col(ts).isNotNull()
+    sums = keys.agg(
+        F.coalesce(F.sum(F.when(~whole, F.col("n"))), F.lit(0)).alias("n_null"), F.coalesce(F.sum(F.when(whole, F.col("n") - 1)), F.lit(0)).alias("n_repeated"),
+        (F.countDistinct(F.when(whole, F.col(entity))) * hours - count_if(whole, "x")).cast("bigint").alias("n_missing"))
+    return sums
+
+
+def count_without_mean(df: DataFrame, pairs: dict[str, str]) -> DataFrame:
+    """One row: for each mean and its count, the rows where one says that there are values and the other that there are none."""
+    checks = {}
+    for mean, n in pairs.items():
+        checks |= {f"{mean}_without_{n}": F.col(mean).isNotNull() & (F.col(n) == 0), f"{n}_without_{mean}": F.col(mean).isNull() & (F.col(n) > 0)}
+    return counters(df, checks)
+
+
+def reconciled(parts: DataFrame, names: list[str], total: str) -> DataFrame:
+    """parts (one row of counts) with `difference`: the total less its parts."""
+    return parts.withColumn("difference", F.col(total) - sum((F.col(n) for n in names), F.lit(0)))
+
+
+def summary_problems(summary: DataFrame, expected: dict) -> DataFrame:
+    """One row: 1 for each value of the summary that isn't the expected one."""
+    return summary.select(*((~F.col(k).eqNullSafe(F.lit(v).cast(summary.schema[k].dataType))).cast("bigint").alias(k) for k, v in expected.items()))
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
@@ -79,6 +114,14 @@ def output_summary(df: DataFrame, entity: str, ts: str, target: str) -> DataFram
         count_if(positive, "n_positive"), F.countDistinct(F.when(positive, F.col(entity))).alias("n_positive_entities"))
 
 
-def schema_rows(df: DataFrame) -> DataFrame:
-    """name, type and position of each column, to hold against a contract."""
-    return df.sparkSession.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)], "position int, name string, type string")
+def schema_problems(df: DataFrame, contract: list[tuple[str, str, bool]]) -> DataFrame:
+    """name and problem (missing, extra, position, type or nullability) of columns that differ from (name, type, may be null)."""
+    fields, wanted, rows = {f.name: (i, f) for i, f in enumerate(df.schema.fields)}, {name for name, _, _ in contract}, []
+    for i, (name, kind, nullable) in enumerate(contract):
+        if name not in fields:
+            rows.append((name, "missing"))
+            continue
+        at, f = fields[name]
+        rows += [(name, what) for what, differs in (("position", at != i), ("type", f.dataType.simpleString() != kind), ("nullability", f.nullable and not nullable)) if differs]
+    rows += [(name, "extra") for name in fields if name not in wanted]
+    return df.sparkSession.createDataFrame(rows, "name string, problem string")

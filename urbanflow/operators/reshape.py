@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanflow.operators.columns import require_columns
+from urbanflow.operators.columns import require_columns, safe_labels
 
 
 def hourly_wide_to_long(df: DataFrame, year: str, month: str, day: str, value_prefix: str = "h", valid_prefix: str = "v", hours: range = range(1, 25), hour_offset: int = -1, out: tuple[str, str, str] = ("value", "valid", "ts")) -> DataFrame:
@@ -27,8 +27,27 @@ def pivot_wide(df: DataFrame, keys: list[str], label: str, value: str, labels: l
     return df.groupBy(*keys).pivot(label, labels).agg(F.avg(value))
 
 
-def conditional_pivot(df: DataFrame, keys: list[str], label: str, value: str, labels: list[str]) -> DataFrame:
-    """<label>_mean and <label>_n (non-null values) for each label."""
+def pivot_first(df: DataFrame, keys: list[str], label: str, value: str, order: list[Column], prefix: str = "", max_labels: int = 1000) -> DataFrame:
+    """A column for each label that df has, with the first non-null value by `order`, under a name that a column may have.
+
+    The labels are looked for by one job and may be max_labels at the most, since each becomes a column.
+    """
+    found = [r[0] for r in df.where(F.col(label).isNotNull()).select(F.col(label).cast("string")).distinct().limit(max_labels + 1).collect()]
+    if len(found) > max_labels:
+        raise ValueError(f"{label} has more than {max_labels} values")
+    names = safe_labels(sorted(found), prefix)
+    if clash := sorted(set(names.values()) & set(keys)):
+        raise ValueError(f"columns exist already: {clash}")
+    rank = F.struct(*order)
+    return df.groupBy(*keys).agg(*(F.min_by(value, F.when((F.col(label).cast("string") == x) & F.col(value).isNotNull(), rank)).alias(n) for x, n in names.items()))
+
+
+def conditional_pivot(df: DataFrame, keys: list[str], label: str, value: str, labels: list[str], required: bool = False) -> DataFrame:
+    """<label>_mean and <label>_n (non-null values) for each label; required: a label without any row is an error."""
+    if required:
+        there = {r[0] for r in df.where(F.col(label).isin(*labels)).select(label).distinct().collect()}  # as many as labels
+        if gone := [x for x in labels if x not in there]:
+            raise ValueError(f"no rows with {label} = {gone}")
     at = lambda x: F.when(F.col(label) == x, F.col(value))
     aggs = [a for x in labels for a in (F.avg(at(x)).alias(f"{x}_mean"), F.count(at(x)).alias(f"{x}_n"))]
     return df.where(F.col(label).isin(*labels)).groupBy(*keys).agg(*aggs)

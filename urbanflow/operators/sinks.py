@@ -37,6 +37,20 @@ def upsert(df: DataFrame, path: str, keys: list[str]) -> None:
     tables.write_version(merged(tables.read_version(spark, path, newest), df, keys), path, newest + 1)
 
 
+def insert_overwrite(df: DataFrame, table: str) -> None:
+    """The rows of df in place of all rows of a managed table, in the table's own columns and types, which stay as they are."""
+    schema = df.sparkSession.table(table).schema
+    gone, more = [f.name for f in schema if f.name not in df.columns], [c for c in df.columns if c not in schema.names]
+    if gone or more:
+        raise ValueError(f"{table} wants {gone} and knows no {more}")
+    df.select(*(F.col(f.name).cast(f.dataType) for f in schema)).write.mode("overwrite").insertInto(table)
+
+
+def managed(df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
+    """df as a managed table of the catalog."""
+    check_names(df).write.mode("overwrite").option("overwriteSchema", "true").partitionBy(*(partition_by or [])).format("parquet").saveAsTable(table)
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Only the partitions that df has rows of are replaced."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from urbanflow.operators.joins import bounded
+
 
 def regions(spark: SparkSession, rings: dict[int, list[tuple[float, float]]]) -> DataFrame:
     """code, bounding box and edges of closed rings."""
@@ -32,13 +34,13 @@ def covers(edges: str, x: Column, y: Column) -> Column:
 
 
 def assign_region(points: DataFrame, polygons: DataFrame, key: str, x: str, y: str, strict: bool = False) -> DataFrame:
-    """points with region (null unless exactly one covers it) and matches.  polygons: a few, of bounded number.
+    """points with region (null unless exactly one covers it) and matches.  polygons: counted before they are broadcast.
 
     strict raises if a key is null or repeated, a coordinate is null or NaN, or a point isn't in exactly one region.
     """
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     box = px.between(F.col("x0"), F.col("x1")) & py.between(F.col("y0"), F.col("y1"))
-    hits = points.select(key, x, y).join(F.broadcast(polygons), box & covers("edges", px, py)).groupBy(key).agg(F.count("*").alias("matches"), F.min("code").alias("_code"))
+    hits = points.select(key, x, y).join(bounded(polygons, 10_000), box & covers("edges", px, py)).groupBy(key).agg(F.count("*").alias("matches"), F.min("code").alias("_code"))
     out = points.join(hits, key, "left").withColumns({"region": F.when(F.col("matches") == 1, F.col("_code")), "matches": F.coalesce("matches", F.lit(0))}).drop("_code")
     if strict:
         bad = out.where(F.col(key).isNull() | px.isNull() | py.isNull() | F.isnan(px) | F.isnan(py) | (F.col("matches") != 1))

@@ -189,15 +189,22 @@ def pivot_latest_wide(spark, sf):
     return wide.select("dist", "hour_ts", *(F.round(t, 4).alias(t) for t in TYPES))
 
 
+@query(f"WITH {EV}, k AS (SELECT dist, hour_ts, value, event_type, ts, event_id FROM ev WHERE value > 50) SELECT dist, hour_ts, " + ", ".join(f"arg_min(value, (ts, event_id)) FILTER (event_type = '{t}') AS kind_{t}" for t in TYPES) + " FROM k GROUP BY dist, hour_ts")
+def pivot_first(spark, sf):
+    """The labels come from the data, with names that columns may have; the first value of each."""
+    df = events(spark, sf).where("value > 50").withColumn("event_type", F.concat(F.lit("- "), F.upper("event_type")))
+    return reshape.pivot_first(df, ["dist", "hour_ts"], "event_type", "value", [F.col("ts"), F.col("event_id")], "kind_")
+
+
 @query(f"WITH {EV} SELECT dist, hour_ts, " + ", ".join(f"round(avg(value) FILTER (event_type = '{t}'), 4) AS {t}_mean, count(value) FILTER (event_type = '{t}') AS {t}_n" for t in ("click", "view")) + " FROM ev WHERE event_type IN ('click', 'view') GROUP BY dist, hour_ts")
 def conditional_pivot_agg(spark, sf):
-    wide = reshape.conditional_pivot(events(spark, sf), ["dist", "hour_ts"], "event_type", "value", ["click", "view"])
+    wide = reshape.conditional_pivot(events(spark, sf), ["dist", "hour_ts"], "event_type", "value", ["click", "view"], required=True)
     return wide.withColumns({c: F.round(c, 4) for c in wide.columns if c.endswith("_mean")})
 
 
-@query("SELECT o_orderkey, o_custkey, l_linenumber AS line, l_quantity AS quantity FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_linenumber < 4")
+@query("SELECT o_orderkey, o_custkey, l_linenumber AS line, l_quantity AS quantity FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey")
 def explode_nested_records(spark, sf):
-    lines = read(spark, sf, "lineitem").where("l_linenumber < 4").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("quantity"))).alias("lines"))
+    lines = read(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("quantity"))).alias("lines"))
     nested = read(spark, sf, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", "o_custkey", "lines")
     return reshape.explode_nested_records(nested, "lines", ["o_orderkey", "o_custkey"])
 
@@ -212,9 +219,9 @@ def schema_evolution_union(spark, sf):
 # Joins
 
 
-@query("SELECT o_orderkey, o_custkey, c_name AS customer, c_mktsegment AS segment FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_custkey % 2 = 0")
+@query("SELECT o_orderkey, o_custkey, c_name AS customer, c_mktsegment AS segment FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0")
 def lookup_join_left(spark, sf):
-    return joins.lookup_join(read(spark, sf, "orders").select("o_orderkey", "o_custkey"), read(spark, sf, "customer").where("c_custkey % 2 = 0"), {"o_custkey": "c_custkey"}, {"customer": "c_name", "segment": "c_mktsegment"})
+    return joins.lookup_join(read(spark, sf, "orders").select("o_orderkey", "o_custkey"), read(spark, sf, "customer").where("c_acctbal > 0"), {"o_custkey": "c_custkey"}, {"customer": "c_name", "segment": "c_mktsegment"})
 
 
 @query("SELECT s_suppkey, s_nationkey, n_name AS nation FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE n_nationkey < 12")
@@ -232,11 +239,10 @@ def lookup_join_chain(spark, sf):
 
 @query("SELECT c_custkey, dense_rank() OVER (ORDER BY c_mktsegment) AS code FROM customer")
 def lookup_join_text_key(spark, sf):
-    from pyspark.sql import Window
-
     df = read(spark, sf, "customer")
-    codes = df.select("c_mktsegment").distinct()  # a handful of segments
-    codes = codes.withColumn("code", F.row_number().over(Window.orderBy("c_mktsegment")).cast("bigint"))
+    # A handful of segments, in one array: the place in it is the code, without a window over everything.
+    names = df.agg(F.sort_array(F.collect_set("c_mktsegment")).alias("names"))
+    codes = names.select(F.posexplode("names").alias("code", "c_mktsegment")).withColumn("code", F.col("code").cast("bigint") + 1)
     mangled = df.select("c_custkey", F.concat(F.lit(" "), F.lower(F.translate("c_mktsegment", "AEIOU", "áéíóú")), F.lit("  ")).alias("segment"))
     mangled = columns.strip_accents(columns.upper(columns.trim(mangled, ["segment"]), ["segment"]), ["segment"])
     return joins.lookup_join(mangled, codes, {"segment": "c_mktsegment"}, {"code": "code"}).select("c_custkey", "code")
@@ -279,7 +285,7 @@ def violation_examples(spark, sf):
 @query(f"""WITH {EV}, {GRID}, found AS (SELECT DISTINCT dist, hour_ts FROM ev WHERE event_type = 'error'), want AS (SELECT * FROM grid WHERE dist < 20 AND hour_ts < TIMESTAMP '2024-01-30')
 SELECT dist, hour_ts, 'missing' AS side FROM want ANTI JOIN found USING (dist, hour_ts) UNION ALL SELECT dist, hour_ts, 'extra' FROM found ANTI JOIN want USING (dist, hour_ts)""")
 def grid_key_diff(spark, sf):
-    want = grid(spark).where("dist < 20 AND hour_ts < timestamp_ntz '2024-01-30 00:00:00'")
+    want = grid(spark, sf).where("dist < 20 AND hour_ts < timestamp_ntz '2024-01-30 00:00:00'")
     return joins.key_diff(want, incidents(spark, sf), ["dist", "hour_ts"])
 
 
@@ -346,13 +352,13 @@ def latest_per_entity(spark, sf):
 
 
 @query(f"""WITH {EV}, r AS (SELECT dist, count(*) AS n, round(avg(value), 4) AS mean, max(ts) AS newest FROM ev WHERE ts >= TIMESTAMP '{CUTOFF}' - INTERVAL 24 HOUR AND ts < TIMESTAMP '{CUTOFF}' + INTERVAL 1 MINUTE GROUP BY dist)
-SELECT CAST(d AS INT) AS dist, coalesce(n, 0) AS n, mean, newest, (SELECT max(newest) FROM r) AS newest_of_all FROM range(1, 22) AS g(d) LEFT JOIN r ON dist = d""")
+SELECT g.dist, coalesce(n, 0) AS n, mean, newest, (SELECT max(newest) FROM r) AS newest_of_all FROM (SELECT DISTINCT dist FROM ev) g LEFT JOIN r USING (dist)""")
 def rolling_hour_features(spark, sf):
     from urbanflow.plans.frames import districts
 
     rows = aggregates.rolling_window(events(spark, sf), "ts", CUTOFF, 24).groupBy("dist").agg(F.count("*").alias("n"), F.round(F.avg("value"), 4).alias("mean"), F.max("ts").alias("newest"))
     whole = rows.agg(F.max("newest").alias("newest_of_all"))
-    return districts(spark).join(rows, "dist", "left").fillna(0, ["n"]).join(F.broadcast(whole))
+    return districts(spark, sf).join(rows, "dist", "left").fillna(0, ["n"]).join(F.broadcast(whole))
 
 
 @query("SELECT l_orderkey, l_linenumber FROM lineitem EXCEPT ALL SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
@@ -361,6 +367,16 @@ def except_all_identity(spark, sf):
     return keys.exceptAll(keys.distinct())
 
 
+DIFFERENCE = "WITH a AS (SELECT l_orderkey, l_linenumber, count(*) AS k FROM lineitem GROUP BY ALL), b AS (SELECT o_orderkey AS l_orderkey, CAST(1 AS INT) AS l_linenumber, count(*) AS k FROM orders GROUP BY ALL)"
+
+
+@query(f"""{DIFFERENCE} SELECT l_orderkey, l_linenumber, CASE WHEN coalesce(a.k, 0) > coalesce(b.k, 0) THEN 'left' ELSE 'right' END AS side, abs(coalesce(a.k, 0) - coalesce(b.k, 0)) AS times
+FROM a FULL JOIN b USING (l_orderkey, l_linenumber) WHERE coalesce(a.k, 0) <> coalesce(b.k, 0)""")
+def multiset_difference(spark, sf):
+    """Lines against one first line per order: what either side has more often."""
+    return joins.multiset_difference(read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), read(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(1).alias("l_linenumber")))
+
+
 @query("SELECT * FROM orders ORDER BY o_orderkey LIMIT 32")
 def ordered_sample(spark, sf):
     return read(spark, sf, "orders").orderBy("o_orderkey").limit(32)
@@ -382,17 +398,30 @@ def hourly_aggregate(spark, sf):
     return out.withColumns({"mean": F.round("mean", 4), "total": F.round("total", 4)})
 
 
-@query(f"WITH {GRID} SELECT dist, hour_ts FROM grid WHERE dist IN (SELECT CAST(user_id % 21 + 1 AS INT) FROM events)")
+@query(f"WITH {EV}, {GRID} SELECT dist, hour_ts FROM grid")
 def dense_grid(spark, sf):
-    return grid(spark).join(F.broadcast(events(spark, sf).select("dist").distinct()), "dist", "left_semi")
+    """Every district with every hour of the data, with its uniqueness and completeness checked."""
+    rows = grid(spark, sf)
+    quality.require(quality.grid_problems(rows, "dist", "hour_ts"), "the grid")
+    return rows
+
+
+@query(f"""WITH {EV}, {GRID}, t AS (SELECT CASE WHEN dist <> 3 THEN dist END AS dist, hour_ts FROM grid WHERE dist <> 5 OR hour_ts < TIMESTAMP '2024-01-20' UNION ALL SELECT dist, hour_ts FROM grid WHERE dist = 1)
+SELECT count(*) FILTER (dist IS NULL) AS n_null, count(*) FILTER (dist IS NOT NULL) - count(DISTINCT (dist, hour_ts)) FILTER (dist IS NOT NULL) AS n_repeated,
+count(DISTINCT dist) * (SELECT count(*) FROM hrs) - count(DISTINCT (dist, hour_ts)) FILTER (dist IS NOT NULL) AS n_missing FROM t""")
+def grid_problems(spark, sf):
+    """A grid with null districts, one district twice and one that ends early."""
+    rows = grid(spark, sf)
+    odd = rows.where("dist <> 5 or hour_ts < timestamp_ntz '2024-01-20 00:00:00'").withColumn("dist", F.when(F.col("dist") != 3, F.col("dist")))
+    return quality.grid_problems(odd.unionByName(rows.where("dist = 1")), "dist", "hour_ts")
 
 
 @query(f"""WITH {EV}, {GRID}, c AS (SELECT dist, hour_ts, count(*) AS n FROM ev WHERE event_type = 'error' GROUP BY ALL)
 SELECT dist, hour_ts, coalesce(n, 0) AS n, CAST(dayofweek(hour_ts) + 1 AS INT) AS weekday, dayname(hour_ts) AS day_name, {PART.format(h='hour(hour_ts)')} AS day_part FROM grid LEFT JOIN c USING (dist, hour_ts)""")
 def dense_grid_counts(spark, sf):
-    from urbanflow.plans.frames import districts, month_hours
+    from urbanflow.plans.frames import all_hours, districts
 
-    out = aggregates.dense_counts(incidents(spark, sf).drop("hour_ts"), ["dist"], "ts", districts(spark), month_hours(spark))
+    out = aggregates.dense_counts(incidents(spark, sf).drop("hour_ts"), ["dist"], "ts", districts(spark, sf), all_hours(spark, sf))
     return temporal.time_labels(out, "hour_ts")
 
 
@@ -402,4 +431,4 @@ LABELS = f"{EV}, {GRID}, c AS (SELECT dist, hour_ts - INTERVAL 1 HOUR AS hour_ts
 @query(f"WITH {LABELS} SELECT * FROM labels1")
 def lead_hour_label(spark, sf):
     events_ = incidents(spark, sf).withColumn("incident", F.concat_ws("@", F.col("user_id").cast("string"), F.col("hour_ts").cast("string"))).drop("hour_ts")
-    return aggregates.lead_hour_label(grid(spark), events_, "dist", "incident", "ts", ["dist", "ts", "value"]).select("dist", "hour_ts", "n_next_hour", "next_hour_ts", "target_next_hour")
+    return aggregates.lead_hour_label(grid(spark, sf), events_, "dist", "incident", "ts", ["dist", "ts", "value"]).select("dist", "hour_ts", "n_next_hour", "next_hour_ts", "target_next_hour")

@@ -11,7 +11,6 @@ from urbanflow.sources.tables import read
 
 DISTRICTS = 21
 TYPES = ["click", "error", "purchase", "signup", "view"]
-MONTH = ("2024-01-01 00:00:00", "2024-01-31 23:00:00")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,17 +23,18 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).where("event_type = 'error'")
 
 
-def month_hours(spark: SparkSession) -> DataFrame:
-    bounds = spark.range(1).select(F.lit(MONTH[0]).cast("timestamp_ntz").alias("a"), F.lit(MONTH[1]).cast("timestamp_ntz").alias("b"))
+def all_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hour from the first to the last of the measurements."""
+    bounds = events(spark, sf_dir).agg(F.min("hour_ts").alias("a"), F.max("hour_ts").alias("b")).where("a is not null")
     return aggregates.hours_between(bounds, "a", "b")
 
 
-def districts(spark: SparkSession) -> DataFrame:
-    return spark.range(1, DISTRICTS + 1).select(F.col("id").cast("int").alias("dist"))
+def districts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).select("dist").where("dist is not null").distinct()
 
 
-def grid(spark: SparkSession) -> DataFrame:
-    return aggregates.dense_grid(districts(spark), month_hours(spark))
+def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.dense_grid(districts(spark, sf_dir), all_hours(spark, sf_dir))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +46,6 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The same in SQL.
 EV = "ev AS (SELECT event_id, ts, date_trunc('hour', ts) AS hour_ts, user_id, CAST(user_id % 21 + 1 AS INT) AS dist, event_type, value FROM events)"
-GRID = "grid AS (SELECT CAST(d AS INT) AS dist, h AS hour_ts FROM range(1, 22) AS a(d), generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR) AS b(h))"
+GRID = "hrs AS (SELECT unnest(generate_series(min(hour_ts), max(hour_ts), INTERVAL 1 HOUR)) AS hour_ts FROM ev), grid AS (SELECT dist, hour_ts FROM (SELECT DISTINCT dist FROM ev), hrs)"
 SCORED = "scored AS (SELECT doc_id, lang, source, quality AS label, round(((n_chars * 7919) % 1000) / 1000.0::DOUBLE, 3) AS score FROM documents JOIN labels USING (doc_id))"
 PART = "CASE WHEN {h} <= 5 THEN 'night' WHEN {h} <= 11 THEN 'morning' WHEN {h} <= 15 THEN 'midday' WHEN {h} <= 19 THEN 'afternoon' ELSE 'evening' END"
