@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from urbanflow.operators import aggregates, columns, dedup, evaluation, joins, quality, sinks, spatial
+from urbanflow.operators import aggregates, columns, dedup, evaluation, joins, ml, nrt, quality, reshape, silver, sinks, snapshots, spatial
 from urbanflow.sources import tables
 
 T = lambda s: dt.datetime.fromisoformat(s)
@@ -101,3 +101,119 @@ def test_scan_is_pruned_and_pushed(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(p_size,10)" in plan and "ReadSchema: struct<p_partkey:bigint,p_size:int>" in plan
     assert F is not None
+
+
+def test_safe_labels():
+    assert columns.safe_labels(["NO2", "no2", "---", "2019", "pm 2.5"], "m_") == {"NO2": "m_no2", "no2": "m_no2_2", "---": "m_value", "2019": "m_2019", "pm 2.5": "m_pm_2_5"}
+
+
+def test_clashing_names(spark):
+    with pytest.raises(ValueError):
+        columns.normalize_column_names(spark.createDataFrame([(1, 2)], "`a b` int, `A-b` int"))
+    with pytest.raises(ValueError):
+        columns.check_names(spark.createDataFrame([(1,)], "`aB` int"))
+
+
+def test_all_dates_null_fails(spark):
+    rows = spark.createDataFrame([(1, None)], "k int, day date")
+    with pytest.raises(ValueError):
+        dedup.latest_file_snapshot(rows, "day")
+    assert dedup.latest_file_snapshot(rows.limit(0), "day").count() == 0
+
+
+def test_times_that_zones_skip(spark):
+    """The hour that Madrid skips and the one that it has twice, under a session in Madrid."""
+    from urbanflow.functions import temporal
+
+    df = spark.createDataFrame([("31/03/2024 02:30:00",), ("27/10/2024 02:30:00",), ("no date",), (None,)], "x string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Madrid")
+    try:
+        got = df.select(temporal.parse_timestamp(["x"], "dd/MM/yyyy HH:mm:ss", "null").cast("string").alias("t")).collect()
+        local = spark.createDataFrame([(T("2024-03-31 00:59"),), (T("2024-03-31 01:00"),), (T("2024-07-01 10:19"),), (T("2024-10-27 00:30"),), (T("2024-10-27 01:30"),)], "ts timestamp_ntz")
+        floors = [r.t for r in local.select(temporal.floor_minutes("ts").cast("string").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r.t for r in got] == ["2024-03-31 02:30:00", "2024-10-27 02:30:00", None, None]
+    assert floors == ["2024-03-31 01:50:00", "2024-03-31 03:00:00", "2024-07-01 12:10:00", "2024-10-27 02:30:00", "2024-10-27 02:30:00"]
+
+
+def test_scores_and_labels_are_checked(spark):
+    for y, s in ((1, 1.5), (2, 0.5), (None, 0.5), (1, None), (1, float("nan"))):
+        with pytest.raises(Exception, match="must be 0 or 1"):
+            evaluation.binary_metrics(spark.createDataFrame([(y, s), (0, 0.1)], "y int, s double"), "y", "s").collect()
+
+
+def test_gates(spark):
+    grid = spark.createDataFrame([(1, T("2024-01-01 00:00")), (1, T("2024-01-01 01:00")), (2, T("2024-01-01 01:00"))], "e int, h timestamp_ntz")
+    with pytest.raises(ValueError, match="n_missing"):
+        quality.require(quality.grid_problems(grid, "e", "h"), "grid")
+    same = columns.contract_select(grid, [("e", "int"), ("h", "timestamp_ntz")])
+    assert quality.schema_problems(same, [("e", "int", True), ("h", "timestamp_ntz", True)]).count() == 0
+    with pytest.raises(ValueError, match="no valid value"):
+        ml.fit_preprocess(spark.createDataFrame([(None, 1.0), (float("nan"), 2.0)], "a double, b double"), ["a", "b"], [], [])
+    with pytest.raises(ValueError, match="no rows"):
+        reshape.conditional_pivot(grid.withColumn("k", F.lit("a")), ["h"], "k", "e", ["a", "b"], required=True)
+    with pytest.raises(ValueError, match="too many"):
+        joins.bounded(spark.range(20), 10)
+
+
+def test_multiset_difference_goes_both_ways(spark):
+    a, b = (spark.createDataFrame([(x,) for x in xs], "k int") for xs in ((1, 1, None, 2), (1, 3, None, None)))
+    assert {tuple(r) for r in joins.multiset_difference(a, b).collect()} == {(1, "left", 1), (2, "left", 1), (3, "right", 1), (None, "right", 1)}
+
+
+def test_silver_goes_on_where_it_was(spark, tmp_path):
+    path, steps, day = f"file://{tmp_path}/s", [("trim", {"columns": ["v"]})], dt.date
+    rows = [(1, " a", day(2024, 1, 1)), (2, "b ", day(2024, 1, 2))]
+    silver.run(spark.createDataFrame(rows, "k int, v string, d date"), path, steps, "append", watermark="d", snapshot="d")
+    more = [*rows, (3, " c", day(2024, 1, 3)), (4, "d", day(2024, 1, 4))]
+    out = silver.run(spark.createDataFrame(more, "k int, v string, d date"), path, steps, "append", watermark="d", snapshot="d")
+    assert sorted((r.k, r.v) for r in out.collect()) == [(2, "b"), (4, "d")] and out.where("_processed_at is null").count() == 0
+
+
+def test_incomplete_batches_are_not_published(spark, tmp_path):
+    path, all_of = f"file://{tmp_path}/p", spark.range(1, 4).select(F.col("id").cast("int").alias("e"))
+    batch = all_of.select("e", F.lit(T("2024-01-01 10:00")).cast("timestamp_ntz").alias("w"), F.lit(0.5).alias("s"))
+    with pytest.raises(ValueError, match="n_missing"):
+        nrt.publish(batch.where("e < 3"), all_of, path, "e", "w", "s")
+    assert not tables.exists(spark, path)
+    nrt.publish(batch, all_of, path, "e", "w", "s")
+    assert nrt.current(nrt.published(batch, path), "w").count() == 3
+
+
+def test_snapshots_notice_drift(spark, tmp_path):
+    src, rows = f"file://{tmp_path}/src", spark.createDataFrame([(1,)], "k int")
+    tables.write_version(rows, src, 0)
+    fine = lambda df: quality.counters(df, {"null_key": F.col("k").isNull()})
+    back = snapshots.build(spark, {"src": src}, f"file://{tmp_path}/a", {"run": "r"}, lambda t: {"x": t["src"]}, fine)
+    assert back["x"].collect() == [(1, "r")]
+
+    def moving(t):
+        tables.write_version(rows, src, 1)
+        return {"x": t["src"]}
+
+    with pytest.raises(ValueError, match="changed"):
+        snapshots.build(spark, {"src": src}, f"file://{tmp_path}/b", {"run": "r"}, moving, fine)
+
+
+def test_tables_that_may_be_absent(spark, tmp_path):
+    assert tables.read_optional(spark, f"file://{tmp_path}/none") is None
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        tables.read_optional(spark, f"file://{tmp_path}/none", required=True)
+    spark.range(2).write.parquet(f"file://{tmp_path}/t")
+    assert tables.read_optional(spark, f"file://{tmp_path}/t").count() == 2
+
+
+def test_null_partitions_and_latin1(spark, tmp_path):
+    from urbanflow.streaming.ingest import append_available, csv_stream
+
+    path = f"file://{tmp_path}/t"
+    df = spark.createDataFrame([(1, None), (2, 7)], "k int, p int")
+    sinks.write(df, path, "replace_partitions", partition_by=["p"])
+    sinks.write(spark.createDataFrame([(3, None)], "k int, p int"), path, "replace_partitions", partition_by=["p"])
+    assert sorted((r.k, r.p) for r in spark.read.parquet(path).collect()) == [(2, 7), (3, None)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_bytes("k;v\n1;niño\n".encode("latin-1"))
+    append_available(csv_stream(spark, f"file://{tmp_path}/in", "k int, v string", encoding="ISO-8859-1"), f"{path}2", f"{path}3")
+    assert spark.read.parquet(f"{path}2").first().v == "niño"

@@ -1,5 +1,7 @@
 """Every query of the library with SQL, against DuckDB on the smallest tables."""
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from tests.oracle import duck, rows
@@ -15,6 +17,39 @@ def test_query_equals_sql(spark, name):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
-def test_models_run(spark, name):
-    assert registry.QUERIES[name](spark, SF).count() > 0
+def test_preprocessed_vectors(spark):
+    """Scaled numbers have mean 0 and deviation 1 over the rows that were fitted; flags are 0 or 1, categories one-hot."""
+    rows = registry.QUERIES["ml_preprocess"](spark, SF).toPandas()
+    x = np.array([v for v, h in zip(rows["features"], rows["hour_ts"], strict=True) if h < pd.Timestamp("2024-01-25")])
+    k = rows["dist"].nunique()
+    assert x.shape[1] == 3 + 2 + k - 1 + 23 + 6 and np.isfinite(x).all()
+    assert np.abs(x[:, :3].mean(axis=0)).max() < 1e-6 and np.abs(x[:, :3].std(axis=0, ddof=1) - 1).max() < 1e-6
+    assert set(np.unique(x[:, 3:])) == {0.0, 1.0} and x[:, 5 : 4 + k].sum(axis=1).max() == 1
+
+
+def auc(y, s):
+    good, bad = s[y == 1], s[y == 0]
+    return ((good[:, None] > bad) + (good[:, None] == bad) / 2).mean()
+
+
+def test_metrics_follow_from_the_scores(spark):
+    scores = registry.QUERIES["ml_logistic"](spark, SF).toPandas()
+    y, s = scores["target_next_hour"].to_numpy(), scores["score"].to_numpy()
+    assert ((s > 0) & (s < 1)).all()
+    whole = registry.QUERIES["train_evaluate"](spark, SF).where("weekday is null").first()
+    assert (whole.n, whole.positives) == (len(y), y.sum()) and abs(whole.roc_auc - auc(y, s)) < 1e-6 and abs(whole.brier - ((s - y) ** 2).mean()) < 1e-6
+    folds = {r.fold: r for r in registry.QUERIES["backtest_scores"](spark, SF).collect()}
+    assert set(folds) == {"fold1", "fold2"} and all(r.n == 15 * 7 * 24 and 0 <= r.roc_auc <= 1 for r in folds.values())
+
+
+def test_a_saved_model_scores_alike(spark):
+    assert registry.QUERIES["model_roundtrip"](spark, SF).first().max_difference == 0
+
+
+def test_a_batch_is_published_whole(spark):
+    rows = registry.QUERIES["score_batch"](spark, SF).toPandas()
+    assert sorted(rows["dist"]) == sorted(r.dist for r in registry.QUERIES["rolling_hour_features"](spark, SF).collect()) and rows["hour_ts"].nunique() == 1 and rows["score"].between(0, 1).all()
+
+
+def test_no_other_query_is_without_sql():
+    assert set(registry.QUERIES) - set(registry.ORACLES) == {"ml_preprocess", "ml_logistic", "score_batch", "backtest_scores", "train_evaluate", "model_roundtrip"}

@@ -45,9 +45,9 @@ def bounded(df: DataFrame, rows: int = 100_000) -> DataFrame:
 
 def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that one side has more often than the other, with that side and how much more often."""
-    a, b = (df.groupBy(*left.columns).agg(F.count("*").alias("k")) for df in (left, right.select(*left.columns)))
-    signed = a.unionByName(b.withColumn("k", -F.col("k"))).groupBy(*left.columns).agg(F.sum("k").alias("k")).where("k <> 0")
-    return signed.select(*left.columns, F.when(F.col("k") > 0, "left").otherwise("right").alias("side"), F.abs("k").alias("times"))
+    a, b = (df.groupBy(*left.columns).agg((F.lit(sign) * F.count("*")).alias("_more")) for df, sign in ((left, 1), (right.select(*left.columns), -1)))
+    signed = a.unionByName(b).groupBy(*left.columns).agg(F.sum("_more").alias("_more")).where("_more <> 0")
+    return signed.select(*left.columns, F.when(F.col("_more") > 0, "left").otherwise("right").alias("side"), F.abs("_more").alias("times"))
 
 
 def densify(grid: DataFrame, facts: DataFrame, keys: list[str], zero: list[str]) -> DataFrame:

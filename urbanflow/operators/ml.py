@@ -17,10 +17,10 @@ def category_strings(df: DataFrame, columns: list[str], width: int = 2) -> DataF
     return df.withColumns({f"{c}_cat": F.format_string(f"%0{width}d", F.col(c).cast("int")) for c in columns})
 
 
-def stages(numeric: list[str], flags: list[str], categories: list[str]) -> list:
+def stages(numeric: list[str], flags: list[str], categories: list[str], median_error: float = 0.001) -> list:
     filled = [f"{c}_filled" for c in numeric]
     return [
-        Imputer(inputCols=numeric, outputCols=filled, strategy="median", relativeError=0.001),
+        Imputer(inputCols=numeric, outputCols=filled, strategy="median", relativeError=median_error),
         VectorAssembler(inputCols=filled, outputCol="numeric"),
         StandardScaler(inputCol="numeric", outputCol="scaled", withMean=True, withStd=True),
         *(StringIndexer(inputCol=c, outputCol=f"{c}_index", stringOrderType="alphabetAsc", handleInvalid="error") for c in categories),
@@ -36,9 +36,10 @@ def require_values(train: DataFrame, numeric: list[str]) -> None:
         raise ValueError(f"no valid value of {gone}")
 
 
-def fit_preprocess(train: DataFrame, numeric: list[str], flags: list[str], categories: list[str]) -> PipelineModel:
+def fit_preprocess(train: DataFrame, numeric: list[str], flags: list[str], categories: list[str], median_error: float = 0.001) -> PipelineModel:
+    """median_error: by how much of the rows a median may be off; 0 is exact and dear."""
     require_values(train, numeric)
-    return Pipeline(stages=stages(numeric, flags, categories)).fit(train)
+    return Pipeline(stages=stages(numeric, flags, categories, median_error)).fit(train)
 
 
 def fit_logistic(train: DataFrame, label: str, numeric: list[str], flags: list[str], categories: list[str]) -> PipelineModel:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from urbanflow.functions.temporal import day_part, time_labels
-from urbanflow.operators import aggregates, columns, dedup, joins, quality, reshape, sinks
+from urbanflow.operators import aggregates, columns, dedup, joins, nrt, quality, reshape, silver, sinks, snapshots
 from urbanflow.plans.basics import LABELS, SIDES, lead_hour_label, outer_sides
-from urbanflow.plans.frames import EV, GRID, PART, TYPES, events, grid, incidents
+from urbanflow.plans.frames import EV, PART, TYPES, districts, events, incidents
 from urbanflow.plans.registry import query
 from urbanflow.sources import tables
 from urbanflow.sources.tables import read, work_dir
@@ -116,17 +116,33 @@ def feature_snapshot(spark, sf):
 LINEAGE = {"snapshot_id": "s1", "code_commit": "c1", "feature_schema_version": "v1"}
 
 
+def broken_rows(df):
+    """Counters of rows that break the contract of labels and features."""
+    odd = {"no_key": F.col("dist").isNull() | F.col("hour_ts").isNull(), "target": ~F.col("target_next_hour").isin(0, 1)}
+    return quality.counters(df, odd | ({"counts": F.col("n") < 0} if "n" in df.columns else {}))
+
+
+def snapshot(spark, sf):
+    base = work_dir(spark)
+    tables.write_version(read(spark, sf, "events"), f"{base}/events", 0)
+    keep = ["dist", "hour_ts", "target_next_hour"]
+    make = lambda _: {"labels": lead_hour_label(spark, sf).select(*keep), "features": feature_snapshot(spark, sf)}
+    return snapshots.build(spark, {"events": f"{base}/events"}, f"{base}/snapshot", LINEAGE, make, broken_rows)
+
+
 @query(f"SELECT *, 's1' AS snapshot_id, 'c1' AS code_commit, 'v1' AS feature_schema_version FROM ({FEATURES_SQL})")
 def training_snapshot(spark, sf):
-    """Grid, labels, features, lineage; published as a version, validated and read back."""
-    path = f"{work_dir(spark)}/features"
-    rows = columns.add_lineage(feature_snapshot(spark, sf), LINEAGE)
-    tables.write_version(rows, path, 1)
-    back = tables.read_version(spark, path, 1)
-    bad = quality.counters(back, {"no_key": F.col("dist").isNull() | F.col("hour_ts").isNull(), "target": ~F.col("target_next_hour").isin(0, 1), "counts": F.col("n") < 0}).first()
-    if any(bad):
-        raise ValueError(f"the published snapshot breaks its contract: {bad.asDict()}")
-    return back
+    """Labels and features of captured versions with their lineage; published, checked and read back."""
+    return snapshot(spark, sf)["features"]
+
+
+@query(f"WITH {LABELS} SELECT 's1' AS snapshot_id, count(*) AS n_rows, sum(target_next_hour)::BIGINT AS n_positive FROM labels1")
+def snapshot_pair(spark, sf):
+    """Both tables of one snapshot, which agree row by row."""
+    both = snapshot(spark, sf)
+    ref = tables.latest_snapshot_reference(both["labels"], both["features"])
+    pair = both["labels"].join(both["features"], ["dist", "hour_ts", "target_next_hour", "snapshot_id"]).join(F.broadcast(ref), "snapshot_id")
+    return pair.groupBy("snapshot_id").agg(F.count("*").alias("n_rows"), F.sum(F.col("target_next_hour").cast("bigint")).alias("n_positive"))
 
 
 # Quality gates
@@ -160,12 +176,38 @@ def feature_quality_profile(spark, sf):
     return quality.feature_quality_profile(injected(spark, sf), RANGES)
 
 
-@query(f"WITH {LABELS} SELECT count(*) AS n_rows, count(*) - count(DISTINCT (dist, hour_ts)) AS n_repeated, count(*) FILTER (next_hour_ts <> hour_ts + INTERVAL 1 HOUR) AS n_wrong_lead, count(*) FILTER (target_next_hour NOT IN (0, 1)) AS n_wrong_target, count(*) FILTER (n_next_hour < 0) AS n_negative, count(*) FILTER (dist IS NULL) AS n_null FROM labels1")
+@query(f"""WITH {EV}, t AS (SELECT dist, hour_ts, CASE WHEN dist <> 4 THEN round(avg(value), 4) END AS mean, CASE WHEN dist = 6 THEN 0 ELSE count(value) END AS n FROM ev GROUP BY dist, hour_ts)
+SELECT count(*) FILTER (mean IS NOT NULL AND n = 0) AS mean_without_n, count(*) FILTER (mean IS NULL AND n > 0) AS n_without_mean FROM t""")
+def count_without_mean(spark, sf):
+    """Means and counts that contradict each other, put into two districts."""
+    df = events(spark, sf).groupBy("dist", "hour_ts").agg(F.round(F.avg("value"), 4).alias("mean"), F.count("value").alias("n"))
+    odd = df.withColumns({"mean": F.when(F.col("dist") != 4, F.col("mean")), "n": F.when(F.col("dist") == 6, 0).otherwise(F.col("n"))})
+    return quality.count_without_mean(odd, {"mean": "n"})
+
+
+@query(f"WITH {LABELS}, s AS (SELECT count(*) AS n_rows, count(DISTINCT dist) AS n_entities, min(hour_ts) AS first_hour FROM labels1) SELECT CAST(n_rows <> 15 AS BIGINT) AS n_rows, CAST(n_entities <> 21 AS BIGINT) AS n_entities, CAST(first_hour <> TIMESTAMP '2024-01-01 01:00:00' AS BIGINT) AS first_hour FROM s")
+def summary_problems(spark, sf):
+    """Which values of the summary differ from what was stated: a wrong number of rows, a wrong first hour."""
+    import datetime as dt
+
+    return quality.summary_problems(output_summary(spark, sf), {"n_rows": 15, "n_entities": 21, "first_hour": dt.datetime(2024, 1, 1, 1)})
+
+
+BROKEN = "CASE WHEN dist = 2 THEN 7 ELSE target_next_hour END AS target_next_hour, CASE WHEN dist = 3 THEN -1 ELSE n_next_hour END AS n_next_hour, CASE WHEN dist <> 4 THEN dist END AS dist, hour_ts, CASE WHEN dist = 5 THEN hour_ts ELSE next_hour_ts END AS next_hour_ts"
+
+
+@query(f"WITH {LABELS}, b AS (SELECT {BROKEN} FROM labels1 UNION ALL SELECT target_next_hour, n_next_hour, dist, hour_ts, next_hour_ts FROM labels1 WHERE dist = 1) SELECT count(*) AS n_rows, count(*) FILTER (dist IS NOT NULL) - count(DISTINCT (dist, hour_ts)) FILTER (dist IS NOT NULL) AS n_repeated, count(*) FILTER (next_hour_ts <> hour_ts + INTERVAL 1 HOUR) AS n_wrong_lead, count(*) FILTER (target_next_hour NOT IN (0, 1)) AS n_wrong_target, count(*) FILTER (n_next_hour < 0) AS n_negative, count(*) FILTER (dist IS NULL) AS n_null FROM b")
 def output_contract_violations(spark, sf):
+    """Counters over labels of which five districts are broken, each in its own way."""
     df = lead_hour_label(spark, sf)
+    at, d = F.col, F.col("dist")
+    odd = df.select(
+        F.when(d == 2, 7).otherwise(at("target_next_hour")).alias("target_next_hour"), F.when(d == 3, -1).otherwise(at("n_next_hour")).alias("n_next_hour"),
+        F.when(d != 4, d).alias("dist"), "hour_ts", F.when(d == 5, at("hour_ts")).otherwise(at("next_hour_ts")).alias("next_hour_ts"))
+    df = odd.unionByName(df.where("dist = 1").select(*odd.columns))
     c = quality.count_if
     return df.agg(
-        F.count("*").alias("n_rows"), (F.count("*") - F.countDistinct("dist", "hour_ts")).alias("n_repeated"), c(F.col("next_hour_ts") != F.expr("hour_ts + INTERVAL 1 HOUR"), "n_wrong_lead"),
+        F.count("*").alias("n_rows"), (F.count("dist") - F.countDistinct("dist", "hour_ts")).alias("n_repeated"), c(F.col("next_hour_ts") != F.expr("hour_ts + INTERVAL 1 HOUR"), "n_wrong_lead"),
         c(~F.col("target_next_hour").isin(0, 1), "n_wrong_target"), c(F.col("n_next_hour") < 0, "n_negative"), c(F.col("dist").isNull(), "n_null"))
 
 
@@ -198,10 +240,12 @@ def contract_select(spark, sf):
     return columns.contract_select(contract_frame(spark, sf), CONTRACT)
 
 
-@query("SELECT * FROM (VALUES (0, 'dist', 'int'), (1, 'hour_ts', 'timestamp_ntz'), (2, 'n', 'bigint'), (3, 'mean', 'double')) AS t(position, name, type), (SELECT count(*) AS n_rows FROM (SELECT DISTINCT user_id % 21, date_trunc('hour', ts) FROM events))")
+@query("SELECT * FROM (VALUES ('risk', 'missing'), ('hour_ts', 'position'), ('n', 'position'), ('n', 'type'), ('dist', 'nullability'), ('mean', 'extra')) AS t(name, problem), (SELECT count(*) AS n_rows FROM (SELECT DISTINCT user_id % 21, date_trunc('hour', ts) FROM events))")
 def schema_contract(spark, sf):
+    """How a table differs from a stated contract, with its number of rows."""
     df = columns.contract_select(contract_frame(spark, sf), CONTRACT)
-    return quality.schema_rows(df).join(F.broadcast(df.agg(F.count("*").alias("n_rows"))))
+    stated = [("dist", "int", False), ("risk", "double", True), ("hour_ts", "timestamp_ntz", True), ("n", "int", True)]
+    return quality.schema_problems(df, stated).join(F.broadcast(df.agg(F.count("*").alias("n_rows"))))
 
 
 @query(f"SELECT *, 's1' AS snapshot_id, 'c1' AS code_commit, 'v1' AS feature_schema_version FROM ({CONTRACT_SQL})")
@@ -209,9 +253,12 @@ def add_lineage(spark, sf):
     return columns.add_lineage(contract_select(spark, sf), LINEAGE)
 
 
-@query("SELECT CASE WHEN count(*) = 0 THEN 's1' ELSE 's1' END AS snapshot_id, 'c1' AS code_commit, 'v1' AS feature_schema_version, 'features,labels' AS tables, false AS has_null FROM events")
+@query("""SELECT snapshot_id, code_commit, 'v1' AS feature_schema_version, string_agg(DISTINCT t, ',' ORDER BY t) AS tables, code_commit IS NULL AS has_null
+FROM (SELECT 's' || (user_id % 2) AS snapshot_id, CASE WHEN user_id % 3 > 0 THEN 'c1' END AS code_commit, CASE WHEN event_type = 'error' THEN 'labels' ELSE 'features' END AS t FROM events) GROUP BY snapshot_id, code_commit""")
 def lineage_check(spark, sf):
-    return quality.lineage_check({"features": add_lineage(spark, sf), "labels": columns.add_lineage(lead_hour_label(spark, sf), LINEAGE)}, list(LINEAGE))
+    """Two tables that mix snapshots, some without a commit."""
+    df = events(spark, sf).withColumns({"snapshot_id": F.concat(F.lit("s"), F.col("user_id") % 2), "code_commit": F.when(F.col("user_id") % 3 > 0, "c1"), "feature_schema_version": F.lit("v1")})
+    return quality.lineage_check({"features": df.where("event_type <> 'error'"), "labels": df.where("event_type = 'error'")}, list(LINEAGE))
 
 
 # Sinks and versions
@@ -229,19 +276,30 @@ def read_version(spark, sf):
     return tables.read_version(spark, versioned_part(spark, sf), 0)
 
 
-@query("SELECT t AS \"table\", CAST(1 AS INT) AS version, (SELECT count(*) FROM part) AS n_rows FROM (VALUES ('part'), ('price')) AS v(t)")
+def two_tables(spark, sf):
+    path = f"{work_dir(spark)}/supplier"
+    tables.write_version(read(spark, sf, "supplier"), path, 0)
+    return {"part": versioned_part(spark, sf), "supplier": path}
+
+
+@query("SELECT 'part' AS \"table\", CAST(1 AS INT) AS version, (SELECT count(*) FROM part) AS n_rows UNION ALL SELECT 'supplier', 0, (SELECT count(*) FROM supplier)")
 def capture_versions(spark, sf):
-    path = versioned_part(spark, sf)
-    rows = tables.read_version(spark, path).agg(F.count("*").alias("n_rows"))
-    return tables.capture_versions(spark, {"part": path, "price": path}).join(F.broadcast(rows))
+    """The newest versions of two tables, each read at the version captured."""
+    paths = two_tables(spark, sf)
+    found, out = tables.capture_versions(spark, paths), None
+    for r in found.collect():  # one row per table named here
+        rows = tables.read_version(spark, paths[r["table"]], r["version"]).agg(F.lit(r["table"]).alias("table"), F.count("*").alias("n_rows"))
+        out = rows if out is None else out.unionByName(rows)
+    return found.join(out, "table")
 
 
-@query("SELECT 'price' AS \"table\", CAST(0 AS INT) AS expected, CAST(1 AS INT) AS captured, (SELECT count(*) FROM part) AS n_rows")
+@query("SELECT 'part' AS \"table\", CAST(0 AS INT) AS expected, CAST(1 AS INT) AS captured, (SELECT count(*) FROM part) AS n_rows UNION ALL SELECT 'orders', 3, NULL, (SELECT count(*) FROM part)")
 def version_drift(spark, sf):
-    path = versioned_part(spark, sf)
-    expected = spark.createDataFrame([("part", 1), ("price", 0)], '`table` string, version int')
-    rows = tables.read_version(spark, path).agg(F.count("*").alias("n_rows"))
-    return quality.version_drift(expected, tables.capture_versions(spark, {"part": path, "price": path})).join(F.broadcast(rows))
+    """One table has moved on, one is gone, one is as it was."""
+    paths = two_tables(spark, sf)
+    expected = spark.createDataFrame([("part", 0), ("supplier", 0), ("orders", 3)], '`table` string, version int')
+    rows = tables.read_version(spark, paths["part"]).agg(F.count("*").alias("n_rows"))
+    return quality.version_drift(expected, tables.capture_versions(spark, paths)).join(F.broadcast(rows))
 
 
 @query("SELECT 's1' AS snapshot_id, count(*) AS n_rows FROM (SELECT DISTINCT user_id % 21, date_trunc('hour', ts) FROM events)")
@@ -258,6 +316,16 @@ def sink_overwrite(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("SELECT s_suppkey, s_name, CAST(s_acctbal AS DOUBLE) AS balance FROM supplier WHERE s_acctbal > 0")
+def insert_overwrite(spark, sf):
+    """A managed table of a fixed schema, filled twice; the second time from columns of other order and type."""
+    name = f"urbanflow_{work_dir(spark).rsplit('-', 1)[1]}"
+    df = read(spark, sf, "supplier").select("s_suppkey", "s_name", F.col("s_acctbal").alias("balance"))
+    sinks.managed(df.limit(1), name)
+    sinks.insert_overwrite(df.where("balance > 0").select(F.col("balance").cast("string").alias("balance"), "s_name", F.col("s_suppkey").cast("int").alias("s_suppkey")), name)
+    return spark.table(name)
+
+
 @query("SELECT * FROM supplier")
 def sink_append(spark, sf):
     path, df = f"{work_dir(spark)}/supplier", read(spark, sf, "supplier")
@@ -341,31 +409,57 @@ def batch_completeness(spark, sf):
     return current_batch_view(spark, sf).agg(F.count("*").alias("n_rows"), F.countDistinct("dist").alias("n_entities"), c(F.col("dist").isNull(), "n_null"), c(~F.col("risk").between(0, 1), "n_out_of_range"))
 
 
-@query("SELECT o_orderkey, upper(o_orderpriority) AS o_orderpriority, CAST(trunc(o_totalprice) AS INT) AS o_totalprice, CAST(o_orderdate AS DATE) AS _file_date FROM orders WHERE CAST(o_orderdate AS DATE) IN ((SELECT max(CAST(o_orderdate AS DATE)) FROM orders WHERE year(o_orderdate) = 1997), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders WHERE year(o_orderdate) = 1998))")
+@query("""SELECT o_orderkey, upper(o_orderpriority) AS o_orderpriority, CAST(trunc(o_totalprice) AS INT) AS o_totalprice, CAST(o_orderdate AS DATE) AS _file_date, true AS stamped
+FROM orders QUALIFY CAST(o_orderdate AS DATE) = max(CAST(o_orderdate AS DATE)) OVER (PARTITION BY year(o_orderdate))""")
 def silver_pipeline(spark, sf):
-    """Two increments: chain, newest file date of the increment, upsert by key."""
+    """An increment for each year: watermark, chain, newest file date, stamp, upsert by key."""
     path = f"{work_dir(spark)}/silver"
     df = read(spark, sf, "orders").select("o_orderkey", F.concat(F.lit(" "), "o_orderpriority").alias("o_orderpriority"), "o_totalprice", F.to_date("o_orderdate").alias("_file_date"))
     steps = [("trim", {"columns": ["o_orderpriority"]}), ("upper", {"columns": ["o_orderpriority"]}), ("cast", {"types": {"o_totalprice": "int"}})]
     done = None
-    for year in (1997, 1998):
-        fresh = dedup.after_watermark(df.where(F.year("_file_date") == year), done, "_file_date")
-        rows = dedup.latest_file_snapshot(columns.transform_chain(fresh, steps), "_file_date")
-        sinks.write(rows, path, "merge", keys=["o_orderkey"])
-        done = tables.read_version(spark, path)
-    return done
+    for r in df.select(F.year("_file_date").alias("y")).distinct().orderBy("y").collect():  # a file a year
+        done = silver.run(df.where(F.year("_file_date") <= r["y"]), path, steps, "merge", keys=["o_orderkey"], watermark="_file_date", snapshot="_file_date")
+    return done.withColumn("stamped", F.col("_processed_at").isNotNull()).drop("_processed_at")
+
+
+NRT_AT = "2024-01-15 10:00:00"
+
+
+@query(f"""WITH {EV}, f AS (SELECT dist, count(value) AS n_flow, round(avg(value), 4) AS mean_flow, max(ts) AS fa FROM ev WHERE event_type = 'view' AND ts >= TIMESTAMP '{NRT_AT}' - INTERVAL 24 HOUR AND ts < TIMESTAMP '{NRT_AT}' + INTERVAL 1 MINUTE GROUP BY dist),
+l AS (SELECT dist, user_id, value, ts FROM ev WHERE event_type = 'click' AND ts <= TIMESTAMP '{NRT_AT}' AND ts >= TIMESTAMP '{NRT_AT}' - INTERVAL 96 HOUR QUALIFY row_number() OVER (PARTITION BY dist, user_id ORDER BY ts DESC, value DESC) = 1),
+s AS (SELECT dist, count(value) AS n_stations, round(avg(value), 4) AS mean_station, max(ts) AS sa FROM l GROUP BY dist)
+SELECT dist, coalesce(n_flow, 0) AS n_flow, mean_flow, coalesce(n_stations, 0) AS n_stations, mean_station, (SELECT max(fa) FROM f) AS flow_at, (SELECT max(sa) FROM s) AS station_at, TIMESTAMP '{NRT_AT}' AS cutoff FROM (SELECT DISTINCT dist FROM ev) LEFT JOIN f USING (dist) LEFT JOIN s USING (dist)""")
+def nrt_features(spark, sf):
+    """Rolling traffic and the newest value of each station, for every district at the cutoff."""
+    df = events(spark, sf)
+    age = F.lit(NRT_AT).cast("timestamp_ntz") - F.expr("INTERVAL 96 HOUR")
+    rows = nrt.batch_features(districts(spark, sf), df.where("event_type = 'view'"), df.where("event_type = 'click'"), "dist", "user_id", "ts", "value", NRT_AT, 24, age)
+    return rows.withColumns({c: F.round(c, 4) for c in ("mean_flow", "mean_station")})
+
+
+@query(f"""WITH {EV}, base AS (SELECT dist, round(count(*) FILTER (event_type = 'error') / count(*), 4) AS risk FROM ev GROUP BY dist), b AS (SELECT CASE WHEN dist = 2 THEN 1 WHEN dist = 3 THEN 99 ELSE dist END AS dist, CASE WHEN dist = 5 THEN 1.5 ELSE risk END AS risk FROM base)
+SELECT (SELECT count(*) FROM base ANTI JOIN b USING (dist)) AS n_missing, (SELECT count(*) FROM (SELECT dist FROM b GROUP BY dist HAVING count(*) > 1)) AS n_repeated, (SELECT count(DISTINCT dist) FROM b ANTI JOIN base USING (dist)) AS n_unknown, count(*) FILTER (NOT risk BETWEEN 0 AND 1) AS n_out_of_range FROM b""")
+def batch_problems(spark, sf):
+    """A batch with one district twice, two missing, an unknown one and a score above 1."""
+    d = F.col("dist")
+    odd = rate_batches(spark, sf)[0].select(F.when(d == 2, 1).when(d == 3, 99).otherwise(d).alias("dist"), F.when(d == 5, 1.5).otherwise(F.col("risk")).alias("risk"))
+    return nrt.batch_problems(odd, districts(spark, sf), "dist", "risk")
 
 
 # Streams
 
+RECORD = 1000
+
 
 def landing(spark, sf, root):
-    """events as ;-separated CSV below yyyy/MM/dd folders."""
-    df = read(spark, sf, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Fecha"), "user_id", "event_type", "value", F.date_format("ts", "yyyy/MM/dd").alias("folder"))
-    df.write.partitionBy("folder").option("header", True).option("sep", ";").csv(root)
+    """events as ;-separated CSV below yyyy/MM/dd folders, one a month of the data, as a supplier would deliver them."""
+    df = read(spark, sf, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Fecha"), "user_id", "event_type", "value", F.to_date("ts").alias("day"))
+    df = df.withColumn("half", F.when(F.dayofmonth("day") <= 15, 15).otherwise(28)).withColumn("folder", F.concat(F.date_format("day", "yyyy/MM/"), F.col("half").cast("string")))
+    for r in df.select("folder").distinct().collect():  # two folders a month
+        df.where(F.col("folder") == r["folder"]).drop("day", "half", "folder").write.option("header", True).option("sep", ";").csv(f"{root}/{r['folder']}")
 
 
-@query("SELECT event_id, date_trunc('second', ts) AS fecha, user_id, event_type, value, CAST(NULL AS DATE) AS _file_date FROM events")
+@query("SELECT event_id, date_trunc('second', ts) AS fecha, user_id, event_type, value, CAST(date_trunc('month', ts) AS DATE) + CASE WHEN day(ts) <= 15 THEN 14 ELSE 27 END AS _file_date FROM events")
 def stream_csv_ingest(spark, sf):
     from urbanflow.streaming.ingest import csv_stream, ingest
 
@@ -376,13 +470,33 @@ def stream_csv_ingest(spark, sf):
     return rows.select(F.col("event_id").cast("bigint").alias("event_id"), F.to_timestamp_ntz("fecha", F.lit("yyyy-MM-dd HH:mm:ss")).alias("fecha"), F.col("user_id").cast("bigint").alias("user_id"), "event_type", F.col("value").cast("double").alias("value"), "_file_date")
 
 
+@query("""SELECT event_id, event_type, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS value, CASE WHEN event_id % 2 = 1 THEN user_id END AS user_id, event_id % 7 = 0 AS rescued FROM events""")
+def stream_schema_evolution(spark, sf):
+    """Files that lack a column, then files that have it; values that don't parse stay in a rescued text beside a null."""
+    from urbanflow.streaming.ingest import append_available, evolving_csv_stream
+
+    base = work_dir(spark)
+    value = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("bad "), F.col("value"))).otherwise(F.col("value").cast("string"))
+    df = read(spark, sf, "events").select("event_id", "event_type", value.alias("value"), "user_id")
+    schemas = ["event_id bigint, event_type string, value double", "event_id bigint, event_type string, value double, user_id bigint"]
+    for k, schema in enumerate(schemas):
+        rows = df.where(F.col("event_id") % 2 == k)
+        (rows.drop("user_id") if k == 0 else rows).write.option("header", True).option("sep", ";").csv(f"{base}/landing/v{k + 1}")
+        append_available(evolving_csv_stream(spark, f"{base}/landing", schema), f"{base}/bronze", f"{base}/checkpoint")
+    rows = spark.read.option("mergeSchema", True).parquet(f"{base}/bronze")
+    return rows.select("event_id", "event_type", "value", "user_id", F.col("_rescued").isNotNull().alias("rescued"))
+
+
 @query("SELECT CAST(ts AS DATE) AS fecha, event_id AS id, value AS measure FROM events")
 def stream_xml_ingest(spark, sf):
     from urbanflow.streaming.ingest import ingest, xml_stream
 
     base = work_dir(spark)
-    df = read(spark, sf, "events").select(F.to_date("ts").cast("string").alias("fecha"), F.struct(F.col("event_id").alias("id"), F.col("value").alias("measure")).alias("pm"))
-    df.groupBy("fecha").agg(F.collect_list("pm").alias("pm")).write.format("xml").option("rootTag", "root").option("rowTag", "pms").save(f"{base}/landing")
+    df = read(spark, sf, "events").select(F.to_date("ts").cast("string").alias("fecha"), "event_id", F.struct(F.col("event_id").alias("id"), F.col("value").alias("measure")).alias("pm"))
+    # Records of about RECORD elements each, however many events a day has.
+    parts = df.groupBy("fecha").agg(F.ceil(F.count("*") / RECORD).alias("parts"))
+    df = df.join(parts, "fecha").withColumn("part", F.pmod(F.xxhash64("event_id"), "parts"))
+    df.groupBy("fecha", "part").agg(F.collect_list("pm").alias("pm")).drop("part").write.format("xml").option("rootTag", "root").option("rowTag", "pms").save(f"{base}/landing")
     schema = "fecha string, pm array<struct<id:bigint,measure:double>>"
     ingest(xml_stream(spark, f"{base}/landing", "pms", schema), "run1", f"{base}/bronze", f"{base}/checkpoint", ("pm", ["fecha"]))
     return spark.read.parquet(f"{base}/bronze").select(F.col("fecha").cast("date").alias("fecha"), "id", "measure")

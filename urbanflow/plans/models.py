@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from urbanflow.operators import aggregates, evaluation, ml, quality
-from urbanflow.plans.frames import SCORED, scored
+from urbanflow.operators import aggregates, evaluation, ml, nrt, quality
+from urbanflow.plans.frames import SCORED, districts, scored
 from urbanflow.plans.jobs import FEATURES, feature_snapshot
 from urbanflow.plans.registry import query
 from urbanflow.sources.tables import read, work_dir
@@ -20,10 +20,11 @@ def temporal_split(spark, sf):
     return read(spark, sf, "orders").select("o_orderkey", aggregates.split_name("o_orderdate", SPLITS).alias("split"))
 
 
-@query(f"SELECT count(*) FILTER (s = 'train') AS train, count(*) FILTER (s = 'validation') AS validation, count(*) FILTER (s = 'evaluation') AS evaluation, count(*) FILTER (s = 'excluded') AS excluded, count(*) AS total FROM (SELECT {SPLIT_SQL} AS s FROM orders)")
+@query(f"SELECT count(*) FILTER (s = 'train') AS train, count(*) FILTER (s = 'validation') AS validation, count(*) FILTER (s = 'evaluation') AS evaluation, count(*) FILTER (s = 'excluded') AS excluded, count(*) AS total, count(*) FILTER (s NOT IN ('train', 'validation', 'evaluation', 'excluded')) AS difference FROM (SELECT {SPLIT_SQL} AS s FROM orders)")
 def temporal_split_counts(spark, sf):
     rows = temporal_split(spark, sf)
-    return rows.agg(*(quality.count_if(F.col("split") == s, s) for s in (*SPLITS, "excluded")), F.count("*").alias("total"))
+    sums = rows.agg(*(quality.count_if(F.col("split") == s, s) for s in (*SPLITS, "excluded")), F.count("*").alias("total"))
+    return quality.reconciled(sums, [*SPLITS, "excluded"], "total")
 
 
 FOLDS = {"fold1": ("1997-01-01", "1998-01-01"), "fold2": ("1998-01-01", "1999-01-01")}
@@ -116,9 +117,12 @@ NUMERIC, FLAGS, CATEGORIES = ["mean", "click_mean", "n"], ["mean_available", "cl
 
 
 def feature_frame(spark, sf):
+    """Written once: every fit and fold reads it, none makes it again."""
     df = feature_snapshot(spark, sf).withColumn("n", F.col("n").cast("double"))
     df = quality.sanitize_ranges(df, {"mean": (0.0, True, None, False), "click_mean": (0.0, True, None, False)})
-    return ml.category_strings(df, ["dist", "hour", "weekday"])
+    path = f"{work_dir(spark)}/frame"
+    ml.category_strings(df, ["dist", "hour", "weekday"]).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def early(date):
@@ -128,12 +132,16 @@ def early(date):
 SIZE = 3 + 2 + 20 + 23 + 6
 
 
-@query("SELECT CAST(21 * 31 * 24 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_wrong_size, CAST(0 AS BIGINT) AS n_not_finite, count(DISTINCT user_id % 21) AS n_dists FROM events")
+@query(f"WITH {FEATURES} SELECT count(*) AS n_rows, count(*) AS n_wrong_size, count(*) FILTER (dist = 3) AS n_not_finite, count(DISTINCT dist) AS n_dists FROM labels1")
 def vector_checks(spark, sf):
+    """Vectors held to a size that is one too large, with an infinite value in one district."""
     df = feature_frame(spark, sf)
     model = ml.fit_preprocess(df.where(early("2024-01-25 00:00:00")), NUMERIC, FLAGS, CATEGORIES)
     dists = read(spark, sf, "events").agg(F.countDistinct(F.col("user_id") % 21).alias("n_dists"))
-    return ml.vector_checks(model.transform(df), "features", SIZE).join(F.broadcast(dists))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    odd = F.transform(vector_to_array("features"), lambda x, i: F.when((i == 0) & (F.col("dist") == 3), float("inf")).otherwise(x))
+    return ml.vector_checks(model.transform(df).select(array_to_vector(odd).alias("features")), "features", SIZE + 1).join(F.broadcast(dists))
 
 
 @query()
@@ -145,9 +153,19 @@ def ml_preprocess(spark, sf):
     return model.transform(df).select("dist", "hour_ts", vector_to_array("features").alias("features"))
 
 
-@query()
+MEDIANS = ", ".join(f"('{c}', {i})" for i, c in enumerate(sorted(("mean", "click_mean", "n"))))
+HALF = "(SELECT quantile_disc({c}, 0.5) FROM f WHERE {c} IS NOT NULL)"
+
+
+@query(f"""WITH {FEATURES}, f AS (SELECT dist, hour_ts, mean, coalesce(n, 0)::DOUBLE AS n, click_mean FROM labels1 LEFT JOIN h USING (dist, hour_ts) LEFT JOIN p USING (dist, hour_ts)),
+x AS (SELECT coalesce(mean, {HALF.format(c='mean')}) AS a, coalesce(click_mean, {HALF.format(c='click_mean')}) AS b, n AS c FROM f)
+SELECT 'median' AS stage, m AS name, CAST(i AS INT) AS position, round(CASE m WHEN 'mean' THEN {HALF.format(c='mean')} WHEN 'click_mean' THEN {HALF.format(c='click_mean')} ELSE {HALF.format(c='n')} END, 4) AS value FROM (VALUES {MEDIANS}) AS t(m, i)
+UNION ALL SELECT s, 'scaled', CAST(i AS INT), round(v, 4) FROM (SELECT 'mean' AS s, 0 AS i, avg(a) AS v FROM x UNION ALL SELECT 'mean', 1, avg(b) FROM x UNION ALL SELECT 'mean', 2, avg(c) FROM x UNION ALL SELECT 'std', 0, stddev_samp(a) FROM x UNION ALL SELECT 'std', 1, stddev_samp(b) FROM x UNION ALL SELECT 'std', 2, stddev_samp(c) FROM x)
+UNION ALL SELECT 'label', 'dist_cat=' || lpad(CAST(dist AS VARCHAR), 2, '0'), CAST(row_number() OVER (ORDER BY dist) - 1 AS INT), row_number() OVER (ORDER BY dist) - 1.0 FROM (SELECT DISTINCT dist FROM f)
+UNION ALL SELECT 'label', 'hour_cat=' || lpad(CAST(k AS VARCHAR), 2, '0'), CAST(k AS INT), CAST(k AS DOUBLE) FROM (SELECT DISTINCT hour(hour_ts) AS k FROM f)
+UNION ALL SELECT 'label', 'weekday_cat=' || lpad(CAST(k AS VARCHAR), 2, '0'), CAST(k - 1 AS INT), k - 1.0 FROM (SELECT DISTINCT dayofweek(hour_ts) + 1 AS k FROM f)""")
 def ml_fitted_state(spark, sf):
-    return ml.fitted_state(ml.fit_preprocess(feature_frame(spark, sf), NUMERIC, FLAGS, CATEGORIES))
+    return ml.fitted_state(ml.fit_preprocess(feature_frame(spark, sf), NUMERIC, FLAGS, CATEGORIES, median_error=0.0)).withColumn("value", F.round("value", 4))
 
 
 def fitted(spark, sf):
@@ -163,11 +181,15 @@ def ml_logistic(spark, sf):
 
 @query()
 def score_batch(spark, sf):
-    """The newest hour of the grid, scored and stamped."""
+    """The newest hour of the grid, scored, stamped and published twice; what is read back is the current batch."""
     df, model = fitted(spark, sf)
     newest = df.agg(F.max("hour_ts").alias("newest"))
     batch = df.join(F.broadcast(newest), F.col("hour_ts") == F.col("newest")).drop("newest")
-    return ml.score(model, batch, ["dist", "hour_ts"]).withColumns({"model": F.lit("logistic"), "window_end": F.expr("hour_ts + INTERVAL 1 HOUR")})
+    scores = ml.score(model, batch, ["dist", "hour_ts"]).withColumns({"model": F.lit("logistic"), "window_end": F.expr("hour_ts + INTERVAL 1 HOUR")})
+    path = f"{work_dir(spark)}/predictions"
+    for rows in (scores.withColumn("hour_ts", F.expr("hour_ts - INTERVAL 1 HOUR")), scores, scores):
+        nrt.publish(rows, districts(spark, sf), path, "dist", "hour_ts", "score")
+    return nrt.current(nrt.published(scores, path), "hour_ts")
 
 
 @query()

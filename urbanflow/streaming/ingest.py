@@ -12,11 +12,20 @@ METADATA = ["_ingestion_timestamp", "_ingestion_run_id", "_source_file", "_file_
 FILE_DATE = r"/(\d{4}/\d{2}/\d{2})/"
 
 
-def csv_stream(spark: SparkSession, path: str, schema: str, sep: str = ";", encoding: str = "UTF-8") -> DataFrame:
-    options = {"sep": sep, "header": "true", "encoding": encoding, "mode": "PERMISSIVE", "recursiveFileLookup": "true"}
+def csv_stream(spark: SparkSession, path: str, schema: str, sep: str = ";", encoding: str = "UTF-8", **more: str) -> DataFrame:
+    options = {"sep": sep, "header": "true", "encoding": encoding, "mode": "PERMISSIVE", "recursiveFileLookup": "true"} | more
     return spark.readStream.format("csv").schema(schema).options(**options).load(path)
 
 
+def evolving_csv_stream(spark: SparkSession, path: str, schema: str, sep: str = ";", encoding: str = "UTF-8", rescued: str = "_rescued") -> DataFrame:
+    """Typed columns; a row with a value that doesn't parse keeps its whole text in `rescued`, beside nulls.
+
+    A stream that is started again with more columns at the end of its schema goes on where it was, and older rows of
+    its target have nulls there (read it with mergeSchema).
+    """
+    return csv_stream(spark, path, f"{schema}, `{rescued}` string", sep, encoding, columnNameOfCorruptRecord=rescued)
+
+
 def xml_stream(spark: SparkSession, path: str, row_tag: str, schema=None, sample: str | None = None) -> DataFrame:
     """Streams need a schema; without one, that of a batch read of `sample` is taken."""
     schema = schema or spark.read.format("xml").option("rowTag", row_tag).load(sample or path).schema
