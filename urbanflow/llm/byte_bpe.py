@@ -30,6 +30,8 @@ from urbanflow.llm.common import extended, others, pieces, quoted, tidy
 CACHE, CACHED_CHARS = 250_000, 64
 #: Bytes of text that are worked on at a time.
 BATCH_BYTES = 1_000_000
+#: Ids that become bytes at a time.
+DECODED_IDS = 100_000
 #: Ids that become text at a time.
 SLICE = 100_000
 NEW = ["token_ids", "token_starts", "token_ends"]
@@ -146,7 +148,8 @@ class Decoder:
         """The bytes of the ids, one after the other."""
         n = self.length[ids]
         begin = np.cumsum(n) - n
-        at = np.repeat(self.start[ids] - begin, n) + np.arange(n.sum())
+        at = np.repeat((self.start[ids] - begin).astype(np.int32), n)
+        at += np.arange(len(at), dtype=np.int32)
         return self.byte[self.shown[at]]
 
 
@@ -162,7 +165,7 @@ def decoding(kept: list[str], ids: str, path: str, out: str):
     def run(batches):
         dec = decoder(path)
         for batch in batches:
-            for a, b in pieces([(n or 0) + 50 for n in pc.list_value_length(batch.column(at)).to_pylist()], BATCH_BYTES // 2):
+            for a, b in pieces([(n or 0) + 50 for n in pc.list_value_length(batch.column(at)).to_pylist()], DECODED_IDS):
                 part = batch.slice(a, b - a)
                 lists = part.column(at)
                 flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)

@@ -82,6 +82,14 @@ def others(df: DataFrame, *names: str) -> list[str]:
     return [c for c in df.columns if c.lower() not in gone]
 
 
+def same(a: Column, b: Column) -> Column:
+    """a <=> b of integers or dates as a plain condition, not as a join key.
+
+    A broadcast table with one long as its key is compact; one with several keys takes 32 MB of each executor at least.
+    """
+    return F.coalesce(F.abs(F.when(a == b, 0).otherwise(1)) == 0, F.lit(False)) & a.isNotNull() | a.isNull() & b.isNull()
+
+
 def quoted(name: str) -> Column:
     """The column of exactly this name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanflow.llm.common import ascii_lower, fresh, others, quoted, written
+from urbanflow.llm.common import ascii_lower, fresh, others, quoted, same, written
 
 K, W = 5, 6
 SPAN = K + W - 1
@@ -78,15 +78,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     prints = [F.struct(F.lit(SPAN).alias("span"), F.array_distinct(each_window(LEAST)).alias("prints"))]
     prints += [F.struct(F.lit(m).alias("span"), F.array_distinct(grams(m)).alias("prints")) for m in short]
     seen = rows.withColumn("grams", grams(K)).select("id", "version", F.explode(F.array(*prints)).alias("e")).select("id", "version", "e.span", F.explode("e.prints").alias("print"))
-    hits = seen.join(sized(tests.select("span", "print").distinct()), ["span", "print"], "left_semi").select(F.col("id").alias("hit_id"), F.col("version").alias("hit_version")).distinct()
+    prints = sized(tests.select(F.col("span").alias("own_span"), F.col("print").alias("own_print")).distinct())
+    hits = seen.join(prints, (F.col("print") == F.col("own_print")) & same(F.col("span"), F.col("own_span")), "left_semi").select(F.col("id").alias("hit_id"), F.col("version").alias("hit_version")).distinct()
     hits = written(hits, "hits")
     hits = F.broadcast(hits) if hits.count() <= BROADCAST_ROWS else hits
 
     # Extending: from the places of fingerprints to the windows that they may belong to, word by word.
-    texts = rows.join(hits, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("version") == F.col("hit_version")), "left_semi").withColumn("grams", grams(K))
+    texts = rows.join(hits, same(F.col("id"), F.col("hit_id")) & (F.col("version") == F.col("hit_version")), "left_semi").withColumn("grams", grams(K))
     places = [F.struct(F.lit(SPAN).alias("span"), F.transform(F.array_distinct(each_window(PLACE)), lambda p: F.struct(p.alias("place"), F.get("grams", p).alias("print"))).alias("prints"))]
     places += [F.struct(F.lit(m).alias("span"), F.transform(grams(m), lambda g, i: F.struct(i.alias("place"), g.alias("print"))).alias("prints")) for m in short]
-    near = texts.select("id", "version", "words", F.explode(F.array(*places)).alias("e")).select("id", "version", "words", "e.span", F.inline("e.prints")).join(sized(tests), ["span", "print"])
+    near = texts.select("id", "version", "words", F.explode(F.array(*places)).alias("e")).select("id", "version", "words", "e.span", F.inline("e.prints"))
+    windows = sized(tests.withColumnsRenamed({"span": "own_span", "print": "own_print"}))
+    near = near.join(windows, (F.col("print") == F.col("own_print")) & same(F.col("span"), F.col("own_span")))
     at = F.col("place") - F.col("off")
     exact = near.withColumn("at", at).where("at >= 0").where(F.slice("words", F.col("at") + 1, F.col("span")) == F.col("window"))
     spans = exact.select("id", "version", "items", F.sequence("at", F.col("at") + F.col("span") - 1).alias("covered"))
@@ -102,7 +105,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     found = F.broadcast(found) if taken <= BROADCAST_BYTES else found
     hit_id, hit_version, covered, names = (F.col(c) for c in mine)
     item_type = "array<" + benchmark.schema[item].dataType.simpleString() + ">"
-    out = docs.join(found, quoted(key).eqNullSafe(hit_id) & (F.xxhash64(quoted(text)) == hit_version), "left")
+    out = docs.join(found, same(quoted(key), hit_id) & (F.xxhash64(quoted(text)) == hit_version), "left")
     return out.select(
         *(quoted(c) for c in others(docs, *NEW)), F.size(words(quoted(text))).cast("bigint").alias("n_words"), F.coalesce(covered, F.array().cast("array<int>")).alias("hit_words"),
         F.coalesce(names, F.array().cast(item_type)).alias("items"), hit_version.isNotNull().alias("contaminated"))

@@ -44,13 +44,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanflow.llm.common import quoted, text_parts, tidy, tidy_group, written
+from urbanflow.llm.common import quoted, same, text_parts, tidy, tidy_group, written
 
 WORDS = 5
 NUM, DEN = 80, 100
 BATCH_BYTES, FLUSH, BUCKET = 500_000, 1_000_000, 1_500_000
 #: A block has at most so many members, and about so many bytes of sets.
-BLOCK, BLOCK_BYTES = 512, 16_000_000
+BLOCK, BLOCK_BYTES = 256, 8_000_000
 #: A shingle that so many documents of one flush have is "frequent": last in the order.
 FREQUENT = 64
 HOT = np.uint32(0xFFFFFFFF)
@@ -497,7 +497,7 @@ def prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFram
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), batch.column(3), pa.array([digest(s) for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())], names=["cls", "n", "expected", "digest", "shingles"])
 
     r = few(reps.select("cls", "n", "digest", F.col("key").alias("rep_key"), F.col("version").alias("rep_version")), reps.count())
-    texts = docs.join(r, docs["key"].eqNullSafe(r["rep_key"]) & (docs["version"] == r["rep_version"])).select("text", "cls", "n", "digest")
+    texts = docs.join(r, same(docs["key"], r["rep_key"]) & (docs["version"] == r["rep_version"])).select("text", "cls", "n", "digest")
     stored = texts.mapInArrow(tidy(store), "cls bigint, n bigint, expected binary, digest binary, shingles binary").where("digest = expected")
     stored = written(stored.dropDuplicates(["cls"]).select("cls", "n", "shingles"), "stored")
     left = reps.agg(F.sum("n")).first()[0] or 0

@@ -19,10 +19,10 @@ keep their values, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanflow.llm.common import fresh, others, quoted, written
+from urbanflow.llm.common import fresh, others, quoted, same, written
 
 MIN_SITES = 10
 #: Estimates within this share of the threshold are counted exactly; the sketch's error is about 3 % (2^10 registers).
@@ -43,17 +43,23 @@ def few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def on_line(side: DataFrame) -> tuple[DataFrame, Column]:
+    """side with other names for h1 and h2, and the condition that they equal a line's: h1 is the key, h2 a filter."""
+    side = side.withColumnsRenamed({"h1": "own1", "h2": "own2"})
+    return few(side), (F.col("h1") == F.col("own1")) & same(F.col("h2"), F.col("own2"))
+
+
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """h1, h2 and the kept occurrence of each line on at least min_sites sites.  lines: `occurrences`, written."""
     line = ["h1", "h2"]
     frequent = written(lines.groupBy(*line).agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select(*line), "frequent")
-    repeated = lines.join(few(frequent), line, "left_semi")
+    repeated = lines.join(*on_line(frequent), "left_semi")
     spread = repeated.groupBy(*line, "site").agg(F.min(F.struct("id", "pos", "version")).alias("first"))
     spread = spread.groupBy(*line).agg(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS)).alias("sketch"), F.min("first").alias("first"))
     rated = written(spread.select(*line, "first", F.hll_sketch_estimate("sketch").alias("sites")), "rated")
     sure = rated.where(F.col("sites") > min_sites * (1 + BAND)).select(*line, "first")
     near = rated.where(F.col("sites").between(min_sites * (1 - BAND), min_sites * (1 + BAND))).select(*line, "first")
-    exact = lines.join(few(near.select(*line)), line, "left_semi").select(*line, "site").distinct().groupBy(*line).agg(F.count("site").alias("sites")).where(F.col("sites") >= min_sites)
+    exact = lines.join(*on_line(near.select(*line)), "left_semi").select(*line, "site").distinct().groupBy(*line).agg(F.count("site").alias("sites")).where(F.col("sites") >= min_sites)
     return sure.unionByName(near.join(exact.select(*line), line))
 
 
@@ -61,7 +67,7 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id"
     """docs with the text cut, and removed_lines (positions from 0) and emptied."""
     lines = written(occurrences(docs, key, text, site), "lines")
     bad = written(boilerplate(lines, min_sites), "bad")
-    gone = lines.join(few(bad), ["h1", "h2"]).where(~(F.struct("id", "pos", "version").eqNullSafe(F.col("first"))))
+    gone = lines.join(*on_line(bad)).where(~(F.struct("id", "pos", "version").eqNullSafe(F.col("first"))))
     gone = written(gone.groupBy("id", "version").agg(F.sort_array(F.collect_set("pos")).alias("gone")), "gone")
     taken = gone.agg(F.sum(64 + 4 * F.size("gone"))).first()[0] or 0
 
@@ -69,7 +75,7 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id"
     gone = gone.toDF(*mine)
     gone = F.broadcast(gone) if taken <= BROADCAST_BYTES else gone
     gone_id, gone_version, at = (F.col(c) for c in mine)
-    rows = docs.join(gone, quoted(key).eqNullSafe(gone_id) & (F.xxhash64(quoted(text)) == gone_version), "left")
+    rows = docs.join(gone, same(quoted(key), gone_id) & (F.xxhash64(quoted(text)) == gone_version), "left")
     cut = F.array_join(F.filter(F.split(quoted(text), "\n"), lambda x, i: ~F.array_contains(at, i)), "\n")
     left = F.when(at.isNull(), quoted(text)).otherwise(cut)
     return rows.select(
