@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanflow.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, quality
-from urbanflow.llm.common import delete, fresh, scratch, shared_dir, table, written
+from urbanflow.llm.common import delete, fresh, same, scratch, shared_dir, table, written
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,15 +38,15 @@ def join_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if twice.isEmpty():
         return left
     version, = fresh(docs, "version")
-    same = matched(left, twice, "left_semi").withColumn(version, F.xxhash64("text"))
-    return matched(left, twice, "left_anti").unionByName(same.dropDuplicates(["doc_id", version]).drop(version))
+    again = matched(left, twice, "left_semi").withColumn(version, F.xxhash64("text"))
+    return matched(left, twice, "left_anti").unionByName(again.dropDuplicates(["doc_id", version]).drop(version))
 
 
 def matched(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     """docs joined (how: left_semi or left_anti) to rows of key and version."""
     key, version = fresh(docs, "row_key", "row_version")
     keys = written(keys.select(F.col("key").alias(key), F.col("version").alias(version)), "keys")
-    return docs.join(jaccard_join.few(keys, keys.count()), F.col("doc_id").cast("bigint").eqNullSafe(F.col(key)) & (F.xxhash64("text") == F.col(version)), how)
+    return docs.join(jaccard_join.few(keys, keys.count()), same(F.col("doc_id").cast("bigint"), F.col(key)) & (F.xxhash64("text") == F.col(version)), how)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
