@@ -384,13 +384,13 @@ def open_members(members: DataFrame, posts: DataFrame) -> DataFrame:
 def units(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members with their block, units with the blocks that take part).  members: cluster, cls, n, label, ..."""
     size = F.col("n") * 8
-    whole = members.groupBy("cluster").agg(F.count("*").alias("size"), F.sum(size).alias("bytes"))
+    whole = written(members.groupBy("cluster").agg(F.count("*").alias("size"), F.sum(size).alias("bytes")), "whole")
     small = (F.col("size") <= BLOCK) & (F.col("bytes") <= BLOCK_BYTES)
-    rows = members.join(whole, "cluster").withColumn("band", F.when(small, F.lit(0)).otherwise(band())).withColumn("small", small).drop("size", "bytes")
+    rows = members.join(few(whole, whole.count()), "cluster").withColumn("band", F.when(small, F.lit(0)).otherwise(band())).withColumn("small", small).drop("size", "bytes")
     rows = written(rows, "banded")
     count = rows.where("not small").groupBy("cluster", "band", "label").agg(F.count("*").alias("k"))
-    main = count.groupBy("cluster", "band").agg(F.max_by("label", F.struct("k", "label")).alias("main"))
-    rows = rows.join(main, ["cluster", "band"], "left").withColumn("main", F.when(F.col("label") == F.col("main"), F.col("label")))
+    main = written(count.groupBy("cluster", "band").agg(F.max_by("label", F.struct("k", "label")).alias("main")), "main")
+    rows = rows.join(few(main, main.count()), ["cluster", "band"], "left").withColumn("main", F.when(F.col("label") == F.col("main"), F.col("label")))
     parts = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(size) / BLOCK_BYTES)).cast("int")
     dealt = written(rows.groupBy("cluster", "band", "main").agg(F.when(F.first("small"), 1).otherwise(parts).alias("parts")), "dealt")
     same = F.col("l.main").eqNullSafe(F.col("r.main")) & F.col("l.main").isNotNull()
