@@ -331,6 +331,8 @@ def redrawn(found: DataFrame, secret: bytes) -> DataFrame | None:
     found = written(found, "entities")
     crowded = found.groupBy("kind", "format").agg(F.count("*").alias("k"), F.max("room").alias("room")).where(F.col("k") > CROWDED * F.col("room")).select("kind", "format")
     real = found.select("kind", F.col("entity").alias("surrogate")).distinct()
+    crowded = written(crowded, "crowded")
+    crowded = F.broadcast(crowded) if crowded.count() <= BROADCAST_ROWS else crowded
     free = found.join(crowded, ["kind", "format"], "left_anti").select("kind", "entity", "sex", "surrogate")
     settled, draw = written(free.withColumn("draw", F.lit(0)), "settled"), 0
     while True:
