@@ -9,7 +9,8 @@ unit (ties: line before block before text, then the earlier, then the smaller li
 Only units that may reach MIN_COSINE are scored, by an exact bound: the words that a unit shares with a template must
 carry MIN_COSINE ** 2 of its squared weight, so a unit has at least one of any words that carry more than the rest.
 `anchors` takes the heaviest words of each template until they do, everyday words last; a text without any is left out
-by the scan.
+by the scan.  For the same reason a unit has as many different words of the template as its heaviest words need for that
+weight (`enough`); units with fewer are never shuffled.
 
 In a directory the file with the smallest key that has a licence serves as its licence file; files without a licence of
 their own take that of the nearest directory above them that has one, by joining each directory to its ancestors and
@@ -107,6 +108,19 @@ def anchors(templates: dict[str, list[str]], min_cosine: float) -> list[str]:
     return sorted(out)
 
 
+def enough(templates: dict[str, list[str]], min_cosine: float) -> Column:
+    """Whether `shared`, the template words of a unit, may reach min_cosine with a template: its heaviest words tell how many it takes."""
+    out = F.lit(False)
+    for own in weights(templates)[1]:
+        need, carried = 0, 0.0
+        for w in sorted(own.values(), reverse=True):
+            if carried >= (min_cosine - 1e-6) ** 2:
+                break
+            need, carried = need + 1, carried + w * w
+        out = out | (F.size(F.array_intersect("shared", F.array(*map(F.lit, sorted(own))))) >= need)
+    return out
+
+
 def weight_rows(spark: SparkSession, templates: dict[str, list[str]]) -> DataFrame:
     """word, idf and tw, its weight in each template; a few hundred rows."""
     idf, tw, _ = weights(templates)
@@ -123,7 +137,12 @@ def scan(files: DataFrame, templates: dict[str, list[str]], key: str = "doc_id",
     whole = F.when(F.col("text").contains("\n"), F.array(F.struct(F.lit(KINDS.index("text")).alias("kind"), F.lit(0).alias("place"), F.col("text").alias("body"))))
     units = rows.where(has(F.col("text"))).select("key", F.inline(F.concat(F.transform(F.split("text", "\n"), unit("line")), blocks, F.coalesce(whole, F.array().cast("array<struct<kind:int,place:int,body:string>>")))))
     units = units.where(has(F.col("body")))
-    tf = units.select("key", "kind", "place", F.explode(words(F.col("body"))).alias("word")).groupBy("key", "kind", "place", "word").agg(F.count("*").alias("tf"))
+    # Exploding an array of one keeps the optimizer from putting the tokens' expression in place of each mention of them.
+    once = lambda c, name: F.explode(F.array(c)).alias(name)
+    units = units.select("key", "kind", "place", once(words(F.col("body")), "words"))
+    known = F.array(*map(F.lit, sorted(weights(templates)[0])))
+    units = units.select("*", once(F.array_intersect("words", known), "shared")).where(enough(templates, min_cosine))
+    tf = units.select("key", "kind", "place", F.explode("words").alias("word")).groupBy("key", "kind", "place", "word").agg(F.count("*").alias("tf"))
     table, top = weight_rows(files.sparkSession, templates), weights(templates)[2]
     weighed = tf.join(F.broadcast(table), "word", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(top)))
     dot = lambda i: F.sum(F.col("w") * F.coalesce(F.col("tw")[i], F.lit(0.0)))
