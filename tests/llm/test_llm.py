@@ -4,6 +4,7 @@ import base64
 import hashlib
 import itertools
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,7 +42,10 @@ def test_media_round_trip(spark):
     texts = ["", None, "abc", "é" * 500, "RIFF trap %PDF- \x00"]
     for r in media.sniff(media.store(docs_of(spark, texts))).collect():
         raw = (texts[r.doc_id] or "").encode()
-        assert bytes(r.payload) == media.padded(raw) and r.media_type == "audio/wav" and len(r.media) == 1 and r.n_bytes == len(raw)
+        assert bytes(r.payload) == media.padded(raw) and r.media_type == "audio/wav" and r.n_bytes == len(raw)
+        before, after = media.LAYOUTS[zlib.crc32(media.padded(raw)) % len(media.LAYOUTS)]
+        parts = [("image/png", media.THUMBNAIL)] * (media.THUMBNAIL in before) + [("audio/wav", media.store_wav(media.padded(raw)))] + [("image/png", media.THUMBNAIL)] * (media.THUMBNAIL in after)
+        assert list(zip((m.type for m in r.media), map(bytes, r.carved), strict=True)) == parts
 
 
 def test_sniffing_confirms_structure():
