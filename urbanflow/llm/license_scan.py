@@ -74,6 +74,8 @@ WORD = r"[0-9a-z]+(?:[.-][0-9a-z]+)*"
 SPDX = r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+-]+)"
 BLANK = r"\n[ \t\r]*\n"
 KINDS = ("spdx", "line", "block", "text")
+#: What names a unit: the file, the hash of its text, and the unit's kind and place.
+UNIT = ("key", "version", "kind", "place")
 
 
 def words(text: Column) -> Column:
@@ -131,22 +133,30 @@ def scan(files: DataFrame, templates: dict[str, list[str]], key: str = "doc_id",
     """key, license, cosine, kind (of unit) and place (its position among those) of each file with a licence of its own."""
     names = [name for name, _ in flat(templates)]
     has = lambda c: c.rlike("(?i)(?<![0-9a-z])(?:" + "|".join(map(re.escape, anchors(templates, min_cosine))) + ")")
-    rows = files.select(quoted(key).alias("key"), quoted(text).alias("text"))
+    rows = files.select(quoted(key).alias("key"), F.xxhash64(quoted(text)).alias("version"), quoted(text).alias("text"))
     unit = lambda kind: lambda body, i: F.struct(F.lit(KINDS.index(kind)).alias("kind"), i.alias("place"), body.alias("body"))
     blocks = F.filter(F.transform(F.split("text", BLANK), unit("block")), lambda u: u.body.contains("\n"))
     whole = F.when(F.col("text").contains("\n"), F.array(F.struct(F.lit(KINDS.index("text")).alias("kind"), F.lit(0).alias("place"), F.col("text").alias("body"))))
-    units = rows.where(has(F.col("text"))).select("key", F.inline(F.concat(F.transform(F.split("text", "\n"), unit("line")), blocks, F.coalesce(whole, F.array().cast("array<struct<kind:int,place:int,body:string>>")))))
+    units = rows.where(has(F.col("text"))).select("key", "version", F.inline(F.concat(F.transform(F.split("text", "\n"), unit("line")), blocks, F.coalesce(whole, F.array().cast("array<struct<kind:int,place:int,body:string>>")))))
     units = units.where(has(F.col("body")))
     # Exploding an array of one keeps the optimizer from putting the tokens' expression in place of each mention of them.
     once = lambda c, name: F.explode(F.array(c)).alias(name)
-    units = units.select("key", "kind", "place", once(words(F.col("body")), "words"))
+    units = units.select(*UNIT, once(words(F.col("body")), "words"))
     known = F.array(*map(F.lit, sorted(weights(templates)[0])))
     units = units.select("*", once(F.array_intersect("words", known), "shared")).where(enough(templates, min_cosine))
-    tf = units.select("key", "kind", "place", F.explode("words").alias("word")).groupBy("key", "kind", "place", "word").agg(F.count("*").alias("tf"))
+    # The squares of all counts, by sorted runs, and the counts of template words: no word but those leaves its row.
+    run = lambda a, w: F.when(a.w == w, F.struct(w.alias("w"), (a.n + 1).alias("n"), (a.q + 2 * a.n + 1).alias("q"))).otherwise(F.struct(w.alias("w"), F.lit(1).cast("bigint").alias("n"), (a.q + 1).alias("q")))
+    zero = F.lit(0).cast("bigint")
+    squares = F.aggregate(F.array_sort("words"), F.struct(F.lit("").alias("w"), zero.alias("n"), zero.alias("q")), run, lambda a: a.q)
+    counts = F.transform("shared", lambda w: F.struct(w.alias("word"), F.size(F.filter("words", lambda x: x == w)).alias("tf")))
+    tf = units.select(*UNIT, squares.alias("squares"), F.size("shared").alias("k"), F.inline(counts))
     table, top = weight_rows(files.sparkSession, templates), weights(templates)[2]
-    weighed = tf.join(F.broadcast(table), "word", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(top)))
-    dot = lambda i: F.sum(F.col("w") * F.coalesce(F.col("tw")[i], F.lit(0.0)))
-    scored = weighed.groupBy("key", "kind", "place").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), *(dot(i).alias(f"d{i}") for i in range(len(names))))
+    weighed = tf.join(F.broadcast(table), "word").withColumn("w", F.col("tf") * F.col("idf"))
+    # Equal rows of one key add up to `times` times their sums.
+    square = F.col("squares") * top**2 / F.col("k") + F.col("w") * F.col("w") - F.col("tf") * F.col("tf") * top**2
+    dot = lambda i: F.sum(F.col("w") * F.col("tw")[i])
+    times = F.count("*") / F.max("k")
+    scored = weighed.groupBy(*UNIT).agg(F.sqrt(F.sum(square) * times).alias("norm"), *(dot(i).alias(f"d{i}") for i in range(len(names))))
     each = F.array(*(F.struct((-F.round(F.col(f"d{i}") / F.col("norm"), 6)).alias("c"), F.col("kind"), F.col("place"), F.lit(name).alias("license")) for i, name in enumerate(names)))
     found = scored.select("key", F.array_min(each).alias("b")).where(-F.col("b.c") >= min_cosine)
     stated = rows.where(F.col("text").contains("SPDX-License-Identifier:")).select("key", F.regexp_extract("text", SPDX, 1).alias("license")).where("license <> ''")
