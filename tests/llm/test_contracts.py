@@ -266,3 +266,12 @@ def test_pipeline_by_brute_force(spark, tmp_path):
     own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=byte_bpe.vocabulary(path), special_tokens={})
     assert all(r.round_trip and list(r.token_ids) == own.encode_ordinary(cut[i] or "") for i, r in kept["byte_bpe"].items())
     assert P.run(spark, SF).count() == len(clean)
+
+
+def test_license_of_rows_that_share_a_key(spark):
+    """Equal rows score as one; rows of other texts are scored apart, and the best of them counts."""
+    mit, notice = "Released under the MIT License.", "x = 1\nLicensed under the Apache License, Version 2.0\ny"
+    files = spark.createDataFrame([(1, mit), (2, mit), (2, mit), (2, mit), (3, "alpha beta gamma"), (3, mit), (4, notice), (5, notice), (5, notice), (6, None), (6, "")], "doc_id bigint, text string")
+    got = {r.doc_id: (r.license, r.cosine, r.kind, r.place) for r in license_scan.scan(files, license_scan.TEMPLATES).collect()}
+    assert got.keys() == {1, 2, 3, 4, 5} and got[1] == got[2] == got[3] and got[4] == got[5]
+    assert got[1] == ("MIT", 1.0, "line", 0) and got[4] == ("Apache-2.0", 1.0, "line", 1)
