@@ -1,16 +1,18 @@
-"""The ten operators over the standard tables, with production parameters; digest columns come from their outputs."""
+"""The operators over the standard tables, with production parameters; digest columns come from their outputs."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanflow.llm import byte_bpe, chat, decontaminate, jaccard_join, license_scan, line_dedup, media, pii, quality, url_filter
-from urbanflow.llm.common import table
+from urbanflow.llm import alignment, byte_bpe, chat, decontaminate, jaccard_join, license_scan, line_dedup, media, pii, quality, url_filter, warc, whitening
+from urbanflow.llm.common import shared_dir, table
 
 #: Rules for hosts and their subdomains, with the start of the path.
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
 PII_KEY = b"surrogates of documents"
+#: Seconds since 1970 of the capture of page 0.
+CAPTURED_FROM = 1_700_000_000
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,4 +82,26 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "text", F.size("removed_lines").cast("bigint").alias("n_removed"), F.array_join(F.transform("removed_lines", lambda x: x.cast("string")), ",").alias("removed"), "emptied")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_media, op3_chat, op4_license_scan, op5_decontaminate, op6_pii, op7_byte_bpe, op8_jaccard_join, op9_quality, op10_line_dedup)}
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_corpus(table(spark, sf_dir, "documents").select("doc_id", "text"), *paths).drop("text")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(whitening.quantised(table(spark, sf_dir, "embeddings"), "embedding", 64, 1_000_000), "vec_id")
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages have no time of capture: each counts as captured page_id seconds after a fixed instant."""
+    path = shared_dir(spark)
+    pages = warc.plan(table(spark, sf_dir, "pages"), at=F.col("page_id") + CAPTURED_FROM)
+    found = warc.index(warc.archive(pages, path), path)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "capture", "position")
+
+
+QUERIES = {
+    f.__name__: f for f in (
+        op1_url_filter, op2_media, op3_chat, op4_license_scan, op5_decontaminate, op6_pii, op7_byte_bpe, op8_jaccard_join, op9_quality, op10_line_dedup, op11_alignment, op12_whitening, op13_warc)
+}
