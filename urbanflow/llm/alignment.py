@@ -241,7 +241,7 @@ def align_corpus(docs: DataFrame, path_a: str, path_b: str, text: str = "text",
 
     mine = fresh(docs, "text_h1", "text_h2", *NEW)
     measures = written(measures.select("h1", "h2", *NEW).toDF(*mine), "measures")
-    h1, h2 = text_hash(quoted(text))
-    rows = docs.select(*(quoted(c) for c in docs.columns)).join(measures, (h1 == F.col(mine[0])) & (h2 == F.col(mine[1])), "left")
+    keyed = docs.withColumns(dict(zip(mine[:2], text_hash(quoted(text)), strict=True)))  # texts aren't shuffled where the caller drops them
+    rows = keyed.join(measures, mine[:2], "left")
     kept = others(docs, *NEW)
     return rows.select(*(quoted(c) for c in kept), *(F.coalesce(F.col(c), F.lit("" if n == "groups_sha256" else 0)).alias(n) for n, c in zip(NEW, mine[2:], strict=True)))
