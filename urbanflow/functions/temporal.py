@@ -49,7 +49,7 @@ def time_labels(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumns({"weekday": F.dayofweek(ts), "day_name": F.date_format(ts, "EEEE"), "day_part": day_part(F.hour(ts))})
 
 
-def floor_minutes(ts: str | Column, minutes: int = 10, zone: str = "Europe/Madrid") -> Column:
+def floor_minutes(ts: str | Column, zone: str, minutes: int = 10) -> Column:
     """A UTC wall clock as one of `zone`, floored to a multiple of `minutes` within the hour."""
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), _col(ts))
     minute = F.minute(local) - F.minute(local) % minutes

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanflow.functions.temporal import hour_bucket
-from urbanflow.operators.joins import bounded, densify
+from urbanflow.operators.joins import densify
 
 
 def hourly_aggregate(df: DataFrame, keys: list[str], ts: str, value: str, start: Column | None = None, end: Column | None = None) -> DataFrame:
@@ -17,18 +17,23 @@ def hourly_aggregate(df: DataFrame, keys: list[str], ts: str, value: str, start:
     return rows.groupBy(*keys, "hour_ts").agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.max(value).alias("highest"), F.sum(value).alias("total"))
 
 
-def hours_between(bounds: DataFrame, start: str, end: str) -> DataFrame:
-    return bounds.select(F.explode(F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))).alias("hour_ts"))
+def hour_bounds(df: DataFrame, ts: str) -> DataFrame:
+    """One row: the first and the last hour of df, or no row if it has none."""
+    return df.agg(F.min(hour_bucket(ts)).alias("first_hour"), F.max(hour_bucket(ts)).alias("last_hour")).where("first_hour is not null")
 
 
-def dense_grid(keys: DataFrame, hours: DataFrame) -> DataFrame:
-    """Every key with every hour.  keys: the entities, counted before they are broadcast."""
-    return hours.crossJoin(bounded(keys))
+def dense_grid(keys: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Every key with every hour of `hour_bounds`.
+
+    The bounds, one row, are all that is broadcast; each key makes its own hours where it is, so keys may be any number.
+    """
+    hours = F.explode(F.sequence("first_hour", "last_hour", F.expr("INTERVAL 1 HOUR"))).alias("hour_ts")
+    return keys.crossJoin(F.broadcast(bounds)).select(*keys.columns, hours)
 
 
-def dense_counts(facts: DataFrame, keys: list[str], ts: str, entities: DataFrame, hours: DataFrame) -> DataFrame:
+def dense_counts(facts: DataFrame, keys: list[str], ts: str, entities: DataFrame, bounds: DataFrame) -> DataFrame:
     counts = facts.withColumn("hour_ts", hour_bucket(ts)).groupBy(*keys, "hour_ts").agg(F.count("*").alias("n"))
-    return densify(dense_grid(entities, hours), counts, [*keys, "hour_ts"], ["n"])
+    return densify(dense_grid(entities, bounds), counts, [*keys, "hour_ts"], ["n"])
 
 
 def lead_hour_label(grid: DataFrame, events: DataFrame, entity: str, event: str, ts: str, required: list[str]) -> DataFrame:

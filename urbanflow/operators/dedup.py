@@ -35,11 +35,14 @@ def latest_file_snapshot(df: DataFrame, date: str) -> DataFrame:
 
 
 def after_watermark(df: DataFrame, target: DataFrame | None, column: str) -> DataFrame:
-    """Rows later than the newest of target; all rows if there is no target or it has none."""
+    """Rows later than the newest of target; all rows if there is no target or it has none.
+
+    The mark is one value, so the scan of df skips what lies before it.
+    """
     if target is None:
         return df
-    mark = target.agg(F.max(column).alias("_mark"))
-    return df.join(F.broadcast(mark), F.col("_mark").isNull() | (F.col(column) > F.col("_mark"))).drop("_mark")
+    mark = target.agg(F.max(column)).first()[0]
+    return df if mark is None else df.where(F.col(column) > F.lit(mark).cast(df.schema[column].dataType))
 
 
 def latest_per_entity(df: DataFrame, keys: list[str], time: str, cutoff: Column, ties: list[str], max_age: Column | None = None) -> DataFrame:

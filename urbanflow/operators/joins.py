@@ -36,13 +36,6 @@ def key_diff(expected: DataFrame, found: DataFrame, keys: list[str]) -> DataFram
     return missing.unionByName(b.join(a, keys, "left_anti").withColumn("side", F.lit("extra")))
 
 
-def bounded(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """df to broadcast, after its rows are counted; more than `rows` are an error."""
-    if (n := df.count()) > rows:
-        raise ValueError(f"{n} rows are too many to broadcast; at most {rows}")
-    return F.broadcast(df)
-
-
 def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that one side has more often than the other, with that side and how much more often."""
     a, b = (df.groupBy(*left.columns).agg((F.lit(sign) * F.count("*")).alias("_more")) for df, sign in ((left, 1), (right.select(*left.columns), -1)))

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanflow.operators import aggregates, dedup, quality, sinks
-from urbanflow.operators.joins import bounded
-from urbanflow.sources import tables
+from urbanflow.sources import versioned
 
 
 def batch_features(entities: DataFrame, flows: DataFrame, stations: DataFrame, entity: str, station: str, ts: str, value: str, cutoff: str, flow_hours: int = 1, max_age: Column | None = None) -> DataFrame:
@@ -26,7 +25,7 @@ def batch_features(entities: DataFrame, flows: DataFrame, stations: DataFrame, e
 
 def batch_problems(batch: DataFrame, entities: DataFrame, entity: str, score: str) -> DataFrame:
     """One row: entities that are missing, repeated or unknown, and scores outside 0 to 1."""
-    known = bounded(entities.select(F.col(entity).alias("_known")).distinct())
+    known = entities.select(F.col(entity).alias("_known")).distinct()
     own = batch.groupBy(entity).agg(F.count("*").alias("n"), F.sum((~F.coalesce(F.col(score).between(0, 1), F.lit(False))).cast("bigint")).alias("bad"))
     both = own.join(known, F.col(entity) == F.col("_known"), "full")
     return both.agg(
@@ -46,4 +45,4 @@ def current(df: DataFrame, window: str) -> DataFrame:
 
 
 def published(batch: DataFrame, path: str) -> DataFrame:
-    return tables.read_version(batch.sparkSession, path)
+    return versioned.read(batch.sparkSession, path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from urbanflow.operators import columns, dedup, sinks
-from urbanflow.sources import tables
+from urbanflow.sources import versioned
 
 
 def increment(source: DataFrame, target: DataFrame | None, steps: list[tuple[str, dict]], watermark: str | None = None, snapshot: str | None = None, partitions: list[str] | None = None, stamp: str | None = "_processed_at") -> DataFrame:
@@ -22,7 +22,6 @@ def increment(source: DataFrame, target: DataFrame | None, steps: list[tuple[str
 def run(source: DataFrame, path: str, steps: list[tuple[str, dict]], strategy: str, keys: list[str] | None = None, partition_by: list[str] | None = None, **options) -> DataFrame:
     """One increment, written to path by its strategy; the table afterwards."""
     spark = source.sparkSession
-    read = (lambda: tables.read_version(spark, path)) if strategy == "merge" else (lambda: spark.read.parquet(path))
-    target = read() if tables.exists(spark, f"{path}/log" if strategy == "merge" else path) else None
-    sinks.write(increment(source, target, steps, **options), path, strategy, keys=keys, partition_by=partition_by)
-    return read()
+    target = versioned.read(spark, path) if versioned.exists(spark, path) else None
+    rows = increment(source, target, steps, **options)
+    return versioned.read(spark, path, sinks.write(rows, path, strategy, keys=keys, partition_by=partition_by))

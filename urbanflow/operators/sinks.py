@@ -1,4 +1,4 @@
-"""Write strategies on Parquet: overwrite, append, upsert and replacement of partitions."""
+"""Write strategies: versioned tables (overwrite, append, upsert, replacement of partitions) and managed ones."""
 
 from __future__ import annotations
 
@@ -6,35 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanflow.operators.columns import check_names
-from urbanflow.sources import tables
-
-
-def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*(partition_by or [])).parquet(path)
-
-
-def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    df.write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
-
-
-def merged(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """target with the rows of source in place of those with the same keys; null keys equal each other."""
-    twice = source.groupBy(*keys).count().where("count > 1").limit(3).collect()
-    if twice:
-        raise ValueError(f"keys are repeated in the source: {[tuple(r)[:-1] for r in twice]}")
-    side = source.select(*(F.col(k).alias(f"_{k}") for k in keys))
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return target.join(side, same, "left_anti").unionByName(source)
-
-
-def upsert(df: DataFrame, path: str, keys: list[str]) -> None:
-    """A new version of the table at path; the first write is the whole table."""
-    spark = df.sparkSession
-    if not tables.exists(spark, f"{path}/log"):
-        tables.write_version(df, path, 0)
-        return
-    newest = tables.versions(spark, path).agg(F.max("version")).first()[0]
-    tables.write_version(merged(tables.read_version(spark, path, newest), df, keys), path, newest + 1)
+from urbanflow.sources import versioned
 
 
 def insert_overwrite(df: DataFrame, table: str) -> None:
@@ -51,20 +23,18 @@ def managed(df: DataFrame, table: str, partition_by: list[str] | None = None) ->
     check_names(df).write.mode("overwrite").option("overwriteSchema", "true").partitionBy(*(partition_by or [])).format("parquet").saveAsTable(table)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Only the partitions that df has rows of are replaced."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-
+def write(df: DataFrame, path: str, strategy: str, keys: list[str] | None = None, partition_by: list[str] | None = None, token: str | None = None) -> int:
+    """The next version of the table at path, by one of four strategies; its number.
 
-def write(df: DataFrame, path: str, strategy: str, keys: list[str] | None = None, partition_by: list[str] | None = None) -> None:
+    A token (append and merge) makes repeated writes of one batch a single one.
+    """
     check_names(df)
     if strategy == "overwrite":
-        overwrite(df, path, partition_by)
-    elif strategy == "append":
-        append(df, path, partition_by)
-    elif strategy == "merge" and keys:
-        upsert(df, path, keys)
-    elif strategy == "replace_partitions" and partition_by:
-        replace_partitions(df, path, partition_by)
-    else:
-        raise ValueError(f"no write strategy {strategy!r} with keys {keys} and partitions {partition_by}")
+        return versioned.overwrite(df, path, partition_by)
+    if strategy == "append":
+        return versioned.append(df, path, partition_by, token)
+    if strategy == "merge" and keys:
+        return versioned.upsert(df, path, keys, partition_by, token)
+    if strategy == "replace_partitions" and partition_by:
+        return versioned.replace_partitions(df, path, partition_by)
+    raise ValueError(f"no write strategy {strategy!r} with keys {keys} and partitions {partition_by}")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from urbanflow.functions import temporal
 from urbanflow.operators import aggregates, columns, dedup, joins, quality, reshape, spatial
-from urbanflow.plans.frames import EV, GRID, PART, TYPES, events, grid, incidents
+from urbanflow.plans.frames import EV, GRID, PART, TYPES, districts, events, grid, grid_of, incidents, incidents_of
 from urbanflow.plans.registry import query
 from urbanflow.sources.tables import read
 
@@ -141,7 +141,7 @@ def time_labels(spark, sf):
 
 @query("SELECT event_id, date_trunc('hour', ts + INTERVAL 1 HOUR) + INTERVAL 10 MINUTE * CAST(floor(minute(ts) / 10) AS INT) AS local_ts FROM events")
 def floor_ten_minutes(spark, sf):
-    return read(spark, sf, "events").select("event_id", temporal.floor_minutes("ts").alias("local_ts"))
+    return read(spark, sf, "events").select("event_id", temporal.floor_minutes("ts", "Europe/Madrid").alias("local_ts"))
 
 
 @query(f"SELECT CAST(h AS INT) AS hour, {PART.format(h='h')} AS day_part, CAST(CASE WHEN h <= 5 THEN 1 WHEN h <= 11 THEN 2 WHEN h <= 15 THEN 3 WHEN h <= 19 THEN 4 ELSE 5 END AS INT) AS day_part_order, count(event_id) AS n_events FROM range(24) AS r(h) LEFT JOIN events ON hour(ts) = h GROUP BY h")
@@ -354,8 +354,6 @@ def latest_per_entity(spark, sf):
 @query(f"""WITH {EV}, r AS (SELECT dist, count(*) AS n, round(avg(value), 4) AS mean, max(ts) AS newest FROM ev WHERE ts >= TIMESTAMP '{CUTOFF}' - INTERVAL 24 HOUR AND ts < TIMESTAMP '{CUTOFF}' + INTERVAL 1 MINUTE GROUP BY dist)
 SELECT g.dist, coalesce(n, 0) AS n, mean, newest, (SELECT max(newest) FROM r) AS newest_of_all FROM (SELECT DISTINCT dist FROM ev) g LEFT JOIN r USING (dist)""")
 def rolling_hour_features(spark, sf):
-    from urbanflow.plans.frames import districts
-
     rows = aggregates.rolling_window(events(spark, sf), "ts", CUTOFF, 24).groupBy("dist").agg(F.count("*").alias("n"), F.round(F.avg("value"), 4).alias("mean"), F.max("ts").alias("newest"))
     whole = rows.agg(F.max("newest").alias("newest_of_all"))
     return districts(spark, sf).join(rows, "dist", "left").fillna(0, ["n"]).join(F.broadcast(whole))
@@ -419,16 +417,19 @@ def grid_problems(spark, sf):
 @query(f"""WITH {EV}, {GRID}, c AS (SELECT dist, hour_ts, count(*) AS n FROM ev WHERE event_type = 'error' GROUP BY ALL)
 SELECT dist, hour_ts, coalesce(n, 0) AS n, CAST(dayofweek(hour_ts) + 1 AS INT) AS weekday, dayname(hour_ts) AS day_name, {PART.format(h='hour(hour_ts)')} AS day_part FROM grid LEFT JOIN c USING (dist, hour_ts)""")
 def dense_grid_counts(spark, sf):
-    from urbanflow.plans.frames import all_hours, districts
-
-    out = aggregates.dense_counts(incidents(spark, sf).drop("hour_ts"), ["dist"], "ts", districts(spark, sf), all_hours(spark, sf))
+    out = aggregates.dense_counts(incidents(spark, sf).drop("hour_ts"), ["dist"], "ts", districts(spark, sf), aggregates.hour_bounds(events(spark, sf), "ts"))
     return temporal.time_labels(out, "hour_ts")
 
 
 LABELS = f"{EV}, {GRID}, c AS (SELECT dist, hour_ts - INTERVAL 1 HOUR AS hour_ts, count(DISTINCT user_id) AS n FROM ev WHERE event_type = 'error' GROUP BY ALL), labels1 AS (SELECT dist, hour_ts, coalesce(n, 0) AS n_next_hour, hour_ts + INTERVAL 1 HOUR AS next_hour_ts, CAST(coalesce(n, 0) > 0 AS INT) AS target_next_hour FROM grid LEFT JOIN c USING (dist, hour_ts))"
 
 
+def label_rows(ev):
+    """Labels of the grid of some measurements."""
+    events_ = incidents_of(ev).withColumn("incident", F.concat_ws("@", F.col("user_id").cast("string"), F.col("hour_ts").cast("string"))).drop("hour_ts")
+    return aggregates.lead_hour_label(grid_of(ev), events_, "dist", "incident", "ts", ["dist", "ts", "value"]).select("dist", "hour_ts", "n_next_hour", "next_hour_ts", "target_next_hour")
+
+
 @query(f"WITH {LABELS} SELECT * FROM labels1")
 def lead_hour_label(spark, sf):
-    events_ = incidents(spark, sf).withColumn("incident", F.concat_ws("@", F.col("user_id").cast("string"), F.col("hour_ts").cast("string"))).drop("hour_ts")
-    return aggregates.lead_hour_label(grid(spark, sf), events_, "dist", "incident", "ts", ["dist", "ts", "value"]).select("dist", "hour_ts", "n_next_hour", "next_hour_ts", "target_next_hour")
+    return label_rows(events(spark, sf))

@@ -13,28 +13,38 @@ DISTRICTS = 21
 TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def measured(raw: DataFrame) -> DataFrame:
     """Measurements: point (user_id), district, hour, label (event_type) and value."""
-    df = read(spark, sf_dir, "events").drop("props")
-    return df.withColumns({"dist": (F.col("user_id") % DISTRICTS + 1).cast("int"), "hour_ts": hour_bucket("ts")})
+    return raw.drop("props").withColumns({"dist": (F.col("user_id") % DISTRICTS + 1).cast("int"), "hour_ts": hour_bucket("ts")})
 
 
-def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).where("event_type = 'error'")
+def incidents_of(ev: DataFrame) -> DataFrame:
+    return ev.where("event_type = 'error'")
+
+
+def districts_of(ev: DataFrame) -> DataFrame:
+    return ev.select("dist").where("dist is not null").distinct()
+
 
+def grid_of(ev: DataFrame) -> DataFrame:
+    """Every district with every hour from the first to the last of the measurements."""
+    return aggregates.dense_grid(districts_of(ev), aggregates.hour_bounds(ev, "ts"))
 
-def all_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every hour from the first to the last of the measurements."""
-    bounds = events(spark, sf_dir).agg(F.min("hour_ts").alias("a"), F.max("hour_ts").alias("b")).where("a is not null")
-    return aggregates.hours_between(bounds, "a", "b")
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return measured(read(spark, sf_dir, "events"))
+
+
+def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return incidents_of(events(spark, sf_dir))
 
 
 def districts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).select("dist").where("dist is not null").distinct()
+    return districts_of(events(spark, sf_dir))
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.dense_grid(districts(spark, sf_dir), all_hours(spark, sf_dir))
+    return grid_of(events(spark, sf_dir))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from urbanflow.functions.temporal import day_part, time_labels
 from urbanflow.operators import aggregates, columns, dedup, joins, nrt, quality, reshape, silver, sinks, snapshots
-from urbanflow.plans.basics import LABELS, SIDES, lead_hour_label, outer_sides
-from urbanflow.plans.frames import EV, PART, TYPES, districts, events, incidents
+from urbanflow.plans.basics import LABELS, SIDES, label_rows, lead_hour_label, outer_sides
+from urbanflow.plans.frames import EV, PART, TYPES, districts, events, incidents, measured
 from urbanflow.plans.registry import query
-from urbanflow.sources import tables
+from urbanflow.sources import tables, versioned
 from urbanflow.sources.tables import read, work_dir
 
 # Facts and dimensions
@@ -103,16 +103,20 @@ p AS (SELECT dist, hour_ts, round(avg(value) FILTER (event_type = 'click'), 4) A
 FEATURES_SQL = f"WITH {FEATURES} SELECT dist, hour_ts, target_next_hour, mean, coalesce(n, 0) AS n, click_mean, coalesce(click_n, 0) AS click_n, CAST(hour(hour_ts) AS INT) AS hour, CAST(dayofweek(hour_ts) + 1 AS INT) AS weekday, CAST(month(hour_ts) AS INT) AS month FROM labels1 LEFT JOIN h USING (dist, hour_ts) LEFT JOIN p USING (dist, hour_ts)"
 
 
-@query(FEATURES_SQL)
-def feature_snapshot(spark, sf):
+def feature_rows(df):
     """Labels with hourly aggregates and calendar: counts default to 0, means stay null."""
-    df, keys = events(spark, sf), ["dist", "hour_ts"]
+    keys = ["dist", "hour_ts"]
     h = df.groupBy(*keys).agg(F.round(F.avg("value"), 4).alias("mean"), F.count("value").alias("n"))
     p = reshape.conditional_pivot(df, keys, "event_type", "value", ["click"]).withColumn("click_mean", F.round("click_mean", 4))
-    out = lead_hour_label(spark, sf).select(*keys, "target_next_hour").join(h, keys, "left").join(p, keys, "left").fillna(0, ["n", "click_n"])
+    out = label_rows(df).select(*keys, "target_next_hour").join(h, keys, "left").join(p, keys, "left").fillna(0, ["n", "click_n"])
     return out.withColumns({"hour": F.hour("hour_ts"), "weekday": F.dayofweek("hour_ts"), "month": F.month("hour_ts")})
 
 
+@query(FEATURES_SQL)
+def feature_snapshot(spark, sf):
+    return feature_rows(events(spark, sf))
+
+
 LINEAGE = {"snapshot_id": "s1", "code_commit": "c1", "feature_schema_version": "v1"}
 
 
@@ -123,14 +127,22 @@ def broken_rows(df):
 
 
 def snapshot(spark, sf):
-    base = work_dir(spark)
-    tables.write_version(read(spark, sf, "events"), f"{base}/events", 0)
-    keep = ["dist", "hour_ts", "target_next_hour"]
-    make = lambda _: {"labels": lead_hour_label(spark, sf).select(*keep), "features": feature_snapshot(spark, sf)}
-    return snapshots.build(spark, {"events": f"{base}/events"}, f"{base}/snapshot", LINEAGE, make, broken_rows)
+    """Version 1 of the events is captured; another is published before anything is built of it."""
+    base, raw = work_dir(spark), read(spark, sf, "events")
+    at = f"{base}/events"
+    versioned.overwrite(raw.where("event_type <> 'error'"), at)
+    versioned.append(raw.where("event_type = 'error'"), at)
+    captured = snapshots.capture(spark, {"events": at}, {"events": 1})
+    versioned.overwrite(raw.withColumns({"value": F.col("value") * 2, "event_type": F.lit("error")}), at)
 
+    def make(frames):
+        ev = measured(frames["events"])
+        return {"labels": label_rows(ev).select("dist", "hour_ts", "target_next_hour"), "features": feature_rows(ev)}
 
-@query(f"SELECT *, 's1' AS snapshot_id, 'c1' AS code_commit, 'v1' AS feature_schema_version FROM ({FEATURES_SQL})")
+    return snapshots.build(captured, f"{base}/snapshot", LINEAGE, make, broken_rows)
+
+
+@query(f"""SELECT *, 's1' AS snapshot_id, 'c1' AS code_commit, 'v1' AS feature_schema_version, '{{"events":1}}' AS input_versions FROM ({FEATURES_SQL})""")
 def training_snapshot(spark, sf):
     """Labels and features of captured versions with their lineage; published, checked and read back."""
     return snapshot(spark, sf)["features"]
@@ -266,19 +278,19 @@ def lineage_check(spark, sf):
 
 def versioned_part(spark, sf):
     path, df = f"{work_dir(spark)}/part", read(spark, sf, "part").select("p_partkey", "p_retailprice")
-    tables.write_version(df, path, 0)
-    tables.write_version(df.withColumn("p_retailprice", F.col("p_retailprice") + 1), path, 1)
+    versioned.overwrite(df, path)
+    versioned.overwrite(df.withColumn("p_retailprice", F.col("p_retailprice") + 1), path)
     return path
 
 
 @query("SELECT p_partkey, p_retailprice FROM part")
 def read_version(spark, sf):
-    return tables.read_version(spark, versioned_part(spark, sf), 0)
+    return versioned.read(spark, versioned_part(spark, sf), 0)
 
 
 def two_tables(spark, sf):
     path = f"{work_dir(spark)}/supplier"
-    tables.write_version(read(spark, sf, "supplier"), path, 0)
+    versioned.overwrite(read(spark, sf, "supplier"), path)
     return {"part": versioned_part(spark, sf), "supplier": path}
 
 
@@ -288,7 +300,7 @@ def capture_versions(spark, sf):
     paths = two_tables(spark, sf)
     found, out = tables.capture_versions(spark, paths), None
     for r in found.collect():  # one row per table named here
-        rows = tables.read_version(spark, paths[r["table"]], r["version"]).agg(F.lit(r["table"]).alias("table"), F.count("*").alias("n_rows"))
+        rows = versioned.read(spark, paths[r["table"]], r["version"]).agg(F.lit(r["table"]).alias("table"), F.count("*").alias("n_rows"))
         out = rows if out is None else out.unionByName(rows)
     return found.join(out, "table")
 
@@ -298,7 +310,7 @@ def version_drift(spark, sf):
     """One table has moved on, one is gone, one is as it was."""
     paths = two_tables(spark, sf)
     expected = spark.createDataFrame([("part", 0), ("supplier", 0), ("orders", 3)], '`table` string, version int')
-    rows = tables.read_version(spark, paths["part"]).agg(F.count("*").alias("n_rows"))
+    rows = versioned.read(spark, paths["part"]).agg(F.count("*").alias("n_rows"))
     return quality.version_drift(expected, tables.capture_versions(spark, paths)).join(F.broadcast(rows))
 
 
@@ -308,21 +320,22 @@ def latest_snapshot_reference(spark, sf):
     return tables.latest_snapshot_reference(a, b).join(a, "snapshot_id").groupBy("snapshot_id").agg(F.count("*").alias("n_rows"))
 
 
-@query("SELECT * FROM supplier WHERE s_suppkey % 2 = 0")
+@query("SELECT s_suppkey, s_name, s_nationkey, round(s_acctbal + 1, 2) AS s_acctbal FROM supplier")
 def sink_overwrite(spark, sf):
+    """All rows, then all rows with other columns and values in their place."""
     path, df = f"{work_dir(spark)}/supplier", read(spark, sf, "supplier")
-    for k in (1, 0):
-        sinks.write(df.where(F.col("s_suppkey") % 2 == k), path, "overwrite")
-    return spark.read.parquet(path)
+    sinks.write(df, path, "overwrite")
+    sinks.write(df.select("s_suppkey", "s_name", "s_nationkey", F.round(F.col("s_acctbal") + 1, 2).alias("s_acctbal")), path, "overwrite", partition_by=["s_nationkey"])
+    return versioned.read(spark, path)
 
 
-@query("SELECT s_suppkey, s_name, CAST(s_acctbal AS DOUBLE) AS balance FROM supplier WHERE s_acctbal > 0")
+@query("SELECT s_suppkey, s_name, CAST(s_acctbal AS DOUBLE) AS balance FROM supplier")
 def insert_overwrite(spark, sf):
     """A managed table of a fixed schema, filled twice; the second time from columns of other order and type."""
     name = f"urbanflow_{work_dir(spark).rsplit('-', 1)[1]}"
     df = read(spark, sf, "supplier").select("s_suppkey", "s_name", F.col("s_acctbal").alias("balance"))
     sinks.managed(df.limit(1), name)
-    sinks.insert_overwrite(df.where("balance > 0").select(F.col("balance").cast("string").alias("balance"), "s_name", F.col("s_suppkey").cast("int").alias("s_suppkey")), name)
+    sinks.insert_overwrite(df.select(F.col("balance").cast("string").alias("balance"), "s_name", F.col("s_suppkey").cast("int").alias("s_suppkey")), name)
     return spark.table(name)
 
 
@@ -331,7 +344,7 @@ def sink_append(spark, sf):
     path, df = f"{work_dir(spark)}/supplier", read(spark, sf, "supplier")
     for k in (0, 1):
         sinks.write(df.where(F.col("s_suppkey") % 2 == k), path, "append")
-    return spark.read.parquet(path)
+    return versioned.read(spark, path)
 
 
 MERGED = "SELECT c_custkey, c_name, round(c_acctbal + CASE WHEN c_custkey > n / 3 THEN 100 ELSE 0 END, 2) AS c_acctbal FROM customer, (SELECT count(*) AS n FROM customer) UNION ALL SELECT NULL, 'nobody', 1.0"
@@ -352,7 +365,7 @@ def upsert_merge(spark, sf):
     sinks.write(target, path, "merge", keys=["c_custkey"])
     sinks.write(source, path, "merge", keys=["c_custkey"])
     sinks.write(source.where("c_custkey is null"), path, "merge", keys=["c_custkey"])
-    return tables.read_version(spark, path).withColumn("c_acctbal", F.round("c_acctbal", 2))
+    return versioned.read(spark, path).withColumn("c_acctbal", F.round("c_acctbal", 2))
 
 
 @query(MERGED)
@@ -361,7 +374,7 @@ def dedup_then_upsert(spark, sf):
     twice = source.unionByName(source.withColumn("c_acctbal", F.col("c_acctbal") - 1))
     sinks.write(target, path, "merge", keys=["c_custkey"])
     sinks.write(dedup.deduplicate(twice, ["c_custkey"], [F.desc("c_acctbal")]), path, "merge", keys=["c_custkey"])
-    return tables.read_version(spark, path).withColumn("c_acctbal", F.round("c_acctbal", 2))
+    return versioned.read(spark, path).withColumn("c_acctbal", F.round("c_acctbal", 2))
 
 
 @query("SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1996 THEN round(o_totalprice * 2, 2) ELSE o_totalprice END AS o_totalprice, CAST(year(o_orderdate) AS INT) AS year FROM orders")
@@ -370,7 +383,7 @@ def replace_partitions(spark, sf):
     df = read(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
     sinks.write(df, path, "overwrite", partition_by=["year"])
     sinks.write(df.where("year = 1996").withColumn("o_totalprice", F.round(F.col("o_totalprice") * 2, 2)), path, "replace_partitions", partition_by=["year"])
-    return spark.read.parquet(path)
+    return versioned.read(spark, path)
 
 
 def rate_batches(spark, sf):
@@ -389,7 +402,7 @@ def published(spark, sf):
     path = f"{work_dir(spark)}/predictions"
     for batch in rate_batches(spark, sf):
         sinks.write(batch, path, "merge", keys=["dist", "window_start"])
-    return tables.read_version(spark, path)
+    return versioned.read(spark, path)
 
 
 @query(f"WITH {RATE} SELECT dist, TIMESTAMP '2024-01-15 08:00:00' AS window_start, risk FROM base UNION ALL SELECT dist, TIMESTAMP '2024-01-15 09:00:00', round(risk * 0.25, 4) FROM base")
@@ -513,3 +526,37 @@ def stream_incremental_files(spark, sf):
         stream = spark.readStream.schema("event_id bigint, batch int").parquet(f"{base}/landing")
         append_available(stream, f"{base}/bronze", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/bronze")
+
+
+@query("""SELECT event_id, event_type, CASE WHEN event_id % 7 > 0 THEN value END AS value, CASE WHEN event_id % 2 = 1 THEN user_id END AS user_id,
+CASE WHEN event_id % 7 = 0 THEN 'bad ' || event_id END AS bad_value, CASE WHEN event_id % 2 = 1 THEN event_type || '; "' || event_id || '"' END AS note FROM events""")
+def stream_rescued_fields(spark, sf):
+    """Files of other columns in another order: what doesn't fit is kept by field, beside all that does."""
+    from urbanflow.streaming.ingest import rescue_available
+
+    base = work_dir(spark)
+    value = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("bad "), F.col("event_id"))).otherwise(F.col("value").cast("string"))
+    note = F.concat("event_type", F.lit('; "'), F.col("event_id").cast("string"), F.lit('"'))
+    df = read(spark, sf, "events").select("event_id", "event_type", value.alias("value"), "user_id", note.alias("note"))
+    shapes = [(["event_id", "event_type", "value"], "event_id bigint, event_type string, value double"), (["note", "user_id", "value", "event_type", "event_id"], "event_id bigint, event_type string, value double, user_id bigint")]
+    for k, (names, schema) in enumerate(shapes):
+        rows = df.where(F.col("event_id") % 2 == k).select(*names)
+        rows.write.option("header", True).option("sep", ";").option("escape", '"').csv(f"{base}/landing/v{k + 1}")
+        rescue_available(spark, f"{base}/landing", schema, f"{base}/bronze", f"{base}/checkpoint")
+    rows = versioned.read(spark, f"{base}/bronze")
+    return rows.select("event_id", "event_type", "value", "user_id", F.col("_rescued")["value"].alias("bad_value"), F.col("_rescued")["note"].alias("note"))
+
+
+@query("SELECT user_id, CAST(count(*) AS BIGINT) AS n, max(ts) AS last_ts, arg_max(event_id, (ts, event_id)) AS last_event FROM events GROUP BY user_id")
+def stream_upsert(spark, sf):
+    """Events arrive in three files, older ones too: a table by user, kept by an upsert from a stream."""
+    from urbanflow.streaming.ingest import upsert_available
+
+    base, df = work_dir(spark), read(spark, sf, "events").select("event_id", "user_id", "ts")
+    for k in range(3):
+        df.where(F.col("event_id") % 3 == k).write.mode("append").parquet(f"{base}/landing")
+        seen = spark.read.parquet(f"{base}/landing").groupBy("user_id").agg(F.count("*").alias("n"), F.max(F.struct("ts", "event_id")).alias("last"))
+        seen.select("user_id", "n", F.col("last.ts").alias("last_ts"), F.col("last.event_id").alias("last_event")).withColumn("step", F.lit(k)).write.mode("append").parquet(f"{base}/changes")
+        stream = spark.readStream.schema("user_id bigint, n bigint, last_ts timestamp_ntz, last_event bigint, step int").parquet(f"{base}/changes")
+        upsert_available(stream, f"{base}/users", ["user_id"], [F.desc("step")], f"{base}/checkpoint")
+    return versioned.read(spark, f"{base}/users").drop("step")

@@ -1,8 +1,4 @@
-"""Parquet tables, plain and versioned.
-
-A versioned table is a folder partitioned by `version`, with a log of published versions beside it: a version is
-visible once its row is in the log, so readers never see half of one.
-"""
+"""Plain Parquet tables, shared folders and what several versioned tables hold."""
 
 from __future__ import annotations
 
@@ -11,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from urbanflow.sources import versioned
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,38 +27,23 @@ def read_optional(spark: SparkSession, path: str, required: bool = False) -> Dat
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A new folder that all executors share: below spark.checkpoint.dir, or of this machine where that is unset."""
+    """A new folder below spark.checkpoint.dir, which driver and executors share.
+
+    Without that setting a local session (tests) takes a folder of this machine; any other raises.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/urbanflow-{uuid.uuid4().hex}"
 
 
-def write_version(df: DataFrame, path: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/data/version={version}")
-    df.sparkSession.range(1).select(F.lit(version).alias("version")).write.mode("append").parquet(f"{path}/log")
-
-
-def versions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/log").select("version").distinct()
-
-
-def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """The rows of one version (default: the newest published); the scan prunes the others."""
-    if version is None:
-        version = versions(spark, path).agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{path}/data").where(F.col("version") == version).drop("version")
-
-
 def capture_versions(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """table, newest version."""
-    rows = None
-    for name, path in paths.items():
-        own = versions(spark, path).agg(F.max("version").alias("version")).select(F.lit(name).alias("table"), "version")
-        rows = own if rows is None else rows.unionByName(own)
-    return rows
+    return spark.createDataFrame([(name, versioned.newest(spark, path)) for name, path in paths.items()], "table string, version int")
 
 
 def latest_snapshot_reference(first: DataFrame, second: DataFrame, column: str = "snapshot_id") -> DataFrame:
