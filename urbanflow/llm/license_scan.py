@@ -33,7 +33,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanflow.llm.common import ascii_lower, quoted
+from urbanflow.llm.common import ascii_lower, quoted, written
 
 #: Public licence texts, notices and titles.
 PERMIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
@@ -168,6 +168,7 @@ def scan(files: DataFrame, templates: dict[str, list[str]], key: str = "doc_id",
 
 def inherit(files: DataFrame, own: DataFrame, path: str = "path", key: str = "doc_id") -> DataFrame:
     """key, path, license, its `origin` (own, directory or null), from_dir, cosine, kind and place of each row of files."""
+    own = written(own, "own")  # it is read three times below
     folder = F.when(F.instr(quoted(path), "/") > 0, F.regexp_replace(quoted(path), "/[^/]*$", ""))
     rows = files.select(quoted(key).alias(key), quoted(path).alias(path), folder.alias("dir")).join(own, key, "left")
     held = rows.where("license is not null and dir is not null").groupBy("dir").agg(F.min(F.struct(F.col(key).alias("k"), "license")).alias("f")).select(F.col("dir").alias("up"), F.col("f.license").alias("up_license"))
