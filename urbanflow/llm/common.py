@@ -90,6 +90,11 @@ def same(a: Column, b: Column) -> Column:
     return F.coalesce(F.abs(F.when(a == b, 0).otherwise(1)) == 0, F.lit(False)) & a.isNotNull() | a.isNull() & b.isNull()
 
 
+def row_hash(key: Column, version: Column) -> Column:
+    """One long of a document's id and its text's hash: rows of one text but other ids don't share it, as copies would."""
+    return F.xxhash64(F.lit("row"), key, version)
+
+
 def quoted(name: str) -> Column:
     """The column of exactly this name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")

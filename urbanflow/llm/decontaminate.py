@@ -6,12 +6,13 @@ is then extended: each test window with the fingerprint states where in it the f
 document's words to compare with the window, one by one, so hash collisions don't count.  Items of fewer than 10 words
 are one window of their own length, found by the hash of the whole of them.
 
-Everything is built-in SQL.  Three passes read the documents: the first keeps (key, version) of documents with a
-fingerprint hit, the second compares the words of those only, the third adds the results to all rows.  Each small side
-is broadcast only below a counted size; beyond it both sides are shuffled.
+Everything is built-in SQL.  Three passes read the documents: the first keeps the hashes of texts with a
+fingerprint hit, the second compares the words of those only, each different text once, the third adds the results to
+all rows.  What is found depends on the text alone, so it goes by 128 bits of the text's hash, and copies meet one row
+however many they are.  Each small side is broadcast only below a counted size; beyond it both sides are shuffled.
 
 Defined cases: null and empty texts have no words and aren't contaminated; items without words hit nothing; repeated
-items count each by its id; a document is a key (null or not) and a text, and every row of it gets its result; columns
+items count each by its id; every row gets the result of its text, whatever its key; columns
 called like the new ones are replaced, all others keep their values, whatever their names.
 """
 
@@ -66,7 +67,7 @@ def item_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     return out.groupBy("span", "print", "off", "window").agg(F.collect_set("item").alias("items"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """All rows of docs with n_words, hit_words (positions from 0), items (ids) and contaminated."""
     tests = written(item_windows(benchmark, item, item_text), "tests")
     sizes = tests.groupBy("span").agg(F.count("*").alias("n")).collect()  # ten rows at most
@@ -74,38 +75,39 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     sized = F.broadcast if total <= BROADCAST_ROWS else lambda df: df
 
     # Which documents share a fingerprint with an item.
-    rows = docs.select(quoted(key).alias("id"), F.xxhash64(quoted(text)).alias("version"), words(quoted(text)).alias("words"))
+    version, second = F.xxhash64(quoted(text)), F.xxhash64(F.lit(1), quoted(text))
+    rows = docs.select(version.alias("version"), second.alias("second"), words(quoted(text)).alias("words"))
     prints = [F.struct(F.lit(SPAN).alias("span"), F.array_distinct(each_window(LEAST)).alias("prints"))]
     prints += [F.struct(F.lit(m).alias("span"), F.array_distinct(grams(m)).alias("prints")) for m in short]
-    seen = rows.withColumn("grams", grams(K)).select("id", "version", F.explode(F.array(*prints)).alias("e")).select("id", "version", "e.span", F.explode("e.prints").alias("print"))
+    seen = rows.withColumn("grams", grams(K)).select("version", "second", F.explode(F.array(*prints)).alias("e")).select("version", "second", "e.span", F.explode("e.prints").alias("print"))
     prints = sized(tests.select(F.col("span").alias("own_span"), F.col("print").alias("own_print")).distinct())
-    hits = seen.join(prints, (F.col("print") == F.col("own_print")) & same(F.col("span"), F.col("own_span")), "left_semi").select(F.col("id").alias("hit_id"), F.col("version").alias("hit_version")).distinct()
+    hits = seen.join(prints, (F.col("print") == F.col("own_print")) & same(F.col("span"), F.col("own_span")), "left_semi").select(F.col("version").alias("hit_version"), F.col("second").alias("hit_second")).distinct()
     hits = written(hits, "hits")
     hits = F.broadcast(hits) if hits.count() <= BROADCAST_ROWS else hits
 
     # Extending: from the places of fingerprints to the windows that they may belong to, word by word.
-    texts = rows.join(hits, same(F.col("id"), F.col("hit_id")) & (F.col("version") == F.col("hit_version")), "left_semi").withColumn("grams", grams(K))
+    texts = rows.join(hits, (F.col("version") == F.col("hit_version")) & same(F.col("second"), F.col("hit_second")), "left_semi")
+    texts = texts.dropDuplicates(["version", "second"]).withColumn("grams", grams(K))
     places = [F.struct(F.lit(SPAN).alias("span"), F.transform(F.array_distinct(each_window(PLACE)), lambda p: F.struct(p.alias("place"), F.get("grams", p).alias("print"))).alias("prints"))]
     places += [F.struct(F.lit(m).alias("span"), F.transform(grams(m), lambda g, i: F.struct(i.alias("place"), g.alias("print"))).alias("prints")) for m in short]
-    near = texts.select("id", "version", "words", F.explode(F.array(*places)).alias("e")).select("id", "version", "words", "e.span", F.inline("e.prints"))
+    near = texts.select("version", "second", "words", F.explode(F.array(*places)).alias("e")).select("version", "second", "words", "e.span", F.inline("e.prints"))
     windows = sized(tests.withColumnsRenamed({"span": "own_span", "print": "own_print"}))
     near = near.join(windows, (F.col("print") == F.col("own_print")) & same(F.col("span"), F.col("own_span")))
     at = F.col("place") - F.col("off")
     exact = near.withColumn("at", at).where("at >= 0").where(F.slice("words", F.col("at") + 1, F.col("span")) == F.col("window"))
-    spans = exact.select("id", "version", "items", F.sequence("at", F.col("at") + F.col("span") - 1).alias("covered"))
-    found = spans.groupBy(F.col("id"), F.col("version")).agg(
+    spans = exact.select("version", "second", "items", F.sequence("at", F.col("at") + F.col("span") - 1).alias("covered"))
+    found = spans.groupBy("version", "second").agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("covered")))).alias("covered"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("tests"))
     found = written(found, "found")
     taken = found.agg(F.sum(64 + 4 * F.size("covered") + 16 * F.size("tests"))).first()[0] or 0
 
-    # `id` and the others must not clash with columns of docs.
-    mine = fresh(docs, "hit_id", "hit_version", "covered", "tests")
+    mine = fresh(docs, "hit_version", "hit_second", "covered", "tests")  # no column of docs has such a name
     found = found.toDF(*mine)
     found = F.broadcast(found) if taken <= BROADCAST_BYTES else found
-    hit_id, hit_version, covered, names = (F.col(c) for c in mine)
+    hit_version, hit_second, covered, names = (F.col(c) for c in mine)
     item_type = "array<" + benchmark.schema[item].dataType.simpleString() + ">"
-    out = docs.join(found, same(quoted(key), hit_id) & (F.xxhash64(quoted(text)) == hit_version), "left")
+    out = docs.join(found, (version == hit_version) & same(second, hit_second), "left")
     return out.select(
         *(quoted(c) for c in others(docs, *NEW)), F.size(words(quoted(text))).cast("bigint").alias("n_words"), F.coalesce(covered, F.array().cast("array<int>")).alias("hit_words"),
         F.coalesce(names, F.array().cast(item_type)).alias("items"), hit_version.isNotNull().alias("contaminated"))

@@ -1,7 +1,8 @@
 """Line dedup by the spread of a line over sites.
 
-Lines that occur at least MIN_SITES times gather a HyperLogLog sketch of the sites that carry them; sketches merge by
-aggregation, within tasks first.  A line whose estimate lies near the threshold gets an exact distinct count.  Lines on
+Lines that occur at least MIN_SITES times gather a HyperLogLog sketch of the sites that carry them, straight from their
+occurrences: sketches are built within tasks and merged by aggregation, so a line costs a row of each task however many
+sites have it.  A line whose estimate lies near the threshold gets an exact distinct count.  Lines on
 at least MIN_SITES sites are boilerplate: every occurrence goes but the first (lowest document id, then position), so
 nothing that the corpus says disappears altogether.
 
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanflow.llm.common import fresh, others, quoted, same, written
+from urbanflow.llm.common import fresh, others, quoted, row_hash, same, written
 
 MIN_SITES = 10
 #: Estimates within this share of the threshold are counted exactly; the sketch's error is about 3 % (2^10 registers).
@@ -49,16 +50,26 @@ def on_line(side: DataFrame) -> tuple[DataFrame, Column]:
     return few(side), (F.col("h1") == F.col("own1")) & same(F.col("h2"), F.col("own2"))
 
 
-def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """h1, h2 and the kept occurrence of each line on at least min_sites sites.  lines: `occurrences`, written."""
+def spread(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """h1, h2, sites (estimated) and the first occurrence of each line that occurs min_sites times.  lines: `occurrences`, written."""
     line = ["h1", "h2"]
     frequent = written(lines.groupBy(*line).agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select(*line), "frequent")
     repeated = lines.join(*on_line(frequent), "left_semi")
-    spread = repeated.groupBy(*line, "site").agg(F.min(F.struct("id", "pos", "version")).alias("first"))
-    spread = spread.groupBy(*line).agg(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS)).alias("sketch"), F.min("first").alias("first"))
-    rated = written(spread.select(*line, "first", F.hll_sketch_estimate("sketch").alias("sites")), "rated")
+    rated = repeated.groupBy(*line).agg(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS)).alias("sketch"), F.min(F.struct("id", "pos", "version")).alias("first"))
+    return rated.select(*line, "first", F.hll_sketch_estimate("sketch").alias("sites"))
+
+
+def near_band(rated: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """Lines of which the estimate doesn't tell whether they reach min_sites."""
+    return rated.where(F.col("sites").between(min_sites * (1 - BAND), min_sites * (1 + BAND)))
+
+
+def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """h1, h2 and the kept occurrence of each line on at least min_sites sites.  Only lines of the near band meet by site."""
+    line = ["h1", "h2"]
+    rated = written(spread(lines, min_sites), "rated")
     sure = rated.where(F.col("sites") > min_sites * (1 + BAND)).select(*line, "first")
-    near = rated.where(F.col("sites").between(min_sites * (1 - BAND), min_sites * (1 + BAND))).select(*line, "first")
+    near = near_band(rated, min_sites).select(*line, "first")
     exact = lines.join(*on_line(near.select(*line)), "left_semi").select(*line, "site").distinct().groupBy(*line).agg(F.count("site").alias("sites")).where(F.col("sites") >= min_sites)
     return sure.unionByName(near.join(exact.select(*line), line))
 
@@ -71,11 +82,13 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "doc_id"
     gone = written(gone.groupBy("id", "version").agg(F.sort_array(F.collect_set("pos")).alias("gone")), "gone")
     taken = gone.agg(F.sum(64 + 4 * F.size("gone"))).first()[0] or 0
 
-    mine = fresh(docs, "gone_id", "gone_version", "gone")
-    gone = gone.toDF(*mine)
+    # Many documents may have one text, so what is joined is a hash of id and text.
+    mine = fresh(docs, "gone_row", "gone_id", "gone_version", "gone")
+    gone = gone.select(row_hash(F.col("id"), F.col("version")), "id", "version", "gone").toDF(*mine)
     gone = F.broadcast(gone) if taken <= BROADCAST_BYTES else gone
-    gone_id, gone_version, at = (F.col(c) for c in mine)
-    rows = docs.join(gone, same(quoted(key), gone_id) & (F.xxhash64(quoted(text)) == gone_version), "left")
+    gone_row, gone_id, gone_version, at = (F.col(c) for c in mine)
+    version = F.xxhash64(quoted(text))
+    rows = docs.join(gone, (row_hash(quoted(key), version) == gone_row) & same(quoted(key), gone_id) & same(version, gone_version), "left")
     cut = F.array_join(F.filter(F.split(quoted(text), "\n"), lambda x, i: ~F.array_contains(at, i)), "\n")
     left = F.when(at.isNull(), quoted(text)).otherwise(cut)
     return rows.select(
