@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanflow.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, quality
-from urbanflow.llm.common import delete, fresh, same, scratch, shared_dir, table, written
+from urbanflow.llm.common import delete, fresh, row_hash, same, scratch, shared_dir, table, written
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,10 +43,11 @@ def join_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def matched(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """docs joined (how: left_semi or left_anti) to rows of key and version."""
-    key, version = fresh(docs, "row_key", "row_version")
-    keys = written(keys.select(F.col("key").alias(key), F.col("version").alias(version)), "keys")
-    return docs.join(jaccard_join.few(keys, keys.count()), same(F.col("doc_id").cast("bigint"), F.col(key)) & (F.xxhash64("text") == F.col(version)), how)
+    """docs joined (how: left_semi or left_anti) to rows of key and version, by a hash of both: copies share their version."""
+    row, key, version = fresh(docs, "row", "row_key", "row_version")
+    keys = written(keys.select(row_hash(F.col("key"), F.col("version")).alias(row), F.col("key").alias(key), F.col("version").alias(version)), "keys")
+    own, text = F.col("doc_id").cast("bigint"), F.xxhash64("text")
+    return docs.join(jaccard_join.few(keys, keys.count()), (row_hash(own, text) == F.col(row)) & same(own, F.col(key)) & same(text, F.col(version)), how)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
