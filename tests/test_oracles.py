@@ -3,8 +3,10 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tests.oracle import duck, rows
+from urbanflow.operators import ml
 from urbanflow.plans import basics, jobs, models, registry  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
@@ -19,10 +21,11 @@ def test_query_equals_sql(spark, name):
 
 def test_preprocessed_vectors(spark):
     """Scaled numbers have mean 0 and deviation 1 over the rows that were fitted; flags are 0 or 1, categories one-hot."""
-    rows = registry.QUERIES["ml_preprocess"](spark, SF).toPandas()
+    df, sizes = models.preprocessed(spark, SF)
+    rows = df.toPandas()
     x = np.array([v for v, h in zip(rows["features"], rows["hour_ts"], strict=True) if h < pd.Timestamp("2024-01-25")])
     k = rows["dist"].nunique()
-    assert x.shape[1] == 3 + 2 + k - 1 + 23 + 6 and np.isfinite(x).all()
+    assert sizes == [k, 24, 7] and x.shape[1] == 3 + 2 + k - 1 + 23 + 6 and np.isfinite(x).all()
     assert np.abs(x[:, :3].mean(axis=0)).max() < 1e-6 and np.abs(x[:, :3].std(axis=0, ddof=1) - 1).max() < 1e-6
     assert set(np.unique(x[:, 3:])) == {0.0, 1.0} and x[:, 5 : 4 + k].sum(axis=1).max() == 1
 
@@ -32,24 +35,38 @@ def auc(y, s):
     return ((good[:, None] > bad) + (good[:, None] == bad) / 2).mean()
 
 
-def test_metrics_follow_from_the_scores(spark):
-    scores = registry.QUERIES["ml_logistic"](spark, SF).toPandas()
-    y, s = scores["target_next_hour"].to_numpy(), scores["score"].to_numpy()
-    assert ((s > 0) & (s < 1)).all()
-    whole = registry.QUERIES["train_evaluate"](spark, SF).where("weekday is null").first()
+def test_a_fit_is_the_optimum_and_its_numbers_score_alike(spark):
+    """A plain Newton iteration over the same vectors and penalty comes to the same weights."""
+    df, model = models.fitted(spark, SF)
+    train = model.transform(df.where(models.early("2024-01-25 00:00:00"))).toPandas()
+    x = np.array([v.toArray() for v in train["features"]])
+    y, spread = train["target_next_hour"].to_numpy(), np.r_[x.var(axis=0, ddof=1), 0]
+    x = np.c_[x, np.ones(len(x))]
+    w = np.zeros(x.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-x @ w))
+        w = w - np.linalg.pinv((x.T * (p * (1 - p))) @ x / len(x) + np.diag(0.1 * spread)) @ (x.T @ (p - y) / len(x) + 0.1 * spread * w)
+    state = {r.name: r.value for r in ml.fitted_state(model).where("stage = 'weight'").collect()}
+    assert np.abs(np.array(list(state.values())) - w).max() < 1e-3 and len(state) == len(w) and list(state)[-1] == "intercept"
+    odd = df.limit(5).withColumns({"mean": F.lit(float("nan")), "click_mean": F.lit(None).cast("double")})
+    for rows in (df, odd):
+        assert models.both_scores(model, rows, ["dist"]).where("not agrees").isEmpty()
+    unknown = ml.score_by_state(df.limit(1).withColumn("dist_cat", F.lit("99")), ml.fitted_state(model), models.NUMERIC, models.FLAGS, models.CATEGORIES, [])
+    assert unknown.first().score is None
+
+
+def test_reports_follow_from_the_scores(spark):
+    df, model = models.feature_frame(spark, SF), None
+    model = ml.fit_logistic(df.where(models.early("2024-01-20 00:00:00")), "target_next_hour", models.NUMERIC, models.FLAGS, models.CATEGORIES)
+    rows = ml.score(model, df.where(~models.early("2024-01-25 00:00:00")), ["target_next_hour", "weekday"]).toPandas()
+    y, s = rows["target_next_hour"].to_numpy(), rows["score"].to_numpy()
+    reports = models.trained_reports(spark, SF)
+    assert set(reports) == {"validation", "evaluation"} and all(set(r) == {"global", "weekday", "curve", "calibration"} for r in reports.values())
+    whole = reports["evaluation"]["global"].first()
     assert (whole.n, whole.positives) == (len(y), y.sum()) and abs(whole.roc_auc - auc(y, s)) < 1e-6 and abs(whole.brier - ((s - y) ** 2).mean()) < 1e-6
-    folds = {r.fold: r for r in registry.QUERIES["backtest_scores"](spark, SF).collect()}
+    folds = {r.fold: r for r in models.backtest(spark, SF).collect()}
     assert set(folds) == {"fold1", "fold2"} and all(r.n == 15 * 7 * 24 and 0 <= r.roc_auc <= 1 for r in folds.values())
 
 
-def test_a_saved_model_scores_alike(spark):
-    assert registry.QUERIES["model_roundtrip"](spark, SF).first().max_difference == 0
-
-
-def test_a_batch_is_published_whole(spark):
-    rows = registry.QUERIES["score_batch"](spark, SF).toPandas()
-    assert sorted(rows["dist"]) == sorted(r.dist for r in registry.QUERIES["rolling_hour_features"](spark, SF).collect()) and rows["hour_ts"].nunique() == 1 and rows["score"].between(0, 1).all()
-
-
-def test_no_other_query_is_without_sql():
-    assert set(registry.QUERIES) - set(registry.ORACLES) == {"ml_preprocess", "ml_logistic", "score_batch", "backtest_scores", "train_evaluate", "model_roundtrip"}
+def test_no_query_is_without_sql():
+    assert set(registry.QUERIES) == set(registry.ORACLES)

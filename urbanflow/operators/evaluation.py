@@ -76,6 +76,12 @@ def calibration_bins(scored: DataFrame, label: str, score: str, bins: int = 10)
     return scored.groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.avg(score).alias("mean_score"), F.avg(F.col(label).cast("double")).alias("rate"))
 
 
+def report(scored: DataFrame, label: str, score: str, segments: list[str]) -> dict[str, DataFrame]:
+    """All that is said of one period: metrics of the whole and by each segment, the curve and the calibration."""
+    parts = {"global": binary_metrics(scored, label, score)} | {s: binary_metrics(scored, label, score, [s]) for s in segments}
+    return parts | {"curve": curve_points(scored, label, score), "calibration": calibration_bins(scored, label, score)}
+
+
 def baseline_rates(train: DataFrame, label: str, entity: str, group: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rates of all rows, by entity, and by entity and group."""
     rate = F.avg(F.col(label).cast("double"))

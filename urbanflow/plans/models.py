@@ -144,13 +144,35 @@ def vector_checks(spark, sf):
     return ml.vector_checks(model.transform(df).select(array_to_vector(odd).alias("features")), "features", SIZE + 1).join(F.broadcast(dists))
 
 
-@query()
-def ml_preprocess(spark, sf):
+def preprocessed(spark, sf):
+    """The frame with its vectors, and the number of labels of each category."""
     df = feature_frame(spark, sf)
-    model = ml.fit_preprocess(df.where(early("2024-01-25 00:00:00")), NUMERIC, FLAGS, CATEGORIES)
+    model = ml.fit_preprocess(df.where(early("2024-01-25 00:00:00")), NUMERIC, FLAGS, CATEGORIES, median_error=0.0)
     from pyspark.ml.functions import vector_to_array
 
-    return model.transform(df).select("dist", "hour_ts", vector_to_array("features").alias("features"))
+    sizes = [len(s.labels) for s in model.stages if type(s).__name__ == "StringIndexerModel"]
+    return model.transform(df).select("dist", "hour_ts", vector_to_array("features").alias("features")), sizes
+
+
+FRAME = f"{FEATURES}, f AS (SELECT dist, hour_ts, target_next_hour, mean, coalesce(n, 0)::DOUBLE AS n, click_mean, hour(hour_ts)::INT AS hour, (dayofweek(hour_ts) + 1)::INT AS weekday FROM labels1 LEFT JOIN h USING (dist, hour_ts) LEFT JOIN p USING (dist, hour_ts))"
+TRAINED = "(SELECT quantile_disc({c}, 0.5) FROM f WHERE {c} IS NOT NULL AND hour_ts < TIMESTAMP '2024-01-25')"
+SCALED = "round((x.{c} - s.m{c}) / s.s{c}, 4)"
+
+
+@query(f"""WITH {FRAME}, x AS (SELECT *, coalesce(mean, {TRAINED.format(c='mean')}) AS a, coalesce(click_mean, {TRAINED.format(c='click_mean')}) AS b, n AS c FROM f),
+tr AS (SELECT * FROM x WHERE hour_ts < TIMESTAMP '2024-01-25'), s AS (SELECT avg(a) AS ma, stddev_samp(a) AS sa, avg(b) AS mb, stddev_samp(b) AS sb, avg(c) AS mc, stddev_samp(c) AS sc FROM tr),
+d AS (SELECT dist, row_number() OVER (ORDER BY dist) - 1 AS i, count(*) OVER () AS k FROM (SELECT DISTINCT dist FROM tr))
+SELECT dist, hour_ts, {SCALED.format(c='a')} AS mean_scaled, {SCALED.format(c='b')} AS click_scaled, {SCALED.format(c='c')} AS n_scaled, CAST(mean IS NOT NULL AS INT) AS has_mean, CAST(click_mean IS NOT NULL AS INT) AS has_click,
+CAST(CASE WHEN i < k - 1 THEN i END AS INT) AS dist_hot, CAST(CASE WHEN hour < 23 THEN hour END AS INT) AS hour_hot, CAST(CASE WHEN weekday < 7 THEN weekday - 1 END AS INT) AS weekday_hot, CAST(3 + 2 + k - 1 + 23 + 6 AS INT) AS size FROM x JOIN d USING (dist), s""")
+def ml_preprocess(spark, sf):
+    """What each vector holds: scaled numbers, flags, and the place of the one in the part of each category (null: the last label)."""
+    rows, sizes = preprocessed(spark, sf)
+    x, at, out = F.col("features"), 6, {}
+    for name, k in zip(("dist", "hour", "weekday"), sizes, strict=True):
+        place = F.array_position(F.slice(x, at, k - 1), F.lit(1.0))
+        out[f"{name}_hot"], at = F.when(place > 0, place - 1).cast("int"), at + k - 1
+    numbers = {n: F.round(x[i], 4) for i, n in enumerate(("mean_scaled", "click_scaled", "n_scaled"))} | {"has_mean": x[3].cast("int"), "has_click": x[4].cast("int")}
+    return rows.withColumns(numbers | out | {"size": F.size(x)}).drop("features")
 
 
 MEDIANS = ", ".join(f"('{c}', {i})" for i, c in enumerate(sorted(("mean", "click_mean", "n"))))
@@ -173,41 +195,95 @@ def fitted(spark, sf):
     return df, ml.fit_logistic(df.where(early("2024-01-25 00:00:00")), "target_next_hour", NUMERIC, FLAGS, CATEGORIES)
 
 
-@query()
+#: Scores of the pipeline and of its learned numbers may differ by so much; the gradient at the optimum is below GRADIENT.
+SAME, GRADIENT = 1e-9, 1e-4
+
+
+def both_scores(model, df, keep):
+    """score of the pipeline, and whether the learned numbers alone give the same."""
+    rows = model.transform(df)
+    own = ml.score_by_state(rows.withColumn("whole", ml.probability()), ml.fitted_state(model), NUMERIC, FLAGS, CATEGORIES, [*keep, "whole"])
+    return own.select(*keep, F.col("whole").alias("score"), (F.abs(F.col("score") - F.col("whole")) < SAME).alias("agrees"))
+
+
+@query(f"WITH {FRAME} SELECT dist, hour_ts, target_next_hour, TRUE AS agrees, TRUE AS within, TRUE AS optimal FROM f WHERE hour_ts >= TIMESTAMP '2024-01-25'")
 def ml_logistic(spark, sf):
+    """Held-out rows, each scored by the pipeline and by SQL from its coefficients; the coefficients are the optimum of the penalised loss."""
     df, model = fitted(spark, sf)
-    return ml.score(model, df.where(~early("2024-01-25 00:00:00")), ["dist", "hour_ts", "target_next_hour"])
+    worst = ml.gradient(model, df.where(early("2024-01-25 00:00:00")), "target_next_hour").agg((F.max(F.abs("value")) < GRADIENT).alias("optimal"))
+    rows = both_scores(model, df.where(~early("2024-01-25 00:00:00")), ["dist", "hour_ts", "target_next_hour"])
+    return rows.join(F.broadcast(worst)).select("dist", "hour_ts", "target_next_hour", "agrees", F.col("score").between(0, 1).alias("within"), "optimal")
 
 
-@query()
-def score_batch(spark, sf):
+def scored_batch(spark, sf):
     """The newest hour of the grid, scored, stamped and published twice; what is read back is the current batch."""
     df, model = fitted(spark, sf)
     newest = df.agg(F.max("hour_ts").alias("newest"))
     batch = df.join(F.broadcast(newest), F.col("hour_ts") == F.col("newest")).drop("newest")
-    scores = ml.score(model, batch, ["dist", "hour_ts"]).withColumns({"model": F.lit("logistic"), "window_end": F.expr("hour_ts + INTERVAL 1 HOUR")})
+    scores = both_scores(model, batch, ["dist", "hour_ts"]).withColumns({"model": F.lit("logistic"), "window_end": F.expr("hour_ts + INTERVAL 1 HOUR")})
     path = f"{work_dir(spark)}/predictions"
     for rows in (scores.withColumn("hour_ts", F.expr("hour_ts - INTERVAL 1 HOUR")), scores, scores):
         nrt.publish(rows, districts(spark, sf), path, "dist", "hour_ts", "score")
     return nrt.current(nrt.published(scores, path), "hour_ts")
 
 
-@query()
-def backtest_scores(spark, sf):
-    folds = {"fold1": (early("2024-01-11 00:00:00"), ~early("2024-01-11 00:00:00") & early("2024-01-18 00:00:00")), "fold2": (early("2024-01-18 00:00:00"), ~early("2024-01-18 00:00:00") & early("2024-01-25 00:00:00"))}
+@query(f"WITH {FRAME} SELECT dist, hour_ts, TRUE AS agrees, 'logistic' AS model, hour_ts + INTERVAL 1 HOUR AS window_end, TRUE AS within FROM f WHERE hour_ts = (SELECT max(hour_ts) FROM f)")
+def score_batch(spark, sf):
+    return scored_batch(spark, sf).withColumn("within", F.col("score").between(0, 1)).drop("score")
+
+
+FOLD_HOURS = {"fold1": ("2024-01-11 00:00:00", "2024-01-18 00:00:00"), "fold2": ("2024-01-18 00:00:00", "2024-01-25 00:00:00")}
+
+
+def backtest(spark, sf):
+    folds = {name: (early(a), ~early(a) & early(b)) for name, (a, b) in FOLD_HOURS.items()}
     return ml.backtest(feature_frame(spark, sf), folds, "target_next_hour", NUMERIC, FLAGS, CATEGORIES)
 
 
-@query()
+@query(f"WITH {FRAME} " + " UNION ALL ".join(f"SELECT '{k}' AS fold, count(*) AS n, sum(target_next_hour)::BIGINT AS positives, round(avg(target_next_hour), 4) AS prevalence, sum(target_next_hour) BETWEEN 1 AND count(*) - 1 AS evaluable, sum(target_next_hour) BETWEEN 1 AND count(*) - 1 AS scored FROM f WHERE hour_ts >= TIMESTAMP '{a}' AND hour_ts < TIMESTAMP '{b}'" for k, (a, b) in FOLD_HOURS.items()))
+def backtest_scores(spark, sf):
+    """Folds with their sizes, and whether each has metrics within their ranges."""
+    within = F.coalesce(F.col("average_precision").between(0, 1) & F.col("roc_auc").between(0, 1) & F.col("brier").between(0, 1), F.lit(False))
+    return backtest(spark, sf).select("fold", "n", "positives", F.round("prevalence", 4).alias("prevalence"), "evaluable", within.alias("scored"))
+
+
+PERIODS = {"validation": ("2024-01-20 00:00:00", "2024-01-25 00:00:00"), "evaluation": ("2024-01-25 00:00:00", None)}
+
+
+def trained_reports(spark, sf):
+    """A model of the hours before all periods, and what is said of it in each: the whole, weekdays, curve and calibration."""
+    df = feature_frame(spark, sf)
+    model = ml.fit_logistic(df.where(early(PERIODS["validation"][0])), "target_next_hour", NUMERIC, FLAGS, CATEGORIES)
+    periods = {name: df.where(aggregates.half_open("hour_ts", a, b)) for name, (a, b) in PERIODS.items()}
+    return {name: evaluation.report(ml.score(model, rows, ["target_next_hour", "weekday"]), "target_next_hour", "score", ["weekday"]) for name, rows in periods.items()}
+
+
+PERIOD_SQL = f"WITH {FRAME}, q AS (SELECT *, CASE WHEN hour_ts < TIMESTAMP '2024-01-25' THEN 'validation' ELSE 'evaluation' END AS period FROM f WHERE hour_ts >= TIMESTAMP '2024-01-20')"
+COUNTS = "count(*) AS n, sum(target_next_hour)::BIGINT AS positives, TRUE AS holds FROM q GROUP BY"
+
+
+@query(f"""{PERIOD_SQL} SELECT period, 'global' AS part, NULL::INT AS weekday, {COUNTS} period UNION ALL SELECT period, 'weekday', weekday, {COUNTS} period, weekday
+UNION ALL SELECT period, 'calibration', NULL, {COUNTS} period UNION ALL SELECT period, 'curve', NULL, {COUNTS} period""")
 def train_evaluate(spark, sf):
-    """Metrics of the held-out week, of all and by weekday."""
-    df, model = fitted(spark, sf)
-    rows = ml.score(model, df.where(~early("2024-01-25 00:00:00")), ["target_next_hour", "weekday"])
-    whole = evaluation.binary_metrics(rows, "target_next_hour", "score").withColumn("weekday", F.lit(None).cast("int"))
-    return whole.unionByName(evaluation.binary_metrics(rows, "target_next_hour", "score", ["weekday"]))
+    """Both periods of one job: sizes of each part, and whether its numbers hold together.
+
+    Metrics lie within their ranges; the bins of the calibration sum up to the period; the curve's lowest threshold takes
+    all rows in, so its recall is 1 and its precision the prevalence, and recall never rises with the threshold.
+    """
+    out, whole = None, F.lit(None).cast("int")
+    rows = lambda df, period, part, weekday: df.select(F.lit(period).alias("period"), F.lit(part).alias("part"), weekday.alias("weekday"), "n", "positives", "holds")
+    for period, parts in trained_reports(spark, sf).items():
+        ok = F.when(F.col("evaluable"), F.col("average_precision").between(0, 1) & F.col("roc_auc").between(0, 1)).otherwise(F.col("roc_auc").isNull()) & F.col("brier").between(0, 1)
+        bins = parts["calibration"].agg(F.sum("n").alias("n"), F.sum(F.round(F.col("n") * F.col("rate"))).cast("bigint").alias("positives"), F.min(F.floor(F.col("mean_score") * 10) == F.col("bin")).alias("holds"))
+        sizes = parts["global"].select("n", "positives", F.col("prevalence").alias("share"))
+        low = parts["curve"].agg(F.min(F.struct("threshold", "precision", "recall")).alias("low"), F.max("recall").alias("top"), F.count("*").alias("points"))
+        curve = sizes.join(F.broadcast(low)).select("n", "positives", ((F.abs(F.col("low.precision") - F.col("share")) < SAME) & (F.col("low.recall") == 1) & (F.col("top") == 1) & F.col("points").between(2, 101)).alias("holds"))
+        for df, part, weekday in ((parts["global"].withColumn("holds", ok), "global", whole), (parts["weekday"].withColumn("holds", ok), "weekday", F.col("weekday")), (bins, "calibration", whole), (curve, "curve", whole)):
+            out = rows(df, period, part, weekday) if out is None else out.unionByName(rows(df, period, part, weekday))
+    return out
 
 
-@query()
+@query(f"WITH {FRAME} SELECT count(*) AS n, 0.0::DOUBLE AS max_difference FROM f WHERE hour_ts >= TIMESTAMP '2024-01-25'")
 def model_roundtrip(spark, sf):
     """The largest difference of scores after saving and loading the pipeline."""
     df, model = fitted(spark, sf)
