@@ -175,12 +175,12 @@ def category_strings(spark, sf):
 # Reshape
 
 
-@query(f"WITH {EV} SELECT user_id, hour_ts AS ts, round(max(value), 4) AS value FROM ev GROUP BY user_id, hour_ts HAVING max(value) > 100")
+@query(f"WITH {EV} SELECT user_id, hour_ts AS ts, round(max(value), 4) AS value, CASE WHEN max(value) > 100 THEN 'V' ELSE 'N' END AS valid FROM ev GROUP BY user_id, hour_ts HAVING max(value) IS NOT NULL")
 def hourly_wide_to_long(spark, sf):
     df = events(spark, sf).withColumns({"y": F.year("ts"), "m": F.month("ts"), "d": F.dayofmonth("ts")})
     at = lambda h: F.max(F.when(F.hour("ts") == h - 1, F.col("value")))
     wide = df.groupBy("user_id", "y", "m", "d").agg(*(a for h in range(1, 25) for a in (at(h).alias(f"h{h:02d}"), F.when(at(h) > 100, "V").otherwise("N").alias(f"v{h:02d}"))))
-    return reshape.hourly_wide_to_long(wide, "y", "m", "d").where("valid = 'V'").select("user_id", "ts", F.round("value", 4).alias("value"))
+    return reshape.hourly_wide_to_long(wide, "y", "m", "d").where("value is not null").select("user_id", "ts", F.round("value", 4).alias("value"), "valid")
 
 
 @query(f"WITH {EV} SELECT dist, hour_ts, " + ", ".join(f"round(avg(value) FILTER (event_type = '{t}'), 4) AS {t}" for t in TYPES) + " FROM ev GROUP BY dist, hour_ts")
@@ -189,10 +189,10 @@ def pivot_latest_wide(spark, sf):
     return wide.select("dist", "hour_ts", *(F.round(t, 4).alias(t) for t in TYPES))
 
 
-@query(f"WITH {EV}, k AS (SELECT dist, hour_ts, value, event_type, ts, event_id FROM ev WHERE value > 50) SELECT dist, hour_ts, " + ", ".join(f"arg_min(value, (ts, event_id)) FILTER (event_type = '{t}') AS kind_{t}" for t in TYPES) + " FROM k GROUP BY dist, hour_ts")
+@query(f"WITH {EV}, k AS (SELECT dist, hour_ts, value, event_type, ts, event_id FROM ev) SELECT dist, hour_ts, " + ", ".join(f"arg_min(value, (ts, event_id)) FILTER (event_type = '{t}') AS kind_{t}" for t in TYPES) + " FROM k GROUP BY dist, hour_ts")
 def pivot_first(spark, sf):
     """The labels come from the data, with names that columns may have; the first value of each."""
-    df = events(spark, sf).where("value > 50").withColumn("event_type", F.concat(F.lit("- "), F.upper("event_type")))
+    df = events(spark, sf).withColumn("event_type", F.concat(F.lit("- "), F.upper("event_type")))
     return reshape.pivot_first(df, ["dist", "hour_ts"], "event_type", "value", [F.col("ts"), F.col("event_id")], "kind_")
 
 

@@ -68,11 +68,11 @@ def gold_dim_entity(spark, sf):
     return out
 
 
-@query(f"""WITH {EV} SELECT user_id, hour_ts, event_type, n_name AS place, r_name AS region, round(avg(value), 4) AS mean, count(*) AS n FROM ev LEFT JOIN nation ON n_nationkey = user_id % 25 LEFT JOIN region ON r_regionkey = n_regionkey
-WHERE event_type IN ('view', 'click') GROUP BY ALL""")
+@query(f"""WITH {EV} SELECT user_id, hour_ts, event_type, n_name AS place, r_name AS region, round(avg(value), 4) AS mean, count(*) AS n FROM ev LEFT JOIN nation ON n_nationkey = user_id % 25 LEFT JOIN region ON r_regionkey = n_regionkey GROUP BY ALL""")
 def gold_environment_hour(spark, sf):
     df = events(spark, sf)
-    rows = df.where("event_type = 'view'").unionByName(df.where("event_type = 'click'")).withColumn("place_key", (F.col("user_id") % 25).cast("int"))
+    stations = F.col("event_type").isin("view", "click")
+    rows = df.where(stations).unionByName(df.where(~F.coalesce(stations, F.lit(False)))).withColumn("place_key", (F.col("user_id") % 25).cast("int"))
     rows = rows.groupBy("user_id", "place_key", "hour_ts", "event_type").agg(F.round(F.avg("value"), 4).alias("mean"), F.count("*").alias("n"))
     rows = joins.lookup_join(rows, read(spark, sf, "nation"), {"place_key": "n_nationkey"}, {"place": "n_name", "region_key": "n_regionkey"})
     rows = joins.lookup_join(rows, read(spark, sf, "region"), {"region_key": "r_regionkey"}, {"region": "r_name"})
