@@ -52,33 +52,39 @@ def wav_end(b: bytes, at: int) -> int | None:
         return None
     while pos + 8 <= end:
         seen.append(b[pos : pos + 4])
+        if seen[0] != b"fmt ":
+            return None
         n = int.from_bytes(b[pos + 4 : pos + 8], "little")
         pos += 8 + n + n % 2
-    return end if pos == end and b"data" in seen and seen[0] == b"fmt " else None
+    return end if pos == end and b"data" in seen else None
+
 
+# The next four are walks: they yield where they are, and what follows depends on that alone.
 
-def png_end(b: bytes, at: int) -> int | None:
+
+def png_walk(b: bytes, at: int):
     """Chunks with right checksums from IHDR to IEND."""
-    pos, kinds = at + 8, []
+    pos, first = at + 8, True
     while pos + 12 <= len(b):
+        yield pos, first
         n = int.from_bytes(b[pos : pos + 4], "big")
-        kind, body, stop = b[pos + 4 : pos + 8], b[pos + 4 : pos + 8 + n], pos + 12 + n
-        if stop > len(b) or zlib.crc32(body) != int.from_bytes(b[stop - 4 : stop], "big"):
+        kind, stop = b[pos + 4 : pos + 8], pos + 12 + n
+        if stop > len(b) or not kind.isalpha() or first and (kind, n) != (b"IHDR", 13) or zlib.crc32(memoryview(b)[pos + 4 : pos + 8 + n]) != int.from_bytes(b[stop - 4 : stop], "big"):
             return None
-        kinds.append(kind)
-        pos = stop
+        pos, first = stop, False
         if kind == b"IEND":
-            return pos if kinds[0] == b"IHDR" else None
+            return pos
     return None
 
 
-def gif_end(b: bytes, at: int) -> int | None:
+def gif_walk(b: bytes, at: int):
     """Screen descriptor, then blocks of sub-blocks, then the trailer."""
     if len(b) < at + 13:
         return None
     table = lambda flags: 3 << ((flags & 7) + 1) if flags & 0x80 else 0
     pos = at + 13 + table(b[at + 10])
     while pos < len(b):
+        yield pos, "block"
         kind = b[pos]
         if kind == 0x3B:
             return pos + 1
@@ -89,15 +95,17 @@ def gif_end(b: bytes, at: int) -> int | None:
         else:
             return None
         while pos < len(b) and b[pos]:
+            yield pos, "part"
             pos += 1 + b[pos]
         pos += 1
     return None
 
 
-def jpeg_end(b: bytes, at: int) -> int | None:
+def jpeg_walk(b: bytes, at: int):
     """Marker segments of stated length; entropy-coded data up to the end marker."""
     pos, scanned = at + 2, False
     while pos + 2 <= len(b) and b[pos] == 0xFF:
+        yield pos, scanned
         kind = b[pos + 1]
         if kind == 0xD9:
             return pos + 2 if scanned else None
@@ -107,12 +115,27 @@ def jpeg_end(b: bytes, at: int) -> int | None:
         if kind == 0xDA:  # a scan goes on to the next marker that is neither a stuffed byte nor a restart
             scanned = True
             while (pos := b.find(b"\xff", pos)) >= 0 and pos + 1 < len(b) and (b[pos + 1] == 0 or 0xD0 <= b[pos + 1] <= 0xD7):
+                yield pos, "scan"
                 pos += 2
             if pos < 0:
                 return None
     return None
 
 
+def flac_walk(b: bytes, at: int):
+    """Metadata blocks from STREAMINFO to the last one; frames carry no length, so they reach to the end."""
+    pos, first = at + 4, True
+    while pos + 4 <= len(b):
+        yield pos, first
+        head, n = b[pos], int.from_bytes(b[pos + 1 : pos + 4], "big")
+        if first and (head & 0x7F or n != 34):
+            return None
+        first, pos = False, pos + 4 + n
+        if head & 0x80:  # a frame follows: 14 bits of sync
+            return len(b) if pos + 2 <= len(b) and b[pos] == 0xFF and b[pos + 1] & 0xFC == 0xF8 else None
+    return None
+
+
 def pdf_end(b: bytes, at: int) -> int | None:
     """Up to the last end mark (updates append further ones) before another header; each follows a startxref."""
     stop = b.find(b"%PDF-", at + 5)
@@ -121,31 +144,49 @@ def pdf_end(b: bytes, at: int) -> int | None:
     return end + 5 if end >= 0 and b[at + 5 : at + 6].isdigit() and b.rfind(b"startxref", at, end) >= 0 else None
 
 
-def zip_end(b: bytes, at: int) -> int | None:
-    """The end record points back at a central directory that begins where it says."""
-    pos = b.find(b"PK\x05\x06", at)
+def zip_ends(b: bytes) -> dict[int, int]:
+    """Where archives begin -> where they end: each end record tells where its archive's central directory lies, and so its start."""
+    out, pos = {}, b.find(b"PK\x05\x06")
     while pos >= 0 and pos + 22 <= len(b):
         size, start, note = struct.unpack("<IIH", b[pos + 12 : pos + 22])
-        if at + start + size == pos and pos + 22 + note <= len(b):
-            return pos + 22 + note
+        if pos + 22 + note <= len(b):
+            out.setdefault(pos - size - start, pos + 22 + note)
         pos = b.find(b"PK\x05\x06", pos + 4)
-    return None
-
-
-def flac_end(b: bytes, at: int) -> int | None:
-    """Metadata blocks from STREAMINFO to the last one; frames carry no length, so they reach to the end."""
-    pos, first = at + 4, True
-    while pos + 4 <= len(b):
-        head, n = b[pos], int.from_bytes(b[pos + 1 : pos + 4], "big")
-        if first and (head & 0x7F or n != 34):
-            return None
-        first, pos = False, pos + 4 + n
-        if head & 0x80:  # a frame follows: 14 bits of sync
-            return len(b) if pos + 2 <= len(b) and b[pos] == 0xFF and b[pos + 1] & 0xFC == 0xF8 else None
-    return None
+    return out
+
+
+class Ends:
+    """Of one blob: where the media that begins at a place ends, if it is one.
+
+    End records are searched for once, and a walk that comes to a place from which another has failed stops there, so
+    magic bytes repeated over a whole blob don't cost its square.
+    """
+
+    def __init__(self, blob: bytes):
+        self.blob, self.failed, self.zips = blob, set(), None
+
+    def __call__(self, kind: str, at: int) -> int | None:
+        if kind in PLAIN:
+            return PLAIN[kind](self.blob, at)
+        if kind == "application/zip":
+            self.zips = zip_ends(self.blob) if self.zips is None else self.zips
+            return self.zips.get(at)
+        walk, been = WALKS[kind](self.blob, at), []
+        while True:
+            try:
+                place = (kind, *next(walk))
+            except StopIteration as stop:
+                if stop.value is None:
+                    self.failed.update(been)
+                return stop.value
+            if place in self.failed:
+                self.failed.update(been)
+                return None
+            been.append(place)
 
 
-ENDS = {"audio/wav": wav_end, "image/png": png_end, "image/gif": gif_end, "image/jpeg": jpeg_end, "application/pdf": pdf_end, "application/zip": zip_end, "audio/flac": flac_end}
+PLAIN = {"audio/wav": wav_end, "application/pdf": pdf_end}
+WALKS = {"image/png": png_walk, "image/gif": gif_walk, "image/jpeg": jpeg_walk, "audio/flac": flac_walk}
 
 
 @lru_cache(maxsize=1)
@@ -161,10 +202,10 @@ def automaton():
 
 def sniff_bytes(blob: bytes) -> list[tuple[str, int, int]]:
     """(type, start, length) of each confirmed media outside others, from left to right."""
-    found, free = [], 0
+    found, free, ends = [], 0, Ends(blob)
     for last, (n, kind) in automaton().iter(blob.decode("latin-1")):
         start = last + 1 - n
-        if start >= free and (end := ENDS[kind](blob, start)):
+        if start >= free and (end := ends(kind, start)):
             found.append((kind, start, end - start))
             free = end
     return found
@@ -253,6 +294,6 @@ def sniff(df: DataFrame, blob: str = "blob", declared: str = "declared_type") ->
 
     new = [("media", FOUND, FOUND_ARROW), ("carved", "array<binary>", pa.list_(pa.binary())), ("payload", "binary", pa.binary()), ("feature", "string", pa.string())]
     out = by_row(df, blob, new, one)
-    known = F.col(declared).isin(*ENDS)
+    known = F.col(declared).isin(*PLAIN, *WALKS, "application/zip")
     longest = F.array_max(F.transform("media", lambda m: F.struct(m["length"], -m["start"], m["type"].alias("type"))))
     return out.withColumn("media_type", F.when(F.size("media") > 0, longest["type"]).when(known | F.col(declared).isNull(), OTHER).otherwise(F.col(declared)))
