@@ -12,10 +12,11 @@ one and none keeps its own.  Names have no such space: they are drawn from lists
 further name of draw + 1 syllables, so names never run out.
 
 Collision checks: the distinct entities of the corpus are aggregated; a surrogate that equals a real entity, or that two
-entities share, is drawn again (by another permutation, or with more syllables) until none is left.  A format of which
-the corpus holds more than a quarter of all values ("crowded", say all addresses of two letters at hosts of three) has
-no room for that: there the first permutation stands, and a surrogate may equal the real value of another entity.
-Redrawn entities are few, and only they are joined to the documents by the texts that hold them.
+entities share, is drawn again (by another permutation, or with more syllables) until none is left.  Of a format of which
+the corpus holds more than a quarter of all values (say all addresses of two letters at hosts of three), draws would
+seldom find room: there all values are listed, and the entities get those that no entity has, in a keyed order.  Only
+where entities outnumber such values do the rest of them exchange their own among each other, so that none keeps its own.
+Entities whose surrogate isn't the first draw are joined to the documents by the texts that hold them.
 
 Defined cases: null texts stay null; text outside entities is unchanged byte for byte; equal texts get equal results;
 entities that overlap are taken from the left, the longer first; a name of several words that a text has with a title is
@@ -32,7 +33,7 @@ import re
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from urbanflow.llm.common import extended, fresh, others, pieces, quoted, tidy, written
@@ -53,27 +54,48 @@ SYLLABLES = {
     "latin": [c + v for c in "bdfgklmnprstvz" for v in "aeiou"],
     "cyrillic": [c + v for c in "бвгдзклмнпрст" for v in "аеиоу"],
 }
-TITLES = {"f": "Mrs Ms Miss Mme Frau Señora Sra", "m": "Mr Herr Señor Sr Monsieur"}
-NAME = r"[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-я]+"
-#: A name of one text, by its title.  Each pattern begins with a character class, by which the engine skips quickly.
-TITLED = re.compile(rf"[FHMS](?<!\w[FHMS])(?:{'|'.join(sorted(w[1:] for v in TITLES.values() for w in v.split()))})\.? {NAME}(?: {NAME})?(?!\w)")
-EMAIL = re.compile(r"[A-Za-z0-9_.+-](?<![A-Za-z0-9_.+-]{2})[A-Za-z0-9_.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+#: Titles by gender; with those of any gender a given name tells it.
+TITLES = {
+    "f": "Mrs Ms Miss Mme Madame Mlle Mademoiselle Frau Fräulein Señora Sra Señorita Srta Doña Signora госпожа Госпожа г-жа Г-жа гражданка Гражданка",
+    "m": "Mr Herr Herrn Señor Sr Monsieur M. Signor Sir господин Господин г-н Г-н гражданин Гражданин",
+    "any": "Dr Doctor Prof Professor доктор Доктор профессор Профессор",
+}
+TITLE_OF = {word: sex for sex, words in TITLES.items() for word in words.split()}
+UPPER, LETTER = "A-ZÀ-ÖØ-ÞŁŚŠŽČА-ЯЁІЇЄ", "A-Za-zÀ-ÖØ-öø-ſА-Яа-яЁёІіЇїЄє"
+#: A part of a name: McDonald, O'Neil, Jean-Luc.
+NAME = rf"[{UPPER}](?:['’][{UPPER}])?[{LETTER}]+(?:['’-][{UPPER}][{LETTER}]+)*"
+
+
+def titled() -> str:
+    """Branches by first letter, each with what may not stand before it behind that letter, so the engine skips quickly."""
+    firsts: dict[str, list[str]] = {}
+    for word in sorted(TITLE_OF, key=lambda w: (-len(w), w)):
+        firsts.setdefault(word[0], []).append(re.escape(word[1:]) + ("" if word.endswith(".") else r"\.?"))
+    return "|".join(rf"{c}(?<!\w{c})(?:{'|'.join(rest)})" for c, rest in sorted(firsts.items()))
+
+
+#: A name of one text, by its title.
+TITLED = re.compile(rf"(?:{titled()}) {NAME}(?: {NAME})?(?!\w)")
+EMAIL = re.compile(r"[\w.+-](?<![\w.+-]{2})[\w.+-]*@[\w-]+(?:\.[\w-]+)+")
 #: Of texts with a digit only.
 NUMBERED = {
     "ip": re.compile(r"[0-9](?<![0-9.][0-9])[0-9]{0,2}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"),
     "phone": re.compile(
         r"\+(?<![0-9]\+)[0-9]{1,3}[ -]?\([0-9]{2,4}\)[ -]?[0-9]{3}[ -]?[0-9]{4}(?![0-9])|\+(?<![0-9]\+)[0-9]{1,3}(?:[ .-]?[0-9]{1,4}){3,6}(?![0-9])"
-        r"|\((?<![0-9]\()[0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|[0-9](?<![0-9.+-][0-9])[0-9]{2}([-.])[0-9]{3}\1[0-9]{4}(?![0-9]|[.-][0-9])|0(?<![0-9.+-]0)[1-9]([ .-])[0-9]{2}(?:\2[0-9]{2}){3}(?![0-9]|[.-][0-9])"),
+        r"|\((?<![0-9]\()[0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|[0-9](?<![0-9.+-][0-9])[0-9]{2}([-.])[0-9]{3}\1[0-9]{4}(?![0-9]|[.-][0-9])|0(?<![0-9.+-]0)[1-9]([ .-])[0-9]{2}(?:\2[0-9]{2}){3}(?![0-9]|[.-][0-9])"
+        r"|1(?<![0-9.+-]1)([ .-])[0-9]{3}\3[0-9]{3}\3[0-9]{4}(?![0-9]|[.-][0-9])|0(?<![0-9.+-]0)[1-9][0-9]{1,3} [0-9]{3,4} [0-9]{3,4}(?![0-9]|[ .-][0-9])|\((?<![0-9]\()0[0-9]{1,4}\) ?[0-9]{4,8}(?![0-9]|[ .-][0-9])"),
     "card": re.compile(r"[0-9](?<![0-9][0-9])(?:[0-9]{12,18}|[0-9]{3}(?:[ -][0-9]{4}){3}|[0-9]{3}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"),
     "ssn": re.compile(r"[0-9](?<![0-9-][0-9])[0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"),
     "iban": re.compile(r"[A-Z](?<![0-9A-Za-z][A-Z])[A-Z][0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"),
-    "secret": re.compile(r"[0-9A-Fa-f](?<![0-9A-Za-z][0-9A-Fa-f])[0-9A-Fa-f]{31,}(?![0-9A-Za-z])|AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|sk-[A-Za-z0-9_-]{20,}|gh[pousr]_[A-Za-z0-9]{36,}"),
+    "secret": re.compile(r"[0-9A-Fa-f](?<![0-9A-Za-z][0-9A-Fa-f])[0-9A-Fa-f]{31,}(?![0-9A-Za-z])|AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|sk-[A-Za-z0-9_-]{20,}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35}(?![0-9A-Za-z_-])|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     "ipv6": re.compile(r"[0-9A-Fa-f:](?<![0-9A-Za-z:.][0-9A-Fa-f:])[0-9A-Fa-f:]{2,38}(?![0-9A-Za-z:.]*[0-9A-Za-z:])"),
 }
 DIGIT = re.compile("[0-9]")
-PREFIXES = ("AKIA", "sk-", "ghp_", "gho_", "ghu_", "ghs_", "ghr_")
-#: Rounds of the permutation, and the share of a format's values from which it counts as crowded.
-ROUNDS, CROWDED = 6, 0.25
+PREFIXES = ("AKIA", "AIza", "eyJ", "sk-", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-")
+#: Rounds of the permutation, the share of a format's values from which they are listed, and how many a task lists at a time.
+ROUNDS, CROWDED, LISTED = 6, 0.25, 50_000
+#: Ranks are given to so many rows at a time.
+RANKED = 50_000
 BATCH_CHARS = 1_000_000
 BROADCAST_ROWS = 100_000
 ENTITY_DDL = "kind string, entity string, sex string"
@@ -101,7 +123,7 @@ def normal(kind: str, found: str) -> str | None:
     None: it looks like the kind but isn't one.
     """
     if kind == "email":
-        return found.lower()
+        return low if len(low := found.lower()) == len(found) else found
     if kind == "ip":
         parts = [int(x) for x in found.split(".")]
         return ".".join(map(str, parts)) if max(parts) < 256 else None
@@ -133,11 +155,10 @@ def script(word: str) -> str:
 
 
 def gender(entity: str, title: str = "") -> str:
-    bare = title.rstrip(".")
-    for g, words in TITLES.items():
-        if bare in words.split():
-            return g
-    first = entity.split(" ")[0]
+    sex = TITLE_OF.get(title) or TITLE_OF.get(title.rstrip("."))
+    if sex in ("f", "m"):
+        return sex
+    first = re.split("[ -]", entity)[0]
     return next((g for (g, _), names in GIVEN.items() if first in names), "m")
 
 
@@ -148,8 +169,8 @@ def entities(text: str | None):
     hits = [("email", m) for m in EMAIL.finditer(text)] if "@" in text else []
     if DIGIT.search(text):
         hits += [(kind, m) for kind, pattern in NUMBERED.items() for m in pattern.finditer(text)]
-    elif "::" in text:
-        hits += [("ipv6", m) for m in NUMBERED["ipv6"].finditer(text)]
+    else:  # these need no digit
+        hits += [(kind, m) for kind, sign in (("ipv6", "::"), ("secret", "eyJ")) if sign in text for m in NUMBERED[kind].finditer(text)]
     found = [(m.start(), -m.end(), kind, m[0], entity, "") for kind, m in hits if (entity := normal(kind, m[0])) is not None]
     names = {}
     for m in TITLED.finditer(text):
@@ -293,7 +314,7 @@ def dressed(kind: str, found: str, surrogate: str) -> str:
         return surrogate.upper()
     if kind == "email" or kind == "secret" and not found.startswith(PREFIXES):
         return "".join(s.upper() if f.isupper() else s for f, s in zip(found, surrogate, strict=True))
-    if kind == "name" and found.partition(" ")[0].rstrip(".") in " ".join(TITLES.values()).split():
+    if kind == "name" and (found.partition(" ")[0] in TITLE_OF or found.partition(" ")[0].rstrip(".") in TITLE_OF):
         return f"{found.partition(' ')[0]} {surrogate}"
     return surrogate
 
@@ -323,50 +344,111 @@ def found_entities(docs: DataFrame, secret: bytes, text: str) -> DataFrame:
     return docs.select(quoted(text)).mapInArrow(tidy(run), f"{ENTITY_DDL}, surrogate string, format string, room double").distinct()
 
 
-def redrawn(found: DataFrame, secret: bytes) -> DataFrame | None:
-    """kind, entity, sex, draw of the entities whose first surrogate clashes, or None.  Each round is one job.
+def ranked(df: DataFrame, secret: bytes, value: str) -> DataFrame:
+    """df (kind, format, ...) with rank: a keyed order of each format's rows from 0.  No window holds more than about RANKED rows."""
+    hashed = df.withColumn("h", F.sha2(F.concat(F.lit(secret.hex()), "kind", F.col(value)), 256))
+    sizes = df.groupBy("kind", "format").agg(F.count("*").alias("size"))
+    place = F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / 2**32
+    dealt = hashed.join(sizes, ["kind", "format"]).withColumn("bucket", F.floor(place * F.ceil(F.col("size") / RANKED)))
+    counts = dealt.groupBy("kind", "format", "bucket").agg(F.count("*").alias("k"))
+    before = Window.partitionBy("kind", "format").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("kind", "format", "bucket", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("kind", "format", "bucket").orderBy("h", value)
+    out = dealt.withColumn("nth", F.row_number().over(inside)).join(counts, ["kind", "format", "bucket"])
+    return out.withColumn("rank", F.col("base") + F.col("nth") - 1).drop("h", "bucket", "nth", "base")
+
+
+def listed(formats: DataFrame) -> DataFrame:
+    """kind, format, surrogate: all values of formats (kind, format, template - one entity of it -, room)."""
+
+    def run(batches):
+        for batch in batches:
+            for kind, fixed, template, first, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                places = radices(kind, template)[1]
+                values = pa.array([spelled(kind, template, places, n) for n in range(first, end)], pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(values)), pa.array([fixed] * len(values)), values], names=["kind", "format", "surrogate"])
+
+    room = F.col("room").cast("bigint")
+    parts = formats.select("kind", "format", "template", room.alias("room"), F.explode(F.sequence(F.lit(0), F.ceil(room / LISTED) - 1)).alias("part"))
+    parts = parts.select("kind", "format", "template", (F.col("part") * LISTED).alias("first"), F.least((F.col("part") + 1) * LISTED, "room").alias("end"))
+    return parts.repartition("kind", "format", "first").mapInArrow(tidy(run), "kind string, format string, surrogate string")
+
 
-    Rounds end: in a format that isn't crowded each leaves at most half of its clashes on average, and names get longer.
+def matched(crowded: DataFrame, formats: DataFrame, secret: bytes) -> DataFrame:
+    """kind, entity, sex, surrogate of entities of formats that are nearly full.
+
+    The entity of rank r gets the free value of rank r.  Those beyond the free values take each other's, the next one's
+    by rank; a single one takes the free value of rank 0 and leaves its own to that rank's entity.
+    """
+    mine = written(ranked(crowded.select("kind", "format", "entity", "sex"), secret, "entity"), "mine")
+    free = listed(formats).join(crowded.select("kind", F.col("entity").alias("surrogate")), ["kind", "surrogate"], "left_anti").select("kind", "format", "surrogate")
+    free = written(ranked(free, secret, "surrogate"), "free")
+    room = free.groupBy("kind", "format").agg(F.count("*").alias("n_free"))
+    rows = mine.join(room, ["kind", "format"], "left").fillna(0, ["n_free"])
+    r, f, m = F.col("rank"), F.col("n_free"), F.col("size")
+    one = (m - f == 1) & (f > 0)
+    # takes: the rank of the free value; else gives: the rank of the entity whose value it takes.
+    takes = F.when(one & (r == f), 0).when((r < f) & ~(one & (r == 0)), r)
+    gives = F.when(one & (r == 0), f).when(r >= f, F.when(r + 1 < m, r + 1).otherwise(f))
+    rows = rows.select("kind", "format", "entity", "sex", takes.alias("takes"), F.when(takes.isNull(), gives).alias("gives"))
+    got = rows.where("takes is not null").join(free.select("kind", "format", F.col("rank").alias("takes"), "surrogate"), ["kind", "format", "takes"])
+    swapped = rows.where("takes is null").join(mine.select("kind", "format", F.col("rank").alias("gives"), F.col("entity").alias("surrogate")), ["kind", "format", "gives"])
+    return got.select("kind", "entity", "sex", "surrogate").unionByName(swapped.select("kind", "entity", "sex", "surrogate"))
+
+
+def redrawn(found: DataFrame, secret: bytes) -> DataFrame:
+    """kind, entity, sex, surrogate of the entities whose first surrogate doesn't stand.
+
+    The first surrogates are written once; each round draws again for those that clash, and keeps what nobody has.
+    Rounds end: at most half of a format's values are taken, so each leaves about half of its clashes, and names get longer.
     """
     found = written(found, "entities")
-    crowded = found.groupBy("kind", "format").agg(F.count("*").alias("k"), F.max("room").alias("room")).where(F.col("k") > CROWDED * F.col("room")).select("kind", "format")
-    real = found.select("kind", F.col("entity").alias("surrogate")).distinct()
-    crowded = written(crowded, "crowded")
-    crowded = F.broadcast(crowded) if crowded.count() <= BROADCAST_ROWS else crowded
-    free = found.join(crowded, ["kind", "format"], "left_anti").select("kind", "entity", "sex", "surrogate")
-    settled, draw = written(free.withColumn("draw", F.lit(0)), "settled"), 0
-    while True:
-        shared = settled.groupBy("kind", "surrogate").agg(F.count("*").alias("n"), F.min(F.struct("draw", "entity", "sex")).alias("keeps")).where("n > 1")
-        unreal = settled.join(real, ["kind", "surrogate"], "left_semi").select("kind", "entity", "sex")
-        losers = settled.join(shared, ["kind", "surrogate"]).where(F.struct("draw", "entity", "sex") != F.col("keeps")).select("kind", "entity", "sex")
-        clash = written(losers.unionByName(unreal).distinct(), "clash")
-        if clash.isEmpty():
-            return settled.where("draw > 0").select("kind", "entity", "sex", "draw") if draw else None
+    formats = found.where("format is not null").groupBy("kind", "format").agg(F.count("*").alias("k"), F.max("room").alias("room"), F.min("entity").alias("template"))
+    formats = written(formats.where((F.col("k") > CROWDED * F.col("room")) & (F.col("room") > 1)).select("kind", "format", "template", "room"), "crowded")
+    if full := not formats.isEmpty():
+        key = F.broadcast(formats.select("kind", "format")) if formats.count() <= BROADCAST_ROWS else formats.select("kind", "format")
+        crowded, found = (found.join(key, ["kind", "format"], how) for how in ("left_semi", "left_anti"))
+        crowded, found = written(crowded, "full"), written(found, "roomy")
+    done = [written(matched(crowded, formats, secret), "matched")] if full else []
+
+    taken = found.select("kind", "surrogate").unionByName(found.select("kind", F.col("entity").alias("surrogate")))
+    shared = found.groupBy("kind", "surrogate").agg(F.count("*").alias("n"), F.min(F.struct("entity", "sex")).alias("keeps")).where("n > 1")
+    losers = found.join(shared, ["kind", "surrogate"]).where(F.struct("entity", "sex") != F.col("keeps")).select("kind", "entity", "sex")
+    unreal = found.join(found.select("kind", F.col("entity").alias("surrogate")).distinct(), ["kind", "surrogate"], "left_semi").where("surrogate <> entity or kind = 'name'").select("kind", "entity", "sex")
+    clash, draw = written(losers.unionByName(unreal).distinct(), "clash"), 0
+    while not clash.isEmpty():
         draw += 1
 
         def again(batches, draw=draw):
             for b in batches:
                 ks, es, gs = (c.to_pylist() for c in b.columns)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([plain_surrogate(k, e, secret, draw, g) for k, e, g in zip(ks, es, gs, strict=True)], pa.string()), pa.array([draw] * len(ks), pa.int32())], names=["kind", "entity", "sex", "surrogate", "draw"])
-
-        fresh_ones = clash.mapInArrow(again, f"{ENTITY_DDL}, surrogate string, draw int")
-        settled = written(settled.join(clash, ["kind", "entity", "sex"], "left_anti").unionByName(fresh_ones), "settled")
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([plain_surrogate(k, e, secret, draw, g) for k, e, g in zip(ks, es, gs, strict=True)], pa.string())], names=["kind", "entity", "sex", "surrogate"])
+
+        drawn = written(clash.mapInArrow(again, f"{ENTITY_DDL}, surrogate string"), "drawn")
+        gone = taken.join(drawn.select("kind", "surrogate").distinct(), ["kind", "surrogate"], "left_semi").distinct()
+        best = drawn.join(gone, ["kind", "surrogate"], "left_anti").groupBy("kind", "surrogate").agg(F.min(F.struct("entity", "sex")).alias("e"))
+        kept = written(best.select("kind", "e.entity", "e.sex", "surrogate"), "kept")
+        taken = taken.unionByName(kept.select("kind", "surrogate"))
+        done.append(kept)
+        clash = written(clash.join(kept, ["kind", "entity", "sex"], "left_anti"), "clash")
+    out = found.limit(0).select("kind", "entity", "sex", "surrogate")
+    for part in done:
+        out = out.unionByName(part)
+    return out
 
 
 def pseudonymize(docs: DataFrame, secret: bytes, text: str = "text") -> DataFrame:
     """docs with surrogates in `text`, and n_entities and kinds (sorted, of the entities found)."""
     late = redrawn(found_entities(docs, secret, text), secret)
     docs = docs.select(*(quoted(c) for c in others(docs, "n_entities", "kinds")))
-    if late is not None:
-        few = late.limit(BROADCAST_ROWS + 1).collect()
-        if len(few) > BROADCAST_ROWS:
-            return replaced(*joined_draws(docs, late, text), secret, text, {})
-        return replaced(docs, None, secret, text, {(r["kind"], r["entity"], r["sex"]): r["draw"] for r in few})
-    return replaced(docs, None, secret, text, {})
+    few = late.limit(BROADCAST_ROWS + 1).collect()
+    if len(few) > BROADCAST_ROWS:
+        return replaced(*joined_surrogates(docs, late, text), secret, text, {})
+    return replaced(docs, None, secret, text, {(r["kind"], r["entity"], r["sex"]): r["surrogate"] for r in few})
 
 
-def joined_draws(docs: DataFrame, late: DataFrame, text: str) -> tuple[DataFrame, str]:
-    """docs with a map entity -> draw of their own redrawn entities, and its name; for more of them than may be broadcast."""
+def joined_surrogates(docs: DataFrame, late: DataFrame, text: str) -> tuple[DataFrame, str]:
+    """docs with a map entity -> surrogate of their own late entities, and its name; for more of them than may be broadcast."""
     version, draws, own = fresh(docs, "version", "draws", "own")
     rows = docs.withColumn(version, F.sha2(F.coalesce(quoted(text), F.lit("")), 256))
 
@@ -377,12 +459,12 @@ def joined_draws(docs: DataFrame, late: DataFrame, text: str) -> tuple[DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out, strict=True)], names=["version", "kind", "entity", "sex"])
 
     held = rows.select(version, quoted(text)).mapInArrow(tidy(run), f"version string, {ENTITY_DDL}").distinct()
-    held = held.join(late, ["kind", "entity", "sex"]).groupBy(F.col("version").alias(own)).agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\0", "kind", "entity", "sex"), "draw"))).alias(draws))
+    held = held.join(late, ["kind", "entity", "sex"]).groupBy(F.col("version").alias(own)).agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\0", "kind", "entity", "sex"), "surrogate"))).alias(draws))
     return rows.join(held, F.col(version) == F.col(own), "left").drop(version, own), draws
 
 
 def replaced(docs: DataFrame, draws_in: str | None, secret: bytes, text: str, draws: dict) -> DataFrame:
-    """docs with surrogates.  draws_in: the column with each row's own draws, which goes; draws: those of all rows."""
+    """docs with surrogates.  draws_in: the column with each row's own late surrogates, which goes; draws: those of all rows."""
     kept = [c for c in docs.columns if c != draws_in]
     at, n = kept.index(text), len(kept)
     rows = docs.select(*(quoted(c) for c in kept), *([quoted(draws_in)] if draws_in else []))
@@ -393,8 +475,8 @@ def replaced(docs: DataFrame, draws_in: str | None, secret: bytes, text: str, dr
             return None, 0, []
         out, pos, kinds = [], 0, []
         for kind, found, entity, sex, a, b in entities(t):
-            draw = own.get(f"{kind}\0{entity}\0{sex}", 0) if own else draws.get((kind, entity, sex), 0)
-            out += [t[pos:a], dressed(kind, found, plain_surrogate(kind, entity, secret, draw, sex))]
+            late = own.get(f"{kind}\0{entity}\0{sex}") if own else draws.get((kind, entity, sex))
+            out += [t[pos:a], dressed(kind, found, plain_surrogate(kind, entity, secret, 0, sex) if late is None else late)]
             pos = b
             kinds.append(kind)
         return ("".join(out) + t[pos:] if out else t), len(kinds), sorted(set(kinds))
