@@ -148,7 +148,7 @@ def scan(files: DataFrame, templates: dict[str, list[str]], key: str = "doc_id",
     run = lambda a, w: F.when(a.w == w, F.struct(w.alias("w"), (a.n + 1).alias("n"), (a.q + 2 * a.n + 1).alias("q"))).otherwise(F.struct(w.alias("w"), F.lit(1).cast("bigint").alias("n"), (a.q + 1).alias("q")))
     zero = F.lit(0).cast("bigint")
     squares = F.aggregate(F.array_sort("words"), F.struct(F.lit("").alias("w"), zero.alias("n"), zero.alias("q")), run, lambda a: a.q)
-    counts = F.transform("shared", lambda w: F.struct(w.alias("word"), F.size(F.filter("words", lambda x: x == w)).alias("tf")))
+    counts = F.transform("shared", lambda w: F.struct(w.alias("word"), F.size(F.filter("words", lambda x: x == w)).cast("bigint").alias("tf")))
     tf = units.select(*UNIT, squares.alias("squares"), F.size("shared").alias("k"), F.inline(counts))
     table, top = weight_rows(files.sparkSession, templates), weights(templates)[2]
     weighed = tf.join(F.broadcast(table), "word").withColumn("w", F.col("tf") * F.col("idf"))
