@@ -1,6 +1,11 @@
 """From raw documents to token ids: classify, cut boilerplate lines, join near duplicates, decontaminate, encode.
 
 Each stage takes all that the one before kept, written as Parquet and read again, and its decisions take effect.
+
+Defined cases: no documents give no rows; documents without an id, or with one that others have, go through as any other,
+each by its id and text; rows of equal id and equal text are one document from the near-duplicate join on; null and empty
+texts are scored, link with nothing and encode to no tokens; other columns are kept up to the encoder, whatever their
+names.
 """
 
 from __future__ import annotations
