@@ -181,3 +181,11 @@ def test_latin1_files(spark, tmp_path):
     (tmp_path / "in" / "a.csv").write_bytes("k;v\n1;niño\n".encode("latin-1"))
     append_available(csv_stream(spark, f"file://{tmp_path}/in", "k int, v string", encoding="ISO-8859-1"), path, f"{path}3")
     assert spark.read.parquet(path).first().v == "niño"
+
+
+def test_work_folders_go(spark):
+    path = tables.work_dir(spark)
+    spark.range(3).write.parquet(f"{path}/t")
+    assert tables.exists(spark, path)
+    tables.clear(spark)
+    assert not tables.exists(spark, path)

@@ -26,6 +26,10 @@ def read_optional(spark: SparkSession, path: str, required: bool = False) -> Dat
     return spark.read.parquet(path)
 
 
+#: Folders that `work_dir` has given and `clear` hasn't deleted.
+_MADE: list[str] = []
+
+
 def work_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share.
 
@@ -38,7 +42,15 @@ def work_dir(spark: SparkSession) -> str:
         import tempfile
 
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
-    return f"{base.rstrip('/')}/urbanflow-{uuid.uuid4().hex}"
+    _MADE.append(f"{base.rstrip('/')}/urbanflow-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes the folders of `work_dir`: for when the results of the queries so far have been used."""
+    while _MADE:
+        at = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def capture_versions(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
