@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanflow.sources.tables import work_dir
+from urbanflow.sources.tables import materialized
 
 EDGES = "array<struct<ax:double,ay:double,bx:double,by:double>>"
 #: A border cell with more edges is split, so many times at most.
@@ -97,9 +97,8 @@ def assign_region(points: DataFrame, polygons: DataFrame, key: str, x: str, y: s
     strict raises if a key is null or repeated, a coordinate is null or NaN, or a point isn't in exactly one region.
     """
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    spark, at_disk = points.sparkSession, f"{work_dir(points.sparkSession)}/cells"
-    cover(polygons).select(F.col("code").alias("_code"), F.col("e").alias("_e"), F.col("ix").alias("_ix"), F.col("iy").alias("_iy"), F.col("inside").alias("_inside"), F.col("edges").alias("_edges")).write.parquet(at_disk)
-    cells = spark.read.parquet(at_disk)
+    cells = cover(polygons).select(F.col("code").alias("_code"), F.col("e").alias("_e"), F.col("ix").alias("_ix"), F.col("iy").alias("_iy"), F.col("inside").alias("_inside"), F.col("edges").alias("_edges"))
+    cells = materialized(cells)
     sizes = sorted(r["_e"] for r in cells.select("_e").distinct().collect())  # a few dozen at most: polygons' sizes by powers of two
     at = lambda v, e: F.floor(v / F.pow(F.lit(2.0), e)).cast("bigint")
     placed = points.select(key, px.alias("_x"), py.alias("_y")).where((F.abs("_x") < float("inf")) & (F.abs("_y") < float("inf")))

@@ -347,6 +347,87 @@ def sink_append(spark, sf):
     return versioned.read(spark, path)
 
 
+PRICES = "o_orderkey, year(o_orderdate)::INT AS year, o_totalprice AS price"
+
+
+@query(f"""WITH o AS (SELECT {PRICES} FROM orders) SELECT year, count(*) AS n, round(sum(CASE WHEN year = 1996 THEN 0 ELSE price + 1 END), 1) AS total, CAST(3 AS INT) AS version FROM o GROUP BY year""")
+def write_strategies(spark, sf):
+    """One table by all four strategies in turn: part of the orders, the rest, all with other prices, one year again."""
+    path = f"{work_dir(spark)}/orders"
+    df = read(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), F.col("o_totalprice").alias("price"))
+    sinks.write(df.where("year < 1997"), path, "overwrite", partition_by=["year"])
+    sinks.write(df.where("year >= 1997 or year is null"), path, "append")
+    sinks.write(df.withColumn("price", F.col("price") + 1), path, "merge", keys=["o_orderkey"])
+    last = sinks.write(df.where("year = 1996").withColumn("price", F.lit(0.0)), path, "replace_partitions", partition_by=["year"])
+    return versioned.read(spark, path).groupBy("year").agg(F.count("*").alias("n"), F.round(F.sum("price"), 1).alias("total"), F.lit(last).alias("version"))
+
+
+@query(f"WITH o AS (SELECT {PRICES} FROM orders) SELECT * FROM o")
+def gold_managed(spark, sf):
+    """A managed table of the catalog, by year; written twice, the second time with more columns."""
+    name = f"urbanflow_{work_dir(spark).rsplit('-', 1)[1]}"
+    df = read(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), F.col("o_totalprice").alias("price"))
+    sinks.managed(df.drop("price").limit(1), name, ["year"])
+    sinks.managed(df, name, ["year"])
+    return spark.table(name)
+
+
+@query("SELECT count(*) AS n_rows, count(DISTINCT l_orderkey) AS n_orders, max(n) AS most, count(*) FILTER (n > 3) AS n_large FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey)")
+def materialized_checks(spark, sf):
+    """An intermediate table, made once, under four checks."""
+    rows = tables.materialized(read(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n")))
+    checks = [rows.agg(F.count("*").alias("n_rows")), rows.agg(F.countDistinct("l_orderkey").alias("n_orders")), rows.agg(F.max("n").alias("most")), rows.agg(quality.count_if(F.col("n") > 3, "n_large"))]
+    return checks[0].join(F.broadcast(checks[1])).join(F.broadcast(checks[2])).join(F.broadcast(checks[3]))
+
+
+@query("SELECT o_orderkey, true AS stamped, 'once' AS stamps FROM orders")
+def processing_time(spark, sf):
+    """All rows of one run have one stamp, not before its start."""
+    rows = columns.add_processing_time(read(spark, sf, "orders").select("o_orderkey").withColumn("began", F.current_timestamp()))
+    kinds = rows.agg(F.when(F.countDistinct("_processed_at") <= 1, "once").otherwise("several").alias("stamps"))
+    return rows.select("o_orderkey", (F.col("_processed_at") >= F.col("began")).alias("stamped")).join(F.broadcast(kinds))
+
+
+@query("SELECT check_name, refused, (SELECT count(*) FROM part) AS n_rows FROM (VALUES ('columns there', false), ('column missing', true), ('normal names', false), ('odd name', true), ('digit first', true), ('clash', true)) AS t(check_name, refused)")
+def column_guards(spark, sf):
+    """What the guards before a transform and before a write refuse."""
+    df = read(spark, sf, "part")
+    tries = {
+        "columns there": lambda: columns.require_columns(df, ["p_partkey", "p_size"]), "column missing": lambda: columns.require_columns(df, ["p_partkey", "p_colour"]),
+        "normal names": lambda: columns.check_names(df), "odd name": lambda: columns.check_names(df.withColumnRenamed("p_size", "p size")),
+        "digit first": lambda: columns.check_names(df.withColumnRenamed("p_size", "2size")), "clash": lambda: columns.normalize_column_names(df.withColumn("P-size", F.lit(1))),
+    }
+
+    def refused(f):
+        try:
+            f()
+        except ValueError:
+            return True
+        return False
+
+    rows = spark.createDataFrame([(name, refused(f)) for name, f in tries.items()], "check_name string, refused boolean")
+    return rows.join(F.broadcast(df.agg(F.count("*").alias("n_rows"))))
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN CAST(s_nationkey AS INT) WHEN s_suppkey % 3 = 1 THEN CAST(s_suppkey % 1000 AS INT) END AS place_code, CASE WHEN s_suppkey % 5 > 0 THEN lower(s_name) END AS place_name FROM supplier")
+def place_codes(spark, sf):
+    """Codes as padded text or as numbers in one of two columns, names with capitals, accents and blanks."""
+    df, k = read(spark, sf, "supplier"), F.col("s_suppkey")
+    rows = df.select(
+        k, F.when(k % 3 == 0, F.format_string("%04d.", F.col("s_nationkey").cast("int"))).when(k % 3 == 2, "unknown").alias("cod_a"), F.when(k % 3 == 1, k % 1000).alias("cod_b"),
+        F.when(k % 5 > 0, F.concat(F.lit("  "), F.translate(F.upper("s_name"), "AEIOU", "ÁÉÍÓÚ"))).otherwise("  ").alias("name_a"))
+    return columns.place_of(rows, ["cod_a", "cod_b", "cod_c"], ["name_b", "name_a"]).select("s_suppkey", "place_code", "place_name")
+
+
+@query("SELECT r_name, count(n_nationkey) AS n_nations, false AS extra_there, true AS region_there FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY r_name")
+def optional_tables(spark, sf):
+    """A required table, one that may be absent and is there, and one that isn't."""
+    region, nation = tables.read_optional(spark, f"{sf}/region.parquet", required=True), tables.read_optional(spark, f"{sf}/nation.parquet")
+    extra = tables.read_optional(spark, f"{sf}/no_such_table.parquet")
+    rows = region.join(nation, F.col("n_regionkey") == F.col("r_regionkey"), "left").groupBy("r_name").agg(F.count("n_nationkey").alias("n_nations"))
+    return rows.withColumns({"extra_there": F.lit(extra is not None), "region_there": F.lit(not region.isEmpty())})
+
+
 MERGED = "SELECT c_custkey, c_name, round(c_acctbal + CASE WHEN c_custkey > n / 3 THEN 100 ELSE 0 END, 2) AS c_acctbal FROM customer, (SELECT count(*) AS n FROM customer) UNION ALL SELECT NULL, 'nobody', 1.0"
 
 

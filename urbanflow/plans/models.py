@@ -9,7 +9,7 @@ from urbanflow.operators import aggregates, evaluation, ml, nrt, quality
 from urbanflow.plans.frames import SCORED, districts, scored
 from urbanflow.plans.jobs import FEATURES, feature_snapshot
 from urbanflow.plans.registry import query
-from urbanflow.sources.tables import read, work_dir
+from urbanflow.sources.tables import materialized, read, work_dir
 
 SPLITS = {"train": (None, "1998-01-01"), "validation": ("1998-01-01", "1999-01-01"), "evaluation": ("1999-01-01", "2000-01-01")}
 SPLIT_SQL = "CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 'train' WHEN o_orderdate < TIMESTAMP '1999-01-01' THEN 'validation' WHEN o_orderdate < TIMESTAMP '2000-01-01' THEN 'evaluation' ELSE 'excluded' END"
@@ -120,9 +120,7 @@ def feature_frame(spark, sf):
     """Written once: every fit and fold reads it, none makes it again."""
     df = feature_snapshot(spark, sf).withColumn("n", F.col("n").cast("double"))
     df = quality.sanitize_ranges(df, {"mean": (0.0, True, None, False), "click_mean": (0.0, True, None, False)})
-    path = f"{work_dir(spark)}/frame"
-    ml.category_strings(df, ["dist", "hour", "weekday"]).write.parquet(path)
-    return spark.read.parquet(path)
+    return materialized(ml.category_strings(df, ["dist", "hour", "weekday"]))
 
 
 def early(date):

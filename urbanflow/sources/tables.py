@@ -58,6 +58,13 @@ def capture_versions(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return spark.createDataFrame([(name, versioned.newest(spark, path)) for name, path in paths.items()], "table string, version int")
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """df written once and read back, for several uses; nothing above it runs again, and lost executors lose none of it."""
+    path = f"{work_dir(df.sparkSession)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def latest_snapshot_reference(first: DataFrame, second: DataFrame, column: str = "snapshot_id") -> DataFrame:
     """The one snapshot that both tables hold; no row if either holds several or they differ."""
     ids = first.select(column).distinct().withColumn("side", F.lit(1)).unionByName(second.select(column).distinct().withColumn("side", F.lit(2)))
