@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanflow.sources import versioned
+from urbanflow.sources.work import clear, exists, materialized, work_dir  # noqa: F401  for users of tables
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
-
-
 def read_optional(spark: SparkSession, path: str, required: bool = False) -> DataFrame | None:
     """The table, or None where an optional one isn't there."""
     if not required and not exists(spark, path):
@@ -26,45 +20,11 @@ def read_optional(spark: SparkSession, path: str, required: bool = False) -> Dat
     return spark.read.parquet(path)
 
 
-#: Folders that `work_dir` has given and `clear` hasn't deleted.
-_MADE: list[str] = []
-
-
-def work_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share.
-
-    Without that setting a local session (tests) takes a folder of this machine; any other raises.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        import tempfile
-
-        base = "file://" + tempfile.mkdtemp(prefix="spark-")
-    _MADE.append(f"{base.rstrip('/')}/urbanflow-{uuid.uuid4().hex}")
-    return _MADE[-1]
-
-
-def clear(spark: SparkSession) -> None:
-    """Deletes the folders of `work_dir`: for when the results of the queries so far have been used."""
-    while _MADE:
-        at = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def capture_versions(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """table, newest version."""
     return spark.createDataFrame([(name, versioned.newest(spark, path)) for name, path in paths.items()], "table string, version int")
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """df written once and read back, for several uses; nothing above it runs again, and lost executors lose none of it."""
-    path = f"{work_dir(df.sparkSession)}/rows"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def latest_snapshot_reference(first: DataFrame, second: DataFrame, column: str = "snapshot_id") -> DataFrame:
     """The one snapshot that both tables hold; no row if either holds several or they differ."""
     ids = first.select(column).distinct().withColumn("side", F.lit(1)).unionByName(second.select(column).distinct().withColumn("side", F.lit(2)))

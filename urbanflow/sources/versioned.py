@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from urbanflow.sources.work import written_once
+
 ENTRY = "version bigint, head string, add string, remove string"
 #: How often a writer that comes second tries again.
 TRIES = 100
@@ -203,7 +205,15 @@ def without(rows: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def upsert(df: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None, token: str | None = None) -> int:
-    """Rows of df in place of those with the same keys, and as new ones.  Only files that hold such a key are rewritten."""
+    """Rows of df in place of those with the same keys, and as new ones.  Only files that hold such a key are rewritten.
+
+    df is written to a work folder first, since its keys are looked at several times before its rows are.
+    """
+    with written_once(df) as rows:
+        return _upsert(rows, path, keys, partition_by, token)
+
+
+def _upsert(df: DataFrame, path: str, keys: list[str], partition_by: list[str] | None, token: str | None) -> int:
     spark = df.sparkSession
     if twice := df.groupBy(*(F.col(f"`{k}`") for k in keys)).count().where("count > 1").limit(3).collect():
         raise ValueError(f"keys are repeated in the source: {[tuple(r)[:-1] for r in twice]}")
