@@ -216,10 +216,13 @@ def scores(aligned: DataFrame, counts: DataFrame, hot: int = HOT) -> DataFrame:
     rows = aligned.select("h1", "h2", F.explode(F.arrays_zip("codes", "links")).alias("e")).select("h1", "h2", F.col("e.codes").alias("own"), "e.links")
     n, total = counts.agg(F.count("*"), F.sum("documents")).first()
     often = F.col("documents") > (total or 0) / hot  # no more than `hot` pairs
-    sides = [F.broadcast(counts)] if n <= hot else [F.broadcast(counts.where(often)), counts.where(~often)]
+    sides = [(rows, F.broadcast(counts))]
+    if n > hot:  # rows of frequent pairs aren't shuffled to the others
+        top = F.broadcast(counts.where(often))
+        sides = [(rows, top), (rows.join(top, F.col("own") == F.col("code"), "left_anti"), counts.where(~often))]
     out = None
-    for side in sides:
-        met = rows.join(side, F.col("own") == F.col("code"))
+    for part_rows, side in sides:
+        met = part_rows.join(side, F.col("own") == F.col("code"))
         part = met.groupBy("h1", "h2").agg(F.sum(F.when(F.col("best"), F.col("links")).otherwise(0)).alias("n_best"), F.sum(F.col("links") * F.col("documents")).alias("count_sum"))
         out = part if out is None else out.unionByName(part)
     return out if len(sides) == 1 else out.groupBy("h1", "h2").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
