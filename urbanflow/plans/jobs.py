@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from urbanflow.functions.temporal import day_part, time_labels
-from urbanflow.operators import aggregates, columns, dedup, joins, nrt, quality, reshape, silver, sinks, snapshots
+from urbanflow.functions.temporal import day_part
+from urbanflow.operators import columns, dedup, joins, nrt, quality, reshape, silver, sinks, snapshots
 from urbanflow.plans.basics import LABELS, SIDES, label_rows, lead_hour_label, outer_sides
-from urbanflow.plans.frames import EV, PART, TYPES, districts, events, incidents, measured
+from urbanflow.plans.frames import EV, PART, districts, events, incidents, measured
 from urbanflow.plans.registry import query
 from urbanflow.sources import tables, versioned
 from urbanflow.sources.tables import read, work_dir
