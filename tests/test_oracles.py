@@ -1,5 +1,6 @@
 """Every query of the library with SQL, against DuckDB on the smallest tables."""
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -68,5 +69,18 @@ def test_reports_follow_from_the_scores(spark):
     assert set(folds) == {"fold1", "fold2"} and all(r.n == 15 * 7 * 24 and 0 <= r.roc_auc <= 1 for r in folds.values())
 
 
+@pytest.mark.parametrize(("kind", "to"), [("'error'", "2024-01-27"), ("'click'", "2024-01-23")])
+def test_hours_of_one_class_are_evaluated(spark, tmp_path, kind, to):
+    """Each hour has an incident, so nearly all labels are 1; or none has, and the last period has no rows either."""
+    con, at = duckdb.connect(), f"{tmp_path}/events.parquet"
+    times = f"unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '{to}', INTERVAL 1 HOUR))"
+    con.execute(f"CREATE TABLE events AS SELECT row_number() OVER () AS event_id, ts, u AS user_id, k AS event_type, v AS value, '{{}}' AS props FROM (SELECT {times} AS ts), (VALUES (0, {kind}, 1.5), (1, {kind}, 2.5), (1, 'click', 3.0)) AS t(u, k, v)")
+    con.execute("ALTER TABLE events ALTER user_id TYPE BIGINT")
+    con.execute("ALTER TABLE events ALTER value TYPE DOUBLE")
+    con.execute(f"COPY events TO '{at}' (FORMAT parquet)")
+    got, want = registry.QUERIES["train_evaluate"](spark, str(tmp_path)).toPandas(), con.execute(registry.ORACLES["train_evaluate"]).df()
+    assert rows(got) == rows(want) and got["holds"].all() and got["period"].nunique() == (2 if kind == "'error'" else 1)
+
+
 def test_no_query_is_without_sql():
     assert set(registry.QUERIES) == set(registry.ORACLES)

@@ -265,17 +265,23 @@ UNION ALL SELECT period, 'calibration', NULL, {COUNTS} period UNION ALL SELECT p
 def train_evaluate(spark, sf):
     """Both periods of one job: sizes of each part, and whether its numbers hold together.
 
-    Metrics lie within their ranges; the bins of the calibration sum up to the period; the curve's lowest threshold takes
-    all rows in, so its recall is 1 and its precision the prevalence, and recall never rises with the threshold.
+    Metrics lie within their ranges; the bins of the calibration sum up to the period, each with a mean score between its
+    bounds; the curve's lowest threshold takes all rows in, so its precision is the prevalence and its recall, where there
+    is a positive, 1 and the highest. Hours of one class only teach a model that gives all rows the same score: then the
+    curve has one point, and the Brier score follows from it. A period without rows has no parts.
     """
     out, whole = None, F.lit(None).cast("int")
-    rows = lambda df, period, part, weekday: df.select(F.lit(period).alias("period"), F.lit(part).alias("part"), weekday.alias("weekday"), "n", "positives", "holds")
+    rows = lambda df, period, part, weekday: df.where("n > 0").select(F.lit(period).alias("period"), F.lit(part).alias("part"), weekday.alias("weekday"), "n", "positives", "holds")
     for period, parts in trained_reports(spark, sf).items():
         ok = F.when(F.col("evaluable"), F.col("average_precision").between(0, 1) & F.col("roc_auc").between(0, 1)).otherwise(F.col("roc_auc").isNull()) & F.col("brier").between(0, 1)
-        bins = parts["calibration"].agg(F.sum("n").alias("n"), F.sum(F.round(F.col("n") * F.col("rate"))).cast("bigint").alias("positives"), F.min(F.floor(F.col("mean_score") * 10) == F.col("bin")).alias("holds"))
-        sizes = parts["global"].select("n", "positives", F.col("prevalence").alias("share"))
+        in_bin = F.col("mean_score").between(F.col("bin") / 10 - SAME, (F.col("bin") + 1) / 10 + SAME)
+        bins = parts["calibration"].agg(F.sum("n").alias("n"), F.sum(F.round(F.col("n") * F.col("rate"))).cast("bigint").alias("positives"), F.min(in_bin).alias("holds"))
+        sizes = parts["global"].select("n", "positives", F.col("prevalence").alias("share"), "brier")
         low = parts["curve"].agg(F.min(F.struct("threshold", "precision", "recall")).alias("low"), F.max("recall").alias("top"), F.count("*").alias("points"))
-        curve = sizes.join(F.broadcast(low)).select("n", "positives", ((F.abs(F.col("low.precision") - F.col("share")) < SAME) & (F.col("low.recall") == 1) & (F.col("top") == 1) & F.col("points").between(2, 101)).alias("holds"))
+        recall = F.when(F.col("positives") > 0, (F.col("low.recall") == 1) & (F.col("top") == 1)).otherwise(F.col("top").isNull())
+        alone = F.col("share") * F.pow(F.col("low.threshold") - 1, 2) + (1 - F.col("share")) * F.pow("low.threshold", F.lit(2))
+        points = F.col("points").between(2, 101) | ((F.col("points") == 1) & (F.abs(F.col("brier") - alone) < SAME))
+        curve = sizes.join(F.broadcast(low)).select("n", "positives", ((F.abs(F.col("low.precision") - F.col("share")) < SAME) & recall & points).alias("holds"))
         for df, part, weekday in ((parts["global"].withColumn("holds", ok), "global", whole), (parts["weekday"].withColumn("holds", ok), "weekday", F.col("weekday")), (bins, "calibration", whole), (curve, "curve", whole)):
             out = rows(df, period, part, weekday) if out is None else out.unionByName(rows(df, period, part, weekday))
     return out
