@@ -146,6 +146,15 @@ def test_multiset_difference_goes_both_ways(spark):
     assert {tuple(r) for r in joins.multiset_difference(a, b).collect()} == {(1, "left", 1), (2, "left", 1), (3, "right", 1), (None, "right", 1)}
 
 
+def test_multiset_difference_holds_one_table_a_task(spark):
+    """One aggregate before and one behind a single shuffle; rows that only one side has or that are equally often in both count alike."""
+    a, b = (spark.createDataFrame([(x, y) for x, y in xs], "k int, v string") for xs in ([(1, "a"), (1, "a"), (2, None)], [(2, None), (1, "b"), (1, "a")]))
+    out = joins.multiset_difference(a, b.select("v", "k"))
+    plan = out._jdf.queryExecution().sparkPlan().toString(), out._jdf.queryExecution().executedPlan().toString()
+    assert (plan[0].count("HashAggregate("), plan[1].count("Exchange hashpartitioning")) == (2, 1)
+    assert sorted(map(tuple, out.collect())) == [(1, "a", "left", 1), (1, "b", "right", 1)] and out.schema["times"].dataType.simpleString() == "bigint"
+
+
 def test_silver_goes_on_where_it_was(spark, tmp_path):
     path, steps, day = f"file://{tmp_path}/s", [("trim", {"columns": ["v"]})], dt.date
     rows = [(1, " a", day(2024, 1, 1)), (2, "b ", day(2024, 1, 2))]

@@ -38,7 +38,8 @@ def key_diff(expected: DataFrame, found: DataFrame, keys: list[str]) -> DataFram
 
 def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that one side has more often than the other, with that side and how much more often."""
-    a, b = (df.groupBy(*left.columns).agg((F.lit(sign) * F.count("*")).alias("_more")) for df, sign in ((left, 1), (right.select(*left.columns), -1)))
+    # Both sides meet in one aggregate, so a task holds one table of its rows and not one of each side and one of both.
+    a, b = (df.select(*left.columns, F.lit(sign).cast("bigint").alias("_more")) for df, sign in ((left, 1), (right, -1)))
     signed = a.unionByName(b).groupBy(*left.columns).agg(F.sum("_more").alias("_more")).where("_more <> 0")
     return signed.select(*left.columns, F.when(F.col("_more") > 0, "left").otherwise("right").alias("side"), F.abs("_more").alias("times"))
 
