@@ -252,8 +252,10 @@ def trained_reports(spark, sf):
     """A model of the hours before all periods, and what is said of it in each: the whole, weekdays, curve and calibration."""
     df = feature_frame(spark, sf)
     model = ml.fit_logistic(df.where(early(PERIODS["validation"][0])), "target_next_hour", NUMERIC, FLAGS, CATEGORIES)
-    periods = {name: df.where(aggregates.half_open("hour_ts", a, b)) for name, (a, b) in PERIODS.items()}
-    return {name: evaluation.report(ml.score(model, rows, ["target_next_hour", "weekday"]), "target_next_hour", "score", ["weekday"]) for name, rows in periods.items()}
+    # Scored once: all parts of both periods read the written scores.
+    scores = materialized(ml.score(model, df.where(~early(PERIODS["validation"][0])), ["hour_ts", "target_next_hour", "weekday"]))
+    periods = {name: scores.where(aggregates.half_open("hour_ts", a, b)).drop("hour_ts") for name, (a, b) in PERIODS.items()}
+    return {name: evaluation.report(rows, "target_next_hour", "score", ["weekday"]) for name, rows in periods.items()}
 
 
 PERIOD_SQL = f"WITH {FRAME}, q AS (SELECT *, CASE WHEN hour_ts < TIMESTAMP '2024-01-25' THEN 'validation' ELSE 'evaluation' END AS period FROM f WHERE hour_ts >= TIMESTAMP '2024-01-20')"
@@ -272,7 +274,8 @@ def train_evaluate(spark, sf):
     """
     out, whole = None, F.lit(None).cast("int")
     rows = lambda df, period, part, weekday: df.where("n > 0").select(F.lit(period).alias("period"), F.lit(part).alias("part"), weekday.alias("weekday"), "n", "positives", "holds")
-    for period, parts in trained_reports(spark, sf).items():
+    for period, report in trained_reports(spark, sf).items():
+        parts = {part: materialized(df) for part, df in report.items()}  # some rows each; one plan of all parts would fill the driver
         ok = F.when(F.col("evaluable"), F.col("average_precision").between(0, 1) & F.col("roc_auc").between(0, 1)).otherwise(F.col("roc_auc").isNull()) & F.col("brier").between(0, 1)
         in_bin = F.col("mean_score").between(F.col("bin") / 10 - SAME, (F.col("bin") + 1) / 10 + SAME)
         bins = parts["calibration"].agg(F.sum("n").alias("n"), F.sum(F.round(F.col("n") * F.col("rate"))).cast("bigint").alias("positives"), F.min(in_bin).alias("holds"))
